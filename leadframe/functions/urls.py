@@ -55,32 +55,48 @@ def _merge_dots(path: Column) -> Column:
     return F.concat(F.array_join(merged, "/"), trailing)
 
 
-def resolve_url(base, href) -> Column:
-    """``urljoin`` for http(s) bases; fragments stay, dot segments merge."""
+def base_parts(base) -> Column:
+    """What resolving needs to know about a base URL, as one struct."""
     base = _c(base)
-    href = F.ltrim(F.translate(_c(href), "\t\r\n", ""))
-    scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*:)", 1)
-    site = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
     path = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
-    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
-    folder = F.coalesce(F.nullif(F.regexp_extract(path, r"^(.*/)", 1), F.lit("")), F.lit("/"))
+    return F.struct(
+        base.alias("url"),
+        F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*:)", 1).alias("scheme"),
+        F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1).alias("site"),
+        path.alias("path"),
+        F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1).alias("query"),
+        F.coalesce(F.nullif(F.regexp_extract(path, r"^(.*/)", 1), F.lit("")), F.lit("/")).alias("folder"),
+    )
+
+
+def clean_href(href) -> Column:
+    """A browser ignores tabs and newlines in a link and blanks before it."""
+    return F.ltrim(F.translate(_c(href), "\t\r\n", ""))
 
+
+def resolve_href(parts: Column, href: Column) -> Column:
+    """Join a cleaned href with the :func:`base_parts` of its page."""
     href_path = F.regexp_extract(href, r"^([^?#]*)", 1)
     href_tail = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
-    relative = F.regexp_replace(F.concat(folder, href_path), "/+", "/")
+    relative = F.regexp_replace(F.concat(parts["folder"], href_path), "/+", "/")
     full_path = F.when(href.startswith("/"), href_path).otherwise(relative)
-    has_dots = full_path.rlike(r"(?:^|/)\.\.?(?:/|$)")
-    joined = F.concat(site, F.when(has_dots, _merge_dots(full_path)).otherwise(full_path), href_tail)
+    has_dots = href.contains("./") | href.rlike(r"(?:^|/)\.\.?(?:[/?#]|$)")
+    path = F.when(has_dots, _merge_dots(full_path)).otherwise(full_path)
     return (
-        F.when(href == "", base)
+        F.when(href == "", parts["url"])
         .when(href.rlike(_SCHEME), href)
-        .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("?"), F.concat(site, path, href))
-        .when(href.startswith("#"), F.concat(site, path, query, href))
-        .otherwise(joined)
+        .when(href.startswith("//"), F.concat(parts["scheme"], href))
+        .when(href.startswith("?"), F.concat(parts["site"], parts["path"], href))
+        .when(href.startswith("#"), F.concat(parts["site"], parts["path"], parts["query"], href))
+        .otherwise(F.concat(parts["site"], path, href_tail))
     )
 
 
+def resolve_url(base, href) -> Column:
+    """``urljoin`` for http(s) bases; fragments stay, dot segments merge."""
+    return resolve_href(base_parts(base), clean_href(href))
+
+
 # An anchor's href with its quotes; bare values are allowed as well.
 HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries as d
 from ..functions.html import decode_entities
 from ..functions.text import _c, _literal
-from ..functions.urls import HREF, host_of, resolve_url, unquote
+from ..functions.urls import HREF, base_parts, clean_href, host_of, resolve_href, unquote
 from ..session import checkpoint
 
 # Comments, scripts and styles hold no links.
@@ -25,16 +25,17 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html",
     the step needs no shuffle.
     """
     hrefs = F.transform(F.regexp_extract_all("_visible", F.lit(HREF), F.lit(1)),
-                        lambda x: F.translate(unquote(x), "\n", ""))
+                        lambda x: clean_href(unquote(x)))
     listed = (
         pages.select(*keep, F.col(url).alias("src"),
                      F.regexp_replace(html, _HIDDEN, "").alias("_visible"))
         .withColumn("_hrefs", F.array_join(hrefs, "\n"))
+        .withColumn("_base", base_parts("src"))
         .drop("_visible")
     )
     decoded = decode_entities(listed, "_hrefs", "_hrefs")
     targets = F.transform(F.filter(F.split("_hrefs", "\n"), lambda h: h != ""),
-                          lambda h: resolve_url(F.col("src"), h))
+                          lambda h: resolve_href(F.col("_base"), h))
     return decoded.select(*keep, "src", F.explode(F.array_distinct(targets)).alias("dst"))
 
 
@@ -56,12 +57,12 @@ def about_link(pages: DataFrame, url: str, html: str, out: str = "about_url") ->
         label = F.regexp_replace(markup, r"(?s)<[^>]*>", "")
         return F.struct(href.alias("href"), F.lower(F.concat(href, F.lit("\n"), label)).alias("seen"))
 
-    staged = pages.withColumn("_anchors", F.transform(
+    staged = pages.withColumn("_base", base_parts(url)).withColumn("_anchors", F.transform(
         F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, ""), F.lit(_ANCHOR), F.lit(0)), anchor))
     targets = F.transform(F.filter("_anchors", lambda a: a["seen"].rlike(words)),
-                          lambda a: resolve_url(F.col(url), a["href"]))
+                          lambda a: resolve_href(F.col("_base"), clean_href(a["href"])))
     allowed = F.filter(targets, lambda u: ~u.rlike("|".join(d.ABOUT_EXCLUDED)))
-    return staged.withColumn(out, F.get(allowed, F.lit(0))).drop("_anchors")
+    return staged.withColumn(out, F.get(allowed, F.lit(0))).drop("_anchors", "_base")
 
 
 def crawl_bfs(edges: DataFrame, starts: DataFrame, max_depth: int = 1) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import or_empty, parse_timestamp
+from .joins import small_or_plain
 
 # Output columns in file order, with their source names.
 COMPANY_COLUMNS = (
@@ -41,14 +42,15 @@ def pages_until(pages: DataFrame, stop: Column, page_no: str = "page_no",
                 load: str | None = None) -> DataFrame:
     """Pages before the first one that ends the load.
 
-    With ``load`` every load has its own end.  The ends are one row per load,
-    or one scalar, so the pages themselves are not shuffled for a single load.
+    With ``load`` every load has its own end.  The ends are one scalar, or one
+    counted row per load that stopped, so the pages are normally not shuffled
+    and one huge load cannot fill a task.
     """
     if load is None:
         end = pages.where(stop).agg(F.min(page_no)).scalar()
         return pages.where(F.col(page_no) < F.coalesce(end, F.lit(2**62)))
     ends = pages.where(stop).groupBy(load).agg(F.min(page_no).alias("_end"))
-    joined = pages.join(ends, load, "left")
+    joined = pages.join(small_or_plain(ends), load, "left")
     return joined.where(F.col("_end").isNull() | (F.col(page_no) < F.col("_end"))).drop("_end")
 
 
@@ -100,9 +102,9 @@ def flatten_deals(pages: DataFrame, payload: str = "payload", page_no: str = "pa
     A person or organisation may be an object or a bare number.  Paths into a
     number are NULL, so both shapes share one projection.
     """
-    parsed = pages.withColumn("_page", F.try_parse_json(payload))
-    success = F.coalesce(F.try_variant_get("_page", "$.success", "boolean"), F.lit(False))
-    good = pages_until(parsed.withColumn("_ok", success), ~F.col("_ok"), page_no, load)
+    success = F.coalesce(F.get_json_object(payload, "$.success") == "true", F.lit(False))
+    good = pages_until(pages, ~success, page_no, load) \
+        .select(F.try_parse_json(payload).alias("_page"))
     deals = good.select(F.explode(
         F.try_variant_get("_page", "$.data", "array<variant>")).alias("deal"))
     return deals.select(*[

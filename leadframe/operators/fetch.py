@@ -29,17 +29,18 @@ def failed_or_has_html(status: str = "status", html: str = "html") -> Column:
 
 
 def first_settled(attempts: DataFrame, stages=THREE_STAGES, settled: Column | None = None,
-                  key: str = "url") -> DataFrame:
-    """First attempt per URL that settles it, else ``(NULL, '')``.
-
-    ``attempts`` has one row per URL and source.  The page bodies of the first
-    stage, normally most of the data, are passed through without a shuffle:
-    each later stage only drops the URLs that are already settled, and the
-    settled keys travel without their bodies.
+                  key: str = "url", payload: tuple[str, ...] = ("html",)) -> DataFrame:
+    """First attempt per URL that settles it, else NULL payload and source ''.
+
+    ``attempts`` has one row per URL and source.  The payload of the first
+    stage, normally most of the data, is passed through without a shuffle: each
+    later stage only drops the URLs that are already settled, and the settled
+    keys travel without their payload.  Reduce a page to the few columns that
+    are needed before calling this, and no page body is shuffled at all.
     """
     settled = has_html() if settled is None else settled
     done = attempts.where(settled)
-    columns = [key, "html", "source"]
+    columns = [key, *payload, "source"]
     winners, earlier = [], None
     for stage in stages:
         mine = done.where(F.col("source") == stage)
@@ -48,6 +49,7 @@ def first_settled(attempts: DataFrame, stages=THREE_STAGES, settled: Column | No
         keys = mine.select(key)
         earlier = keys if earlier is None else earlier.unionAll(keys)
     known = attempts.where(F.col("source").isin(*stages)).select(key).distinct()
-    failed = known.join(earlier, key, "left_anti") \
-        .select(key, F.lit(None).cast("string").alias("html"), F.lit("").alias("source"))
+    types = {f.name: f.dataType for f in attempts.schema}
+    failed = known.join(earlier, key, "left_anti").select(
+        key, *[F.lit(None).cast(types[c]).alias(c) for c in payload], F.lit("").alias("source"))
     return reduce(DataFrame.unionAll, winners + [failed])

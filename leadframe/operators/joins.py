@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 
 def spread_key(needed: Column, key: Column, row_id: Column) -> Column:
     """Join key for the rows that need a lookup, filler for the others.
@@ -16,6 +18,23 @@ def spread_key(needed: Column, key: Column, row_id: Column) -> Column:
     return F.when(needed, key).otherwise(filler)
 
 
+def pinned(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column whose expression stays where it is written.
+
+    A filter on a projected column is pushed below the projection, which
+    repeats the expression, and across equi joins.  A generated column is the
+    barrier for expressions that are costly to repeat.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def small_or_plain(df: DataFrame, limit: int = 200_000) -> DataFrame:
+    """Broadcast a table of narrow rows after counting it; larger ones are left
+    to the ordinary shuffle join.  The counted rows are kept, not recomputed."""
+    kept = checkpoint(df)
+    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
+
+
 def lookup(base: DataFrame, table: DataFrame, key: Column, table_key: str,
            values: list[str]) -> DataFrame:
     """Left-join ``values`` of a table with one row per key.

@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as d
+from ..functions.html import html_to_text_flat
 from ..functions.payload import unwrap_closed_label
 from ..functions.rules import any_match, count_matches, matched_names, matches
-from ..functions.text import _c, _literal, is_blank, or_empty, py_strip
-from ..functions.urls import is_valid_domain
+from ..functions.text import _c, _literal, is_blank, nonblank_lines, or_empty, py_strip
+from ..functions.urls import build_url, is_valid_domain, normalize_domain
+from .fetch import THREE_STAGES, first_settled
+from .joins import lookup, spread_key
 
 E_COMMERCE_WORD = r"\b(e[\s\-]?commerce|commerce)\b"
 
@@ -25,29 +28,79 @@ def with_votes(df: DataFrame, text: str, dictionary=d.EXHIBITOR_KEYWORDS) -> Dat
     )
 
 
+def exhibitor_label(domain, blank: Column) -> tuple[Column, Column]:
+    """Label and vote summary from the counters of :func:`with_votes`."""
+    few_no = F.coalesce(F.col("no_hits"), F.lit(0)) < 2
+    label = (
+        F.when(~is_valid_domain(domain), F.lit("Invalid domain"))
+        .when(F.col("strong_yes") & few_no, F.lit("Yes"))
+        .when((F.col("maybe_hits") >= 3) & few_no, F.lit("Maybe"))
+        .when(blank, F.lit("No content"))
+        .otherwise(F.lit("No"))
+    )
+    stats = F.concat(
+        F.lit("Yes: "), F.initcap(F.coalesce("strong_yes", F.lit(False)).cast("string")),
+        F.lit(" Maybe: "), F.coalesce("maybe_hits", F.lit(0)).cast("string"),
+        F.lit(" No: "), F.coalesce("no_hits", F.lit(0)).cast("string"),
+    )
+    return label.alias("label"), stats.alias("stats")
+
+
 def classify_exhibitor(df: DataFrame, domain: str, text: str,
                        dictionary=d.EXHIBITOR_KEYWORDS) -> DataFrame:
     """Yes / Maybe / No / No content / Invalid domain, with a vote summary.
 
     Invalid domains are settled before any text is searched.
     """
-    valid = is_valid_domain(domain)
-    usable = df.withColumn("_vote_text", F.when(valid & ~is_blank(text), F.col(text)))
+    usable = df.withColumn("_vote_text", F.when(is_valid_domain(domain) & ~is_blank(text), F.col(text)))
     voted = with_votes(usable, "_vote_text", dictionary)
-    few_no = F.col("no_hits") < 2
+    return voted.select(*df.columns, *exhibitor_label(domain, is_blank("_vote_text")))
+
+
+def _domain_cells(domains: DataFrame, raw: str) -> DataFrame:
+    """Stripped non-blank cells as bare domains, with the URL of the valid ones."""
+    cells = domains.where(~is_blank(raw)).withColumn("domain", normalize_domain(raw))
+    return cells.withColumn("_url", F.when(is_valid_domain("domain"), build_url("domain")))
+
+
+def _attach(cells: DataFrame, facts: DataFrame, row_id: str) -> DataFrame:
+    values = [c for c in facts.columns if c != "url"]
+    key = spread_key(F.col("_url").isNotNull(), F.col("_url"), F.col(row_id))
+    return lookup(cells, facts, key, "url", values)
+
+
+def exhibitor_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
+                      row_id: str = "row_idx", dictionary=d.EXHIBITOR_KEYWORDS) -> DataFrame:
+    """Domain cells to exhibitor labels, from landed fetch attempts.
+
+    Every page becomes its vote counters where it is read.  Choosing the
+    attempt and joining the domains then moves a few numbers per page.
+    """
+    texts = html_to_text_flat(attempts, "html", "_flat")
+    texts = texts.withColumn("_text", nonblank_lines("_flat"))
+    votes = with_votes(texts, "_text", dictionary).withColumn("blank", is_blank("_text"))
+    facts = ("strong_yes", "maybe_hits", "no_hits", "blank")
+    chosen = first_settled(votes, payload=facts).drop("source")
+    joined = _attach(_domain_cells(domains, raw), chosen, row_id)
+    return joined.select(row_id, "domain",
+                         *exhibitor_label("domain", F.coalesce("blank", F.lit(True))))
+
+
+def ecommerce_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
+                      row_id: str = "row_idx", stages=THREE_STAGES) -> DataFrame:
+    """Domain cells to Yes / No / No content / Invalid domain."""
+    texts = html_to_text_flat(attempts, "html", "_flat")
+    facts = texts.select("url", "source", "html", is_blank("_flat").alias("blank"),
+                         matches("_flat", E_COMMERCE_WORD).alias("hit"))
+    chosen = first_settled(facts, stages, payload=("blank", "hit")).drop("source")
+    joined = _attach(_domain_cells(domains, raw), chosen, row_id)
     label = (
-        F.when(~valid, F.lit("Invalid domain"))
-        .when(F.col("strong_yes") & few_no, F.lit("Yes"))
-        .when((F.col("maybe_hits") >= 3) & few_no, F.lit("Maybe"))
-        .when(is_blank("_vote_text"), F.lit("No content"))
+        F.when(~is_valid_domain("domain"), F.lit("Invalid domain"))
+        .when(F.coalesce("blank", F.lit(True)), F.lit("No content"))
+        .when(F.col("hit"), F.lit("Yes"))
         .otherwise(F.lit("No"))
     )
-    stats = F.concat(
-        F.lit("Yes: "), F.initcap(F.col("strong_yes").cast("string")),
-        F.lit(" Maybe: "), F.col("maybe_hits").cast("string"),
-        F.lit(" No: "), F.col("no_hits").cast("string"),
-    )
-    return voted.select(*df.columns, label.alias("label"), stats.alias("stats"))
+    return joined.select(row_id, "domain", label.alias("label"))
 
 
 def classify_ecommerce(df: DataFrame, domain: str, text: str) -> DataFrame:

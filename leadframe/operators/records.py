@@ -49,15 +49,23 @@ def request_table(rows: DataFrame, template: str, key: str, **limits: int | None
     return rows.where(~is_blank(names[-1])).select(key, F.concat(*parts).alias("prompt"))
 
 
-def result_log(fetched: DataFrame, outputs: DataFrame) -> DataFrame:
-    """``URL, fetch_source, model_output``; a failed fetch logs blanks."""
-    joined = fetched.select("url", "html", "source").join(
-        outputs.select("url", "model_output"), "url", "left")
-    failed = is_blank("html")
+def result_log(fetched: DataFrame, outputs: DataFrame | None = None, output: Column | None = None
+               ) -> DataFrame:
+    """``URL, fetch_source, model_output``; a failed fetch logs blanks.
+
+    The output is a landed table ``url, model_output``, or a column of the
+    fetched rows themselves.  Page bodies stay out of the join.
+    """
+    failed = is_blank("html").alias("_failed")
+    if output is not None:
+        joined = fetched.select("url", "source", failed, output.alias("model_output"))
+    else:
+        joined = fetched.select("url", "source", failed).join(
+            outputs.select("url", "model_output"), "url", "left")
     return joined.select(
         F.col("url").alias("URL"),
-        F.when(failed, F.lit("")).otherwise(F.col("source")).alias("fetch_source"),
-        F.when(failed, F.lit("")).otherwise(F.coalesce("model_output", F.lit(""))).alias("model_output"))
+        F.when(F.col("_failed"), F.lit("")).otherwise(F.col("source")).alias("fetch_source"),
+        F.when(F.col("_failed"), F.lit("")).otherwise(F.coalesce("model_output", F.lit(""))).alias("model_output"))
 
 
 def _distinct_sorted(col: Column) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionaries as d
 from ..functions.rules import bounded, first_match, matches
-from ..functions.text import _c, collapse_ws, is_blank, or_empty, py_strip
-from .joins import lookup, spread_key
+from ..functions.text import _c, collapse_ws, or_empty, py_strip
+from .joins import lookup, pinned, spread_key
 
 MIN_SCORE = 0.55
 
@@ -158,18 +158,21 @@ def tag_positions(positions: DataFrame, renames: DataFrame, title: str = "title"
         *positions.columns, F.coalesce("_tag", "_renamed", F.lit("error")).alias("position_tag"))
 
 
-def simplify_title(title) -> Column:
+def simplify_titles(df: DataFrame, title: str, out: str = "short_title") -> DataFrame:
     """Short form for correspondence: no symbols, one role, no company."""
     text = F.regexp_replace(or_empty(title), r"[\p{So}\p{Sk}\p{Cn}\x{fe0f}]", "")
-    role = F.regexp_extract(collapse_ws(text), r"^([^/|&,]*)", 1)
-    role = py_strip(F.regexp_replace(role, r"(?i)\s+(?:at|in|@)\s+.*$", ""))
+    first_role = F.regexp_extract(collapse_ws(text), r"^([^/|&,]*)", 1)
+    role = py_strip(F.regexp_replace(first_role, r"(?i)\s+(?:at|in|@)\s+.*$", ""))
     chief = first_match([
-        (matches(role, rf"^chief\s+of\s+(?:{area})\b"), short) for area, short in d.CHIEF_OF])
-    return F.coalesce(chief, F.nullif(role, F.lit("")), collapse_ws(title))
+        (matches("_role", rf"^chief\s+of\s+(?:{area})\b"), short) for area, short in d.CHIEF_OF])
+    return df.withColumn("_role", role) \
+        .withColumn(out, F.coalesce(chief, F.nullif("_role", F.lit("")), collapse_ws(title))) \
+        .drop("_role")
 
 
 def unresolved_titles(titles: DataFrame, cache: DataFrame, title: str = "title") -> DataFrame:
     """Distinct titles that neither a rule nor the cache settles."""
-    norm = titles.select(collapse_ws(title).alias("title_norm"))
-    todo = norm.where(~is_blank("title_norm") & department("title_norm").isNull()).distinct()
+    norm = titles.select(collapse_ws(title).alias("title_norm")).distinct()
+    ruled = pinned(norm, "_rule", F.when(F.col("title_norm") == "", F.lit("")).otherwise(department("title_norm")))
+    todo = ruled.where(F.col("_rule").isNull()).select("title_norm")
     return todo.join(cache.select("title_norm"), "title_norm", "left_anti")

@@ -140,11 +140,13 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
                        || {pick(_AREA, f"{_div('c_custkey', 13)} % {len(_AREA)}")}
                        || {pick(_ROLE, f"{_div('c_custkey', 7)} % {len(_ROLE)}")} END AS raw
               FROM {{customer}}) AS t"""),
-    "titles_norm": (("titles",), f"SELECT DISTINCT {_NORM} AS title_norm FROM {{titles}}"),
+    "titles_norm": (("titles",), f"""
+        SELECT {_NORM} AS title_norm, min(row_idx) AS first_row, max(row_idx) AS last_row
+        FROM {{titles}} GROUP BY 1"""),
     "label_cache": (("titles_norm",), """
         SELECT title_norm, CASE WHEN title_norm LIKE '%e%' THEN 'consulting' ELSE 'product' END AS label,
                CAST(length(title_norm) AS double) / 64 AS score
-        FROM {titles_norm} WHERE title_norm LIKE '%n%' AND title_norm NOT LIKE '%t%'"""),
+        FROM {titles_norm} WHERE last_row < first_row * 30"""),
     "title_scores": (("titles_norm",), " UNION ALL ".join(
         f"SELECT title_norm, '{label}' AS label, "
         f"CAST((length(title_norm) * 7 + {n * 17}) % 101 AS double) / 101 AS score "

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries as d
 from ..functions import html as H
 from ..functions.text import nonblank_lines
-from ..functions.urls import build_url, is_valid_domain, normalize_domain
 from ..operators import fetch, pages, profile, scoring
 from . import twin as q
 from .fixtures import cte, frame
@@ -39,20 +38,6 @@ _DOMAIN_TEXTS = f"""(SELECT row_idx, domain, lower(coalesce({q.nonblank(q.flat_t
     LEFT JOIN {_WINNERS} AS w ON w.url = 'https://' || domain AND {q.valid_domain('domain')})"""
 
 
-def domain_texts(spark, sf):
-    """Domain cells with the clean text of their landed page."""
-    cells = frame(spark, sf, "domains").where(F.trim("raw") != "") \
-        .select("row_idx", normalize_domain("raw").alias("domain"))
-    settled = fetch.first_settled(frame(spark, sf, "attempts")).where(F.col("html").isNotNull())
-    texts = H.html_to_text_flat(settled, "html", "flat") \
-        .select(F.col("url"), nonblank_lines("flat").alias("text"))
-    # an invalid domain has no URL and is never looked up
-    keyed = cells.withColumn("url", F.when(is_valid_domain("domain"), build_url("domain")))
-    found = keyed.where(F.col("url").isNotNull()).join(texts, "url", "left")
-    skipped = keyed.where(F.col("url").isNull()).withColumn("text", F.lit(None).cast("string"))
-    return found.unionByName(skipped).drop("url")
-
-
 @query("classify_exhibitor", cte("domains", "attempts") + f"""
     SELECT row_idx, domain, CASE WHEN NOT {q.valid_domain('domain')} THEN 'Invalid domain'
         WHEN strong_yes AND no_hits < 2 THEN 'Yes' WHEN maybe_hits >= 3 AND no_hits < 2 THEN 'Maybe'
@@ -60,7 +45,7 @@ def domain_texts(spark, sf):
       'Yes: ' || CASE WHEN strong_yes THEN 'True' ELSE 'False' END || ' Maybe: ' || maybe_hits || ' No: ' || no_hits AS stats
     FROM (SELECT row_idx, domain, t, {_VOTES} FROM {_DOMAIN_TEXTS})""")
 def classify_exhibitor(spark, sf):
-    return pages.classify_exhibitor(domain_texts(spark, sf), "domain", "text").drop("text")
+    return pages.exhibitor_domains(frame(spark, sf, "domains"), frame(spark, sf, "attempts"))
 
 
 @query("classify_ecommerce", cte("domains", "attempts") + f"""
@@ -68,7 +53,7 @@ def classify_exhibitor(spark, sf):
         WHEN {q.has('t', pages.E_COMMERCE_WORD)} THEN 'Yes' ELSE 'No' END AS label
     FROM {_DOMAIN_TEXTS}""")
 def classify_ecommerce(spark, sf):
-    return pages.classify_ecommerce(domain_texts(spark, sf), "domain", "text").drop("text")
+    return pages.ecommerce_domains(frame(spark, sf, "domains"), frame(spark, sf, "attempts"))
 
 
 _EVIDENCE = ", ".join(f"{q.votes('t', side.values())} AS {name}" for name, side in (
@@ -237,7 +222,7 @@ def exhibitor_score(spark, sf):
 
 @query("fit_rubric", cte("pages_kw") + f"""
     SELECT page_id, kind AS exhibitor_type, CAST(CASE WHEN kind <> 'other' THEN 50 ELSE 0 END
-      + CASE WHEN {q.has('t', d.FIT_B2B, '')} THEN 5 ELSE 0 END + CASE WHEN {q.has('t', d.FIT_INNOVATION, '')} THEN 5 ELSE 0 END AS bigint) AS fit_score
+      + CASE WHEN {q.any_of('t', [d.FIT_B2B])} THEN 5 ELSE 0 END + CASE WHEN {q.any_of('t', [d.FIT_INNOVATION])} THEN 5 ELSE 0 END AS bigint) AS fit_score
     FROM (SELECT page_id, t, CASE {' '.join(f"WHEN {q.has('t', p, '')} THEN '{n}'" for n, p in d.FIT_CATEGORIES.items())} ELSE 'other' END AS kind
           FROM {_TEXTS})""")
 def fit_rubric(spark, sf):

@@ -128,13 +128,17 @@ def position_tag_cascade(spark, sf):
         .select("row_idx", "position_tag")
 
 
-@query("title_simplify", cte("titles") + f"""
-    SELECT row_idx, coalesce(CASE {' '.join(f"WHEN regexp_matches(role, '(?i)^chief\s+of\s+(?:{a})\\b') THEN '{s}'" for a, s in d.CHIEF_OF)} END,
+_CHIEF = " ".join(
+    rf"WHEN regexp_matches(role, '(?i)^chief\s+of\s+(?:{area})\b') THEN '{short}'" for area, short in d.CHIEF_OF)
+
+
+@query("title_simplify", cte("titles") + rf"""
+    SELECT row_idx, coalesce(CASE {_CHIEF} END,
       nullif(role, ''), t) AS short_title
     FROM (SELECT row_idx, t, trim(regexp_replace(regexp_extract(t, '^([^/|&,]*)', 1), '(?i)\s+(?:at|in|@)\s+.*$', '')) AS role
           FROM {_norm()})""")
 def title_simplify(spark, sf):
-    return _titles(spark, sf).select("row_idx", titles.simplify_title("title").alias("short_title"))
+    return titles.simplify_titles(_titles(spark, sf), "title").select("row_idx", "short_title")
 
 
 @query("cache_probe", cte("titles_norm", "label_cache") + """

@@ -6,6 +6,7 @@ patterns) instead of translating the Spark expressions.
 
 from __future__ import annotations
 
+import re
 from html.entities import name2codepoint
 
 from ..functions.html import markup_pattern
@@ -46,8 +47,13 @@ def lines(x: str) -> str:
     return f"list_transform(string_split({unified}, chr(10)), lambda l: {strip('l')})"
 
 
+def joined(items: str, source: str) -> str:
+    """Lines back to a text; no lines make an empty text, not NULL."""
+    return f"coalesce(array_to_string({items}, chr(10)), CASE WHEN {source} IS NOT NULL THEN '' END)"
+
+
 def nonblank(x: str) -> str:
-    return f"array_to_string(list_filter({lines(x)}, lambda l: l <> ''), chr(10))"
+    return joined(f"list_filter({lines(x)}, lambda l: l <> '')", x)
 
 
 # The references that occur in the derived pages.
@@ -79,7 +85,7 @@ def node_lines(html: str) -> str:
     """Stripped, non-empty text nodes joined by newlines."""
     dropped = ("script", "style", "template", "noscript", "svg")
     nodes = f"list_transform(string_split({unmarked(html, dropped)}, chr(1)), lambda n: {strip('n')})"
-    return f"array_to_string(list_filter({nodes}, lambda n: n <> ''), chr(10))"
+    return joined(f"list_filter({nodes}, lambda n: n <> '')", html)
 
 
 def cut_head(text: str, n: int, markers) -> str:
@@ -87,16 +93,22 @@ def cut_head(text: str, n: int, markers) -> str:
     words = "|".join(m.lower().replace(".", r"\.") for m in markers)
     split = f"string_split({sub(text, f'{chr(13)}{chr(10)}|[{LINE_BREAKS}]', chr(10))}, chr(10))"
     head = f"lower(array_to_string(list_slice({split}, 1, {n}), chr(10)))"
-    rest = f"array_to_string(list_slice({split}, {n + 1}, NULL), chr(10))"
+    rest = joined(f"list_slice({split}, {n + 1}, len({split}))", text)
     return f"(CASE WHEN regexp_matches({head}, {lit(words)}) THEN {rest} ELSE {text} END)"
 
 
+def wide_edges(pattern: str) -> str:
+    r"""Word edges that know letters beyond ASCII, for a yes-or-no search."""
+    other = r"[^\\p{L}\\p{M}\\p{N}_]"
+    return re.sub(r"\\b(\w+)\\b", rf"(?:^|{other})\1(?:$|{other})", pattern)
+
+
 def votes(text: str, patterns) -> str:
-    return " + ".join(f"CAST({has(text, p, '')} AS bigint)" for p in patterns) or "0"
+    return " + ".join(f"CAST({has(text, wide_edges(p), '')} AS bigint)" for p in patterns) or "0"
 
 
 def any_of(text: str, patterns) -> str:
-    return "(" + " OR ".join(has(text, p, "") for p in patterns) + ")"
+    return "(" + " OR ".join(has(text, wide_edges(p), "") for p in patterns) + ")"
 
 
 def in_list(values) -> str:

@@ -84,10 +84,11 @@ def discover_and_extract(spark, sf):
     pages = frame(spark, sf, "site_pages")
     matched = _site_crawl(spark, sf, 3).where(F.col("url").contains("/info_")).select("url").distinct()
     attempts = pages.select("url", F.lit("requests").alias("source"), "html")
-    fetched = matched.join(fetch.first_settled(attempts, ("requests",)), "url", "left")
-    outputs = records.page_contacts(fetched.where(F.col("html").isNotNull()).select("url", "html")) \
-        .select("url", F.col("title").alias("model_output"))
-    return records.result_log(fetched, outputs).orderBy("URL")
+    # titles are read where the page is read; the join moves no page bodies
+    summary = records.page_contacts(attempts).select(
+        "url", "source", F.when(F.col("html").isNotNull(), F.lit("x")).alias("html"), "title")
+    fetched = matched.join(fetch.first_settled(summary, ("requests",), payload=("html", "title")), "url", "left")
+    return records.result_log(fetched, output=F.col("title")).orderBy("URL")
 
 
 def _record_inputs(spark, sf):

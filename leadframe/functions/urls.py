@@ -80,7 +80,7 @@ def resolve_href(parts: Column, href: Column) -> Column:
     href_tail = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
     relative = F.regexp_replace(F.concat(parts["folder"], href_path), "/+", "/")
     full_path = F.when(href.startswith("/"), href_path).otherwise(relative)
-    has_dots = href.contains("./") | href.rlike(r"(?:^|/)\.\.?(?:[/?#]|$)")
+    has_dots = parts["folder"].contains("./") | href.contains("./") | href.rlike(r"(?:^|/)\.\.?(?:[/?#]|$)")
     path = F.when(has_dots, _merge_dots(full_path)).otherwise(full_path)
     return (
         F.when(href == "", parts["url"])

@@ -10,6 +10,7 @@ from ..functions.html import decode_entities
 from ..functions.text import _c, _literal
 from ..functions.urls import HREF, base_parts, clean_href, host_of, resolve_href, unquote
 from ..session import checkpoint
+from .profile import main_content
 
 # Comments, scripts and styles hold no links.
 _HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script[\s/>].*?(?:</script\s*>|\z)"
@@ -44,6 +45,25 @@ def pattern_links(html, pattern: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(_c(html), F.lit(pattern), F.lit(0)))
 
 
+def _anchor_list(html) -> Column:
+    """Anchors of a page in document order: raw target and link text."""
+
+    def anchor(markup: Column) -> Column:
+        return F.struct(unquote(F.regexp_extract(markup, HREF, 1)).alias("href"),
+                        F.regexp_replace(markup, r"(?s)<[^>]*>", "").alias("text"))
+
+    visible = F.regexp_replace(_c(html), _HIDDEN, "")
+    return F.transform(F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(0)), anchor)
+
+
+def anchors(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """``key, pos, href, text`` for every link, in document order."""
+    rows = pages.select(key, F.posexplode(_anchor_list(html)).alias("pos", "a"))
+    decoded = decode_entities(rows.select(key, "pos", F.col("a.href").alias("href"),
+                                          F.col("a.text").alias("text")), "href", "href")
+    return decode_entities(decoded, "text", "text")
+
+
 def about_link(pages: DataFrame, url: str, html: str, out: str = "about_url") -> DataFrame:
     """First link that looks like an about page, NULL when there is none.
 
@@ -51,20 +71,30 @@ def about_link(pages: DataFrame, url: str, html: str, out: str = "about_url") ->
     the two excluded networks are skipped.
     """
     words = "|".join(_literal(w) for w in d.ABOUT_WORDS)
-
-    def anchor(markup: Column) -> Column:
-        href = F.replace(unquote(F.regexp_extract(markup, HREF, 1)), F.lit("&amp;"), F.lit("&"))
-        label = F.regexp_replace(markup, r"(?s)<[^>]*>", "")
-        return F.struct(href.alias("href"), F.lower(F.concat(href, F.lit("\n"), label)).alias("seen"))
-
-    staged = pages.withColumn("_base", base_parts(url)).withColumn("_anchors", F.transform(
-        F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, ""), F.lit(_ANCHOR), F.lit(0)), anchor))
-    targets = F.transform(F.filter("_anchors", lambda a: a["seen"].rlike(words)),
-                          lambda a: resolve_href(F.col("_base"), clean_href(a["href"])))
+    staged = pages.withColumn("_base", base_parts(url)).withColumn("_anchors", _anchor_list(html))
+    seen = F.filter("_anchors", lambda a: F.lower(F.concat(a["href"], F.lit("\n"), a["text"])).rlike(words))
+    targets = F.transform(seen, lambda a: resolve_href(F.col("_base"), clean_href(
+        F.replace(a["href"], F.lit("&amp;"), F.lit("&")))))
     allowed = F.filter(targets, lambda u: ~u.rlike("|".join(d.ABOUT_EXCLUDED)))
     return staged.withColumn(out, F.get(allowed, F.lit(0))).drop("_anchors", "_base")
 
 
+def about_descriptions(homepages: DataFrame, pages: DataFrame, key: str, url: str = "url",
+                       html: str = "html") -> DataFrame:
+    """Main text of each site's about page, or of its homepage without one.
+
+    Only the pages that are wanted reach the tag-tree parser, and only their
+    text is joined back.
+    """
+    wanted = about_link(homepages, url, html).select(
+        key, F.coalesce("about_url", url).alias("target"))
+    bodies = pages.select(F.col(url).alias("target"), html).join(
+        wanted.select("target").distinct(), "target", "left_semi")
+    texts = main_content(bodies, html, "description").select("target", "description")
+    return wanted.join(texts, "target", "left").select(
+        key, "target", F.coalesce("description", F.lit("")).alias("description"))
+
+
 def crawl_bfs(edges: DataFrame, starts: DataFrame, max_depth: int = 1) -> DataFrame:
     """All same-host links of the pages up to ``max_depth`` clicks from a start.
 

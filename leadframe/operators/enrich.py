@@ -27,23 +27,25 @@ def enrich_email(people: DataFrame, found: DataFrame, row_id: str) -> DataFrame:
         F.struct("email", F.col("confidence_score").cast("string").alias("confidence_score"),
                  "mail_status").alias("_hit"))
     key = spread_key(complete, _person_key(), F.col(row_id))
-    joined = lookup(people, table, key, "_person", ["_hit"])
+    joined = lookup(people, table, key, "_person", ["_hit"], row_id)
     filled = [F.coalesce(f"_hit.{c}", F.lit("")).alias(c)
               for c in ("email", "confidence_score", "mail_status")]
     return joined.select(*people.columns, *filled)
 
 
-def enrich_company_email(companies: DataFrame, found: DataFrame) -> DataFrame:
+def enrich_company_email(companies: DataFrame, found: DataFrame, row_id: str) -> DataFrame:
     """First e-mail of the company's landed list replaces ``email``."""
-    first = found.select("name", F.get("emails", F.lit(0))["value"].alias("_email"))
-    return companies.drop("email").join(first, "name", "left").withColumnRenamed("_email", "email")
+    first = found.select(F.col("name").alias("_company"),
+                         F.get("emails", F.lit(0))["value"].alias("email"))
+    key = spread_key(~is_blank("name"), F.col("name"), F.col(row_id))
+    return lookup(companies.drop("email"), first, key, "_company", ["email"], row_id)
 
 
 def verify_email(people: DataFrame, statuses: DataFrame, row_id: str) -> DataFrame:
     """Verification status per e-mail, NULL when it was never checked."""
     key = spread_key(~is_blank("email"), F.col("email"), F.col(row_id))
     table = statuses.select(F.col("email").alias("_address"), F.col("status").alias("mail_status"))
-    return lookup(people, table, key, "_address", ["mail_status"])
+    return lookup(people, table, key, "_address", ["mail_status"], row_id)
 
 
 def cache_probe(titles: DataFrame, cache: DataFrame, key: str = "title_norm") -> DataFrame:

@@ -34,4 +34,4 @@ def batch_infer(df: DataFrame, text: str, predict: Callable[[list[str]], list[tu
     answers = distinct.mapInPandas(run, "_text string, label string, score double")
     has_text = F.col(text).isNotNull() & (F.col(text) != "")
     return lookup(df, answers, spread_key(has_text, F.col(text), F.col(row_id)), "_text",
-                  ["label", "score"])
+                  ["label", "score"], row_id)

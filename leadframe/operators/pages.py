@@ -11,7 +11,7 @@ from ..functions.payload import unwrap_closed_label
 from ..functions.rules import any_match, count_matches, matched_names, matches
 from ..functions.text import _c, _literal, is_blank, nonblank_lines, or_empty, py_strip
 from ..functions.urls import build_url, is_valid_domain, normalize_domain
-from .fetch import THREE_STAGES, first_settled
+from .fetch import THREE_STAGES, failed_or_has_html, first_settled
 from .joins import lookup, spread_key
 
 E_COMMERCE_WORD = r"\b(e[\s\-]?commerce|commerce)\b"
@@ -66,7 +66,7 @@ def _domain_cells(domains: DataFrame, raw: str) -> DataFrame:
 def _attach(cells: DataFrame, facts: DataFrame, row_id: str) -> DataFrame:
     values = [c for c in facts.columns if c != "url"]
     key = spread_key(F.col("_url").isNotNull(), F.col("_url"), F.col(row_id))
-    return lookup(cells, facts, key, "url", values)
+    return lookup(cells, facts, key, "url", values, row_id)
 
 
 def exhibitor_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
@@ -153,6 +153,26 @@ def shop_categories(df: DataFrame, text: str, out: str = "categories") -> DataFr
     return low.select(*df.columns, matched_names("_low", d.SHOP_CATEGORIES).alias(out))
 
 
+def label_domains(domains: DataFrame, attempts: DataFrame, responses: DataFrame, labels=d.SHOP_LABELS,
+                  strict: bool = True, raw: str = "raw", row_id: str = "row_idx",
+                  stages=("requests", "selenium")) -> DataFrame:
+    """Domain cells to landed model labels, ``Unscrapable`` where no text was had.
+
+    An invalid domain, an error status, a bot wall and an empty page are all
+    unscrapable; an empty answered page is retried by the next stage.
+    ``responses`` has one ``row_idx, model_output`` row per cell.
+    """
+    texts = html_to_text_flat(attempts, "html", "_flat")
+    facts = texts.select("url", "source", "status", "html",
+                         (fetch_error("status", "_flat").isNull() & ~is_blank("_flat")).alias("readable"))
+    chosen = first_settled(facts, stages, failed_or_has_html(), payload=("readable",)).drop("source")
+    cells = _attach(_domain_cells(domains, raw), chosen, row_id)
+    joined = cells.join(responses.select(row_id, "model_output"), row_id, "left")
+    label = F.when(F.col("_url").isNull() | ~F.coalesce("readable", F.lit(False)), F.lit("Unscrapable")) \
+        .otherwise(unwrap_closed_label("model_output", labels, strict))
+    return joined.select(row_id, "domain", label.alias("label"))
+
+
 def label_from_response(rows: DataFrame, responses: DataFrame, key: str, labels,
                         strict: bool = True, out: str = "label") -> DataFrame:
     """Attach landed model output and hold it to the closed label set.

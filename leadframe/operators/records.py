@@ -32,6 +32,20 @@ def payload_to_columns(records: DataFrame, mode: str, url: str = "url", data: st
     return staged.select("URL", *record_columns("_body", mode))
 
 
+def fill_company_gaps(companies: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Blank e-mail and phone cells from what the page itself shows.
+
+    ``contacts``: ``url`` with the columns of :func:`page_contacts`.
+    """
+    shown = contacts.select(F.col("url").alias("URL"), F.get("emails", F.lit(0)).alias("_email"),
+                            F.get("phones", F.lit(0)).alias("_phone"))
+    joined = companies.join(shown, "URL", "left")
+    found = {"Email": "_email", "Phone Number": "_phone"}
+    return joined.select(*[
+        F.coalesce(F.nullif(F.nullif(f"`{c}`", F.lit("")), F.lit("null")), found[c], F.lit("")).alias(c)
+        if c in found else F.col(f"`{c}`") for c in companies.columns])
+
+
 def request_table(rows: DataFrame, template: str, key: str, **limits: int | None) -> DataFrame:
     """``key, prompt`` rows for a batch inference job.
 

@@ -56,7 +56,8 @@ def contacts_flatten(spark, sf):
 
 
 @query("deals_flatten", """
-    WITH stops AS (SELECT c_nationkey, min(c_custkey) AS stop FROM customer WHERE c_acctbal < -900 GROUP BY c_nationkey)
+    WITH deal_page AS (SELECT CAST(floor(o_orderkey / 8) AS bigint) AS page_no, max(o_totalprice) AS top FROM orders GROUP BY 1),
+    stops AS (SELECT page_no % 25 AS load_id, min(page_no) AS stop FROM deal_page WHERE top > 499000 GROUP BY 1)
     SELECT CAST(o_orderkey AS varchar) AS id, 'Deal ' || o_orderkey AS title, CAST(CAST(floor(o_totalprice) AS bigint) AS varchar) AS value,
       'EUR' AS currency, o_orderstatus AS status, NULL AS add_time, NULL AS update_time, CAST(o_orderkey % 5 AS varchar) AS stage_id,
       NULL AS pipeline_id, NULL AS owner_name, CASE WHEN o_orderkey % 2 = 0 THEN 'P' || o_orderkey END AS person_name,
@@ -64,8 +65,8 @@ def contacts_flatten(spark, sf):
       CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 5 <> 0 THEN 'p' || o_orderkey || '@example.com' END AS person_email,
       CASE WHEN o_orderkey % 3 = 0 THEN 'Street 1' END AS org_address, o_orderpriority AS lost_reason,
       NULL AS close_time, NULL AS won_time, NULL AS first_won_time
-    FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN stops USING (c_nationkey)
-    WHERE stop IS NULL OR c_custkey < stop""")
+    FROM orders JOIN deal_page AS p ON p.page_no = floor(o_orderkey / 8) LEFT JOIN stops ON load_id = p.page_no % 25
+    WHERE top >= 150000 AND (stop IS NULL OR p.page_no < stop)""")
 def deals_flatten(spark, sf):
     return crm.flatten_deals(frame(spark, sf, "deal_pages"), load="load_id")
 
@@ -110,7 +111,7 @@ def prospects_widen(spark, sf):
     member = F.when(F.col("event_type") == "view", F.concat(F.lit('"viewer": "v'), "user_id")) \
         .otherwise(F.concat(F.lit('"actor": "u'), "user_id"))
     record = F.concat(F.lit('{"id": '), "event_id", F.lit(", "), member, F.lit('"}'))
-    landed = frame(spark, sf, "events").groupBy("user_id") \
+    landed = frame(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 20).alias("page_no")) \
         .agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("payload"))
     return crm.widen_prospects(landed)
 
@@ -183,7 +184,7 @@ def enrich_company_email(spark, sf):
         .otherwise(F.array(F.struct(address.alias("value")), F.struct(F.lit("second@x.com").alias("value"))))
     found = suppliers.select(F.col("s_name").alias("name"), emails.alias("emails"))
     companies = suppliers.select(F.col("s_name").alias("name"), "s_suppkey", F.lit("old").alias("email"))
-    return enrich.enrich_company_email(companies, found)
+    return enrich.enrich_company_email(companies, found, "s_suppkey").select("name", "s_suppkey", "email")
 
 
 @query("verify_email", cte("people", "email_status") + """

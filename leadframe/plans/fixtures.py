@@ -231,23 +231,22 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
     "email_status": (("people",), """
         SELECT email, CASE WHEN employees > 4000 THEN 'valid' ELSE 'invalid' END AS status
         FROM {people} WHERE email <> '' AND industry <> 'MACHINERY'"""),
-    "deal_pages": (("customer", "orders"), """
-        SELECT c_nationkey AS load_id, c_custkey AS page_no,
-          CASE WHEN c_acctbal < -900 THEN '{{"success": false, "error": "limit"}}'
-               WHEN deals IS NULL THEN '{{"success": true, "data": null}}'
-               ELSE '{{"success": true, "data": [' || deals || ']}}' END AS payload
-        FROM {customer} LEFT JOIN (
-          SELECT o_custkey, string_agg(
-            '{{"id": ' || CAST(o_orderkey AS string) || ', "title": "Deal ' || CAST(o_orderkey AS string)
+    "deal_pages": (("orders",), f"""
+        SELECT page_no % 25 AS load_id, page_no,
+          CASE WHEN top_price > 499000 THEN '{{{{"success": false, "error": "limit"}}}}'
+               WHEN top_price < 150000 THEN '{{{{"success": true, "data": null}}}}'
+               ELSE '{{{{"success": true, "data": [' || deals || ']}}}}' END AS payload
+        FROM (SELECT {_div('o_orderkey', 8)} AS page_no, max(o_totalprice) AS top_price, string_agg(
+            '{{{{"id": ' || CAST(o_orderkey AS string) || ', "title": "Deal ' || CAST(o_orderkey AS string)
             || '", "value": ' || CAST(CAST(floor(o_totalprice) AS bigint) AS string)
             || ', "currency": "EUR", "status": "' || o_orderstatus || '", "stage_id": ' || CAST(o_orderkey % 5 AS string)
             || ', "owner_name": null, "person_id": ' || CASE WHEN o_orderkey % 2 = 0
-                 THEN '{{"name": "P' || CAST(o_orderkey AS string) || '", "email": ['
-                      || CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '{{"value": "p' || CAST(o_orderkey AS string) || '@example.com"}}' END || ']}}'
+                 THEN '{{{{"name": "P' || CAST(o_orderkey AS string) || '", "email": ['
+                      || CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '{{{{"value": "p' || CAST(o_orderkey AS string) || '@example.com"}}}}' END || ']}}}}'
                  ELSE CAST(o_orderkey AS string) END
-            || ', "org_id": ' || CASE WHEN o_orderkey % 3 = 0 THEN '{{"name": "Org", "address": "Street 1"}}' ELSE 'null' END
-            || ', "lost_reason": "' || o_orderpriority || '"}}', ', ') AS deals
-          FROM {orders} GROUP BY o_custkey) AS o ON c_custkey = o_custkey"""),
+            || ', "org_id": ' || CASE WHEN o_orderkey % 3 = 0 THEN '{{{{"name": "Org", "address": "Street 1"}}}}' ELSE 'null' END
+            || ', "lost_reason": "' || o_orderpriority || '"}}}}', ', ') AS deals
+          FROM {{orders}} GROUP BY 1) AS o"""),
     "graph_edges": (("lineitem", "part"), """
         SELECT DISTINCT src, dst FROM (
           SELECT 'https://shop' || CAST(l_orderkey % 3 AS string) || '.example.com/o/' || CAST(l_orderkey AS string) AS src,
@@ -317,9 +316,15 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
           || '</body></html>' AS html
         FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey"""),
     "listing_pages": (("profile_pages", "lineitem"), """
-        SELECT l_partkey AS page_no, '<ul>' || string_agg(DISTINCT
+        SELECT CAST(floor(l_orderkey / 4) AS bigint) AS page_no, '<ul>' || string_agg(DISTINCT
             '<li><a href="https://shops.example.com/review/info_' || CAST(l_suppkey AS string) || '">p</a></li>', '') || '</ul>' AS html
-        FROM {lineitem} GROUP BY l_partkey"""),
+        FROM {lineitem} GROUP BY 1"""),
+    "about_pages": (("anchored",), """
+        SELECT url, html FROM {anchored}
+        UNION ALL
+        SELECT url || '/About-us', '<html><body><nav><p>menu</p></nav><main><h1>About</h1><ul><li>one</li><li> two </li></ul><p>We are '
+          || CAST(key AS string) || '</p><footer><p>foot</p></footer></main></body></html>'
+        FROM {anchored} WHERE html LIKE '%/About-us%'"""),
 }
 
 

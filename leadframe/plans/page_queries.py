@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries as d
 from ..functions import html as H
 from ..functions.text import nonblank_lines
-from ..operators import fetch, pages, profile, scoring
+from ..operators import crawl, fetch, pages, profile, scoring
 from . import twin as q
 from .fixtures import cte, frame
 from .registry import query
@@ -243,3 +243,29 @@ _PROFILE_SQL = """SELECT url AS "Page URL", 's' || s_suppkey || '.example.com' A
 @query("profile_extract", cte("profile_pages") + _PROFILE_SQL)
 def profile_extract(spark, sf):
     return profile.extract_profiles(frame(spark, sf, "profile_pages"))
+
+
+@query("classify_shop_domains", cte("domains", "attempts", "responses") + f"""
+    SELECT row_idx, domain, CASE WHEN url IS NULL THEN 'Unscrapable'
+        WHEN {_FIRST} IN {q.in_list(d.SHOP_LABELS)} THEN {_FIRST} ELSE 'Unclear' END AS label
+    FROM (SELECT dm.row_idx, domain, w.url, model_output
+      FROM (SELECT row_idx, {q.bare_domain('raw')} AS domain FROM domains WHERE trim(raw) <> '') AS dm
+      LEFT JOIN (
+        SELECT url FROM (SELECT url, status, {_ERROR_TEXT} AS text, row_number() OVER (PARTITION BY url ORDER BY source) AS n
+          FROM attempts WHERE source IN ('requests', 'selenium') AND (status <> 200 OR NOT {q.blank('html')}))
+        WHERE n = 1 AND status = 200 AND NOT regexp_matches(text, '(?i)attention required|cloudflare|verify you are human|captcha|access denied|blocked')
+          AND NOT {q.blank('text')}) AS w ON w.url = 'https://' || domain AND {q.valid_domain('domain')}
+      LEFT JOIN responses AS r ON r.row_idx = dm.row_idx)""")
+def classify_shop_domains(spark, sf):
+    return pages.label_domains(frame(spark, sf, "domains"), frame(spark, sf, "attempts"),
+                               frame(spark, sf, "responses"))
+
+
+@query("about_description", cte("anchored") + """
+    SELECT key, url || CASE key % 6 WHEN 0 THEN '/About-us' WHEN 1 THEN '/o-nas' WHEN 2 THEN '/x' WHEN 5 THEN '/team?x=1&y=2' ELSE '' END AS target,
+      CASE WHEN key % 6 = 0 THEN 'About' || chr(10) || 'onetwo' || chr(10) || 'We are ' || key
+           WHEN key % 6 IN (1, 2, 5) THEN '' ELSE body END AS description
+    FROM anchored JOIN (SELECT s_suppkey AS key, s_name AS body FROM supplier
+      UNION ALL SELECT doc_id + 1000000, """ + q.strip("text") + """ FROM documents) USING (key)""")
+def about_description(spark, sf):
+    return crawl.about_descriptions(frame(spark, sf, "anchored"), frame(spark, sf, "about_pages"), "key")

@@ -260,3 +260,33 @@ _ENDING_SQL = "'(?i)^(.*[^\\s,])[\\s,]+(?:" + "|".join(d.COMPANY_ENDINGS) + ")$'
     FROM company_names""")
 def company_name_clean(spark, sf):
     return frame(spark, sf, "company_names").select("key", "name", pages.clean_company_name("name").alias("clean"))
+
+
+@query("anchors", cte("anchored") + """
+    SELECT key, pos, href, text FROM (
+      SELECT key, 0 AS pos, CASE key % 6 WHEN 0 THEN '/start' WHEN 1 THEN 'https://facebook.com/about' WHEN 2 THEN '/x'
+          WHEN 3 THEN '/contact' WHEN 4 THEN 'https://www.linkedin.com/company/a' ELSE '/team?x=1&y=2' END AS href,
+        CASE key % 6 WHEN 0 THEN 'Start' WHEN 1 THEN 'fb' WHEN 2 THEN 'Our Story' WHEN 3 THEN 'Contact' WHEN 4 THEN 'li' ELSE 'T' END AS text
+      FROM anchored
+      UNION ALL
+      SELECT key, 1, CASE key % 6 WHEN 0 THEN '/About-us' ELSE '/o-nas' END, CASE key % 6 WHEN 0 THEN 'Us' ELSE 'O nas' END
+      FROM anchored WHERE key % 6 < 2)""")
+def anchors(spark, sf):
+    return crawl.anchors(frame(spark, sf, "anchored"), "key")
+
+
+@query("company_gaps_fill", _columns_sql("company_outputs", "company").replace("SELECT url AS", ", cols AS (SELECT url AS", 1) + """)
+    SELECT "URL", "Company Name", "Company Domain",
+      CASE WHEN "Email" NOT IN ('', 'null') THEN "Email" WHEN doc_id % 3 = 0 THEN 'info@' || source || '.example.com' ELSE '' END AS "Email",
+      CASE WHEN "Phone Number" <> '' THEN "Phone Number" WHEN doc_id % 4 = 0 THEN '+4930' || doc_id ELSE '' END AS "Phone Number",
+      "Address", "Hall Number", "Stand Number", "Description", "Linkedin link"
+    FROM cols JOIN (SELECT 'https://expo.example.com/' || doc_id AS "URL", doc_id, source FROM documents) USING ("URL")""")
+def company_gaps_fill(spark, sf):
+    docs = frame(spark, sf, "documents")
+    # what the landed page itself shows: a mailto link and a phone link
+    html = F.concat(
+        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('<a href="mailto:Info@'), "source", F.lit('.example.com">m</a>'))).otherwise(""),
+        F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit('<a href="tel:+49 (30) '), "doc_id", F.lit('">t</a>'))).otherwise(""))
+    shown = records.page_contacts(docs.select(
+        F.concat(F.lit("https://expo.example.com/"), "doc_id").alias("url"), html.alias("html")))
+    return records.fill_company_gaps(payload_to_columns_company(spark, sf), shown)

@@ -35,31 +35,33 @@ def small_or_plain(df: DataFrame, limit: int = 200_000) -> DataFrame:
     return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
 
 
-def hot_keys(keyed: DataFrame, key: str, share: float) -> DataFrame:
+def hot_keys(rows: DataFrame, key: Column, share: float, name: str = "_hk") -> DataFrame:
     """Keys that hold more than ``share`` of all rows: at most ``1 / share``.
 
     Rows are counted map-side first, so the hot key itself is no problem here.
     """
-    counts = keyed.groupBy(key).agg(F.count("*").alias("_n"))
-    total = keyed.select(key).agg(F.count("*")).scalar()
-    return counts.where(F.col("_n") > total * F.lit(share)).select(key)
+    counts = rows.groupBy(key.alias(name)).agg(F.count("*").alias("_n"))
+    total = rows.agg(F.count("*")).scalar()
+    return counts.where(F.col("_n") > total * F.lit(share)).select(name)
 
 
 def lookup(base: DataFrame, table: DataFrame, key: Column, table_key: str,
-           values: list[str], row_id: str | None = None, hot_share: float = 0.01) -> DataFrame:
+           values: list[str], row_id: str | None = None, hot_share: float = 0.01,
+           counted: Column | None = None) -> DataFrame:
     """Left-join ``values`` of a table with one row per key.
 
     The table grows with the data and gets no broadcast hint.  With ``row_id``
     the keys that hold more than ``hot_share`` of the base rows are answered
     from a broadcast of at most ``1 / hot_share`` rows, and their rows are
-    spread over the shuffle like rows without a key.
+    spread over the shuffle like rows without a key.  ``counted`` is a cheaper
+    expression to count by when ``key`` is costly and mostly equal to it.
     """
     answers = table.select(F.col(table_key).alias("_lk"), F.struct(*values).alias("_lv"))
     keyed = base.withColumn("_bk", key)
     if row_id is None:
         joined = keyed.join(answers, F.col("_bk") == F.col("_lk"), "left")
         return joined.select(*base.columns, *[F.col(f"_lv.{v}").alias(v) for v in values])
-    hot = hot_keys(keyed, "_bk", hot_share).withColumnRenamed("_bk", "_hk")
+    hot = hot_keys(base, key if counted is None else counted, hot_share)
     hot = hot.join(answers, F.col("_hk") == F.col("_lk"), "left") \
         .select("_hk", F.col("_lv").alias("_hv"))
     marked = keyed.join(F.broadcast(hot), F.col("_bk") == F.col("_hk"), "left") \

@@ -221,15 +221,15 @@ def split_fit_line(df: DataFrame, line: str) -> DataFrame:
         for i, n in enumerate(names)])
 
 
-def clean_company_name(name) -> Column:
+def clean_company_name(name, rounds: int = 6) -> Column:
     """Brand name without legal form, generic words, regions or marks.
 
-    Endings are removed one at a time from the right, four rounds; a name that
-    would become empty is kept.
+    Endings are removed one at a time from the right, up to ``rounds`` of them;
+    a name that would become empty is kept.
     """
     endings = "|".join(d.COMPANY_ENDINGS)
     original = py_strip(or_empty(name))
     text = py_strip(F.regexp_replace(original, "[®™©]", ""))
-    for _ in range(4):
+    for _ in range(rounds):
         text = F.regexp_replace(text, rf"(?i)^(.*[^\s,])[\s,]+(?:{endings})$", "$1")
     return F.coalesce(F.nullif(py_strip(text), F.lit("")), original)

@@ -128,7 +128,8 @@ def classify_titles(titles: DataFrame, cache: DataFrame | None = None,
         key = spread_key(open_row, F.col("title_norm"), F.col(row_id))
         renamed = answers.select(F.col("title_norm").alias("_t"),
                                  F.struct("label", "score").alias("_answer"))
-        staged = lookup(staged, renamed, key, "_t", ["_answer"], row_id)
+        staged = lookup(staged, renamed, key, "_t", ["_answer"], row_id,
+                        counted=F.col("title_norm"))
     else:
         staged = staged.withColumn("_answer", F.lit(None).cast("struct<label:string,score:double>"))
     by_rule = F.col("_rule").isNotNull()
@@ -153,7 +154,7 @@ def tag_positions(positions: DataFrame, renames: DataFrame, title: str = "title"
         .withColumn("_tag", F.when(F.col("_t") == "", F.lit("empty")).otherwise(c_level_tag("_t")))
     key = spread_key(F.col("_tag").isNull(), F.col("_t"), F.col(row_id))
     table = renames.select(F.col("title").alias("_rt"), py_strip("renamed").alias("_renamed"))
-    joined = lookup(staged, table, key, "_rt", ["_renamed"], row_id)
+    joined = lookup(staged, table, key, "_rt", ["_renamed"], row_id, counted=F.col("_t"))
     return joined.select(
         *positions.columns, F.coalesce("_tag", "_renamed", F.lit("error")).alias("position_tag"))
 

@@ -253,11 +253,13 @@ def prompt_requests(spark, sf):
 _ENDING_SQL = "'(?i)^(.*[^\\s,])[\\s,]+(?:" + "|".join(d.COMPANY_ENDINGS) + ")$', '\\1'"
 
 
+_CLEAN = "trim(translate(name, '®™©', ''))"
+for _ in range(6):
+    _CLEAN = f"regexp_replace({_CLEAN}, {_ENDING_SQL})"
+
+
 @query("company_name_clean", cte("company_names") + f"""
-    SELECT key, name, coalesce(nullif(trim(
-      regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(translate(name, '®™©', '')),
-        {_ENDING_SQL}), {_ENDING_SQL}), {_ENDING_SQL}), {_ENDING_SQL})), ''), trim(name)) AS clean
-    FROM company_names""")
+    SELECT key, name, coalesce(nullif(trim({_CLEAN}), ''), trim(name)) AS clean FROM company_names""")
 def company_name_clean(spark, sf):
     return frame(spark, sf, "company_names").select("key", "name", pages.clean_company_name("name").alias("clean"))
 

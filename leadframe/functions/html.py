@@ -13,7 +13,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import STRIP_CHARS, drop_head_if_marked, nonblank_lines, py_strip, unify_line_breaks
+from .text import drop_head_if_marked, join_nonblank, nonblank_lines, py_strip
 
 _GAP = "\x01"
 
@@ -99,9 +99,8 @@ def html_to_text_flat(df: DataFrame, html: str, out: str) -> DataFrame:
 
 def html_to_node_lines(df: DataFrame, html: str, out: str) -> DataFrame:
     """Stripped text nodes, one per line; breaks inside a node are kept."""
-    edge = f"(?<![{STRIP_CHARS}{_GAP}])[{STRIP_CHARS}]*+{_GAP}[{STRIP_CHARS}{_GAP}]*+"
-    joined = py_strip(F.regexp_replace("_gaps", edge, "\n"))
-    return _unmarked(df, html, LINES_DROPPED).withColumn(out, joined).drop("_gaps")
+    return _unmarked(df, html, LINES_DROPPED) \
+        .withColumn(out, join_nonblank(F.col("_gaps"), _GAP)).drop("_gaps")
 
 
 # Words that mark a consent banner, one list per tool variant.
@@ -125,5 +124,5 @@ def html_to_text_lines(df: DataFrame, html: str, out: str, consent_lines: int =
 __all__ = [
     "CONSENT_MARKERS", "CONSENT_MARKERS_RAW", "CONSENT_MARKERS_SHORT", "FLAT_DROPPED",
     "LINES_DROPPED", "decode_entities", "html_to_node_lines", "html_to_text_flat",
-    "html_to_text_lines", "markup_pattern", "unify_line_breaks",
+    "html_to_text_lines", "markup_pattern",
 ]

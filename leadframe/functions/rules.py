@@ -75,18 +75,84 @@ def guarded(pattern: str) -> str:
     return f"(?=[{''.join(sorted(firsts))}])(?:{pattern})"
 
 
-def any_match(text, patterns: Iterable[str], flags: str = EXACT_CASE) -> Column:
-    """Does any pattern of the group occur?  One alternation, one scan."""
-    return matches(text, guarded("|".join(patterns)), flags)
+def _closing(pattern: str, i: int) -> int:
+    """Index of the bracket that closes the one at ``i``."""
+    close, depth = {"(": ")", "[": "]", "{": "}"}[pattern[i]], 0
+    opening = pattern[i]
+    while i < len(pattern):
+        if pattern[i] == "\\":
+            i += 1
+        elif pattern[i] == opening and (opening != "[" or depth == 0):
+            depth += 1
+        elif pattern[i] == close:
+            depth -= 1
+            if depth == 0:
+                return i
+        i += 1
+    raise ValueError(f"unbalanced {opening} in {pattern}")
+
+
+def required_literal(branch: str) -> str:
+    """Longest plain text that every match of an alternative contains."""
+    runs, run, i = [], "", 0
+    while i < len(branch):
+        ch = branch[i]
+        if ch == "\\" and not branch[i + 1].isalnum():
+            run, i = run + branch[i + 1], i + 2
+            continue
+        if ch in "?*{":  # the character before it may be missing
+            run = run[:-1]
+        if ch in "([{":
+            i = _closing(branch, i)
+        elif ch == "\\":
+            i += 1
+        if ch in "\\([{?*+.^$":
+            runs.append(run)
+            run = ""
+        else:
+            run += ch
+        i += 1
+    return max([*runs, run], key=len)
 
 
-def count_matches(text, patterns: Iterable[str], flags: str = EXACT_CASE) -> Column:
+def occurs(text, pattern: str, flags: str = EXACT_CASE) -> Column:
+    """Search a lower-cased text; false for a missing text.
+
+    A substring test is far cheaper than a regex scan.  Alternatives that are
+    plain text are only tested that way; the others are scanned for only in
+    texts that contain the plain part they cannot do without.
+    """
+    text = _c(text)
+    plain, scanned, needed = [], [], set()
+    for branch in _top_level_branches(pattern):
+        literal = required_literal(branch)
+        if literal == branch:
+            plain.append(text.contains(literal))
+        else:
+            scanned.append(branch)
+            needed.add(literal)
+    tests = plain
+    if scanned:
+        scan = text.rlike(flags + guarded("|".join(scanned)))
+        if all(needed):
+            present = reduce(lambda a, b: a | b, [text.contains(n) for n in sorted(needed)])
+            scan = present & scan
+        tests = [*plain, scan]
+    return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
+
+
+def any_match(text, patterns: Iterable[str]) -> Column:
+    """Does any pattern of the group occur in the lower-cased text?"""
+    return reduce(lambda a, b: a | b, [occurs(text, p) for p in patterns])
+
+
+def count_matches(text, patterns: Iterable[str]) -> Column:
     """How many different patterns occur, however often each of them does."""
-    hits = [matches(text, guarded(p), flags).cast("bigint") for p in patterns]
+    hits = [occurs(text, p).cast("bigint") for p in patterns]
     return reduce(lambda a, b: a + b, hits, F.lit(0).cast("bigint"))
 
 
-def matched_names(text, patterns: Mapping[str, str], flags: str = EXACT_CASE) -> Column:
+def matched_names(text, patterns: Mapping[str, str]) -> Column:
     """Names of the patterns that occur, in dictionary order."""
-    named = [F.when(matches(text, guarded(p), flags), F.lit(n)) for n, p in patterns.items()]
+    named = [F.when(occurs(text, p), F.lit(n)) for n, p in patterns.items()]
     return F.array_compact(F.array(*named))

@@ -14,14 +14,9 @@ STRIP_CHARS = (
 )
 LINE_BREAKS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 
-INLINE_BLANKS = "".join(ch for ch in STRIP_CHARS if ch not in LINE_BREAKS)
 BLANK_CLASS = f"[{STRIP_CHARS}]"
 LINE_BREAK = f"(?:\r\n|[{LINE_BREAKS}])"
 
-# A whole blank run that holds a line break.  The look-behind pins the match to
-# the start of the run, so long runs of spaces stay linear to scan.
-_BLANK_RUN_WITH_BREAK = f"(?<![{STRIP_CHARS}])[{INLINE_BLANKS}]*+[{LINE_BREAKS}][{STRIP_CHARS}]*+"
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -48,7 +43,13 @@ def collapse_ws(col) -> Column:
 
 def nonblank_lines(col) -> Column:
     """Trim every line, drop the empty ones, join with newlines."""
-    return py_strip(F.regexp_replace(_c(col), _BLANK_RUN_WITH_BREAK, "\n"))
+    return join_nonblank(_c(col), f"[{LINE_BREAKS}]")
+
+
+def join_nonblank(col: Column, breaks: str) -> Column:
+    """Pieces between the breaks, stripped, without the empty ones, as lines."""
+    pieces = F.transform(F.split(col, breaks), py_strip)
+    return F.array_join(F.filter(pieces, lambda p: p != ""), "\n")
 
 
 def unify_line_breaks(col) -> Column:

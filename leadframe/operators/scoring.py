@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionaries as d
 from ..functions.payload import join_reasons, strict_json
-from ..functions.rules import any_match, matches
+from ..functions.rules import any_match, occurs
 from ..functions.text import _c, is_blank, or_empty, parse_int
 
 
@@ -88,7 +88,7 @@ def fit_rubric(df: DataFrame, text: str) -> DataFrame:
     low = df.withColumn("_low", F.lower(or_empty(text)))
     category = F
     for label, pattern in d.FIT_CATEGORIES.items():
-        category = category.when(matches("_low", pattern, "(?U)"), F.lit(label))
+        category = category.when(occurs("_low", pattern), F.lit(label))
     scored = low.select(*df.columns, category.otherwise(F.lit("other")).alias("exhibitor_type"),
                         any_match("_low", [d.FIT_B2B]).alias("_b2b"),
                         any_match("_low", [d.FIT_INNOVATION]).alias("_new"))

@@ -15,6 +15,16 @@ from ..functions.payload import strict_json
 from ..functions.text import _c, is_blank, py_strip
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core for row-wise work on a table that comes in few splits.
+
+    Parsing pages is bound by the processor, not by reading.  A table with at
+    least one split per core is returned as it is: a large one always is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _strings(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 

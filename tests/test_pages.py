@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadframe.functions import dictionaries as d
 from leadframe.functions import payload as P
-from leadframe.functions.rules import guarded
+from leadframe.functions.rules import guarded, required_literal
 from leadframe.operators import fetch, pages, profile, records, scoring
 
 VOTES = {
@@ -55,6 +55,14 @@ def test_guard_changes_nothing():
     assert guarded(r"\bab|cd") == r"\bab|cd" and guarded("a?b|c") == "a?b|c"
 
 
+@pytest.mark.parametrize("branch,literal", [
+    ("cart", "cart"), (r"add\s?to\s?cart", "cart"), ("stocks?", "stock"), ("fulfil(?:l)?ment", "fulfil"),
+    (r"\b3pl\b", "3pl"), ("[0-9]{1,2}% off", "% off"), ("(?:a|b)[0-9]+", ""), (r"plug[-\s]?in", "plug"), ("ab+c", "ab"),
+    (r"co\.uk", "co.uk"), ("ab{2}cd", "cd")])
+def test_required_literal(branch, literal):
+    assert required_literal(branch) == literal
+
+
 def test_ecommerce(spark):
     cases = {("a.com", "Commerce!"): "Yes", ("a.com", "e commerce"): "Yes", ("a.com", "commercial"): "No",
              ("a.com", "  "): "No content", ("a.com", None): "No content", ("a", "commerce"): "Invalid domain"}

@@ -8,6 +8,7 @@ though later steps read it several times.
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -42,16 +43,14 @@ LINES_DROPPED = ("script", "style", "template", "noscript", "svg")
 
 def _entity_map() -> Column:
     """Named entities from the standard library, plus the legacy code page."""
-    pairs: list[Column] = []
-    for name, code in sorted(name2codepoint.items()):
-        if name != "amp":
-            pairs += [F.lit(name), F.lit(chr(code))]
+    table = {name: chr(code) for name, code in name2codepoint.items() if name != "amp"}
+    table["apos"] = "'"
     for code in range(128, 160):
         legacy = bytes([code]).decode("cp1252", errors="ignore")
         if legacy:
-            pairs += [F.lit(f"#{code}"), F.lit(legacy)]
-    pairs += [F.lit("apos"), F.lit("'")]
-    return F.create_map(*pairs)
+            table[f"#{code}"] = legacy
+    # one literal that the optimizer folds, instead of hundreds of them
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
 def _numeric_entity(name: Column) -> Column:

@@ -6,9 +6,10 @@ its branches lazily and stops at the first hit, as the ladder of ifs would.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
+import json
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -115,44 +116,97 @@ def required_literal(branch: str) -> str:
     return max([*runs, run], key=len)
 
 
-def occurs(text, pattern: str, flags: str = EXACT_CASE) -> Column:
-    """Search a lower-cased text; false for a missing text.
+_ENTRY = "array<struct<name:string,plain:array<string>,needed:array<string>,scan:string>>"
+
+
+def _entry(name: str, pattern: str) -> dict:
+    """One dictionary entry: plain alternatives, and a regex for the others.
 
     A substring test is far cheaper than a regex scan.  Alternatives that are
     plain text are only tested that way; the others are scanned for only in
     texts that contain the plain part they cannot do without.
     """
-    text = _c(text)
-    plain, scanned, needed = [], [], set()
-    for branch in _top_level_branches(pattern):
-        literal = required_literal(branch)
-        if literal == branch:
-            plain.append(text.contains(literal))
+    branches = [(b, required_literal(b)) for b in _top_level_branches(pattern)]
+    scanned = [b for b, literal in branches if literal != b]
+    needed = {literal for b, literal in branches if literal != b}
+    return {
+        "name": name,
+        "plain": [b for b, literal in branches if literal == b],
+        "needed": sorted(needed) if all(needed) else [],
+        "scan": EXACT_CASE + guarded("|".join(scanned)) if scanned else None,
+    }
+
+
+def found_literals(text, *dictionaries: Mapping[str, str]) -> Column:
+    """Plain parts of the patterns that occur in a lower-cased text.
+
+    All words of the dictionaries are looked for in one pass over the text by a
+    multi-pattern automaton.  This is the one search that leaves the JVM, in
+    Arrow batches: with some two hundred words it measured about ten times
+    faster than as many substring tests.  Executors without the automaton
+    library test the words one by one.
+    """
+    entries = [_entry(n, p) for patterns in dictionaries for n, p in patterns.items()]
+    words = sorted({w for e in entries for w in (*e["plain"], *e["needed"])})
+
+    @F.pandas_udf("array<string>")
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            import ahocorasick
+        except ImportError:
+            def find(value):
+                return [w for w in words if value and w in value]
         else:
-            scanned.append(branch)
-            needed.add(literal)
-    tests = plain
-    if scanned:
-        scan = text.rlike(flags + guarded("|".join(scanned)))
-        if all(needed):
-            present = reduce(lambda a, b: a | b, [text.contains(n) for n in sorted(needed)])
-            scan = present & scan
-        tests = [*plain, scan]
-    return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
-
-
-def any_match(text, patterns: Iterable[str]) -> Column:
-    """Does any pattern of the group occur in the lower-cased text?"""
-    return reduce(lambda a, b: a | b, [occurs(text, p) for p in patterns])
+            automaton = ahocorasick.Automaton()
+            for word in words:
+                automaton.add_word(word, word)
+            automaton.make_automaton()
+
+            def find(value):
+                return list({word for _, word in automaton.iter(value)}) if value else []
 
+        for batch in batches:
+            yield batch.map(find)
 
-def count_matches(text, patterns: Iterable[str]) -> Column:
+    return search(_c(text))
+
+
+def occurring(text, patterns: Mapping[str, str], found: Column | None = None) -> Column:
+    """Dictionary entries that occur in a lower-cased text.
+
+    The dictionary is one folded literal, so the plan stays small however many
+    patterns there are.  ``found`` is the column of :func:`found_literals`;
+    without it the words of a small dictionary are tested one by one.  A
+    missing text has no entries.
+    """
+    text = _c(text)
+    entries = F.from_json(F.lit(json.dumps([_entry(n, p) for n, p in patterns.items()])), _ENTRY)
+
+    def any_of(words: Column) -> Column:
+        return F.exists(words, text.contains) if found is None else F.arrays_overlap(found, words)
+
+    def occurs(entry: Column) -> Column:
+        present = (F.size(entry["needed"]) == 0) | any_of(entry["needed"])
+        scanned = entry["scan"].isNotNull() & present & F.rlike(text, entry["scan"])
+        return any_of(entry["plain"]) | scanned
+
+    return F.filter(entries, lambda entry: F.coalesce(occurs(entry), F.lit(False)))
+
+
+def _named(patterns) -> Mapping[str, str]:
+    return patterns if isinstance(patterns, Mapping) else {str(i): p for i, p in enumerate(patterns)}
+
+
+def count_matches(text, patterns, found: Column | None = None) -> Column:
     """How many different patterns occur, however often each of them does."""
-    hits = [occurs(text, p).cast("bigint") for p in patterns]
-    return reduce(lambda a, b: a + b, hits, F.lit(0).cast("bigint"))
+    return F.size(occurring(text, _named(patterns), found)).cast("bigint")
+
+
+def any_match(text, patterns, found: Column | None = None) -> Column:
+    """Does any pattern of the group occur in the lower-cased text?"""
+    return count_matches(text, patterns, found) > 0
 
 
-def matched_names(text, patterns: Mapping[str, str]) -> Column:
+def matched_names(text, patterns: Mapping[str, str], found: Column | None = None) -> Column:
     """Names of the patterns that occur, in dictionary order."""
-    named = [F.when(occurs(text, p), F.lit(n)) for n, p in patterns.items()]
-    return F.array_compact(F.array(*named))
+    return F.transform(occurring(text, patterns, found), lambda entry: entry["name"])

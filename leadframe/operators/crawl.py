@@ -9,7 +9,7 @@ from ..functions import dictionaries as d
 from ..functions.html import decode_entities
 from ..functions.text import _c, _literal
 from ..functions.urls import HREF, base_parts, clean_href, host_of, resolve_href, unquote
-from ..session import checkpoint
+from ..session import materialize
 from .profile import main_content
 
 # Comments, scripts and styles hold no links.
@@ -105,13 +105,13 @@ def crawl_bfs(edges: DataFrame, starts: DataFrame, max_depth: int = 1) -> DataFr
     Off-host edges are dropped before the loop.  Each level is one join of the
     frontier with the edges on the page URL, so a large site is spread over the
     cluster, and one anti join against the links already collected.  Every
-    level is checkpointed in the shared folder: the plan stays short and a lost
-    executor costs one level at most.
+    level is written to the shared folder: the plan stays short, a lost
+    executor costs one level at most, and a frontier of known small size is
+    joined without moving the edges.
     """
     inner = edges.where(host_of("src") == host_of("dst")).select("src", "dst")
     if max_depth > 0:
-        # read, filtered and placed by page once; the levels only move frontiers
-        inner = checkpoint(inner.repartition("src"))
+        inner = materialize(inner, "edges")  # pages are parsed once, not once per level
     frontier = starts.select("start", F.col("start").alias("url")).distinct()
     collected, expanded = None, frontier
     for depth in range(max_depth + 1):
@@ -121,7 +121,7 @@ def crawl_bfs(edges: DataFrame, starts: DataFrame, max_depth: int = 1) -> DataFr
         )
         if collected is not None:
             found = found.join(collected.select("start", "url"), ["start", "url"], "left_anti")
-        found = checkpoint(found.withColumn("depth", F.lit(depth)))
+        found = materialize(found.withColumn("depth", F.lit(depth)), "level")
         collected = found if collected is None else collected.unionAll(found)
         if depth == max_depth or found.isEmpty():
             break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import materialize
 
 
 def spread_key(needed: Column, key: Column, row_id: Column) -> Column:
@@ -31,7 +31,7 @@ def pinned(df: DataFrame, name: str, value: Column) -> DataFrame:
 def small_or_plain(df: DataFrame, limit: int = 200_000) -> DataFrame:
     """Broadcast a table of narrow rows after counting it; larger ones are left
     to the ordinary shuffle join.  The counted rows are kept, not recomputed."""
-    kept = checkpoint(df)
+    kept = materialize(df, "small")
     return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries as d
 from ..functions.html import html_to_text_flat
 from ..functions.payload import unwrap_closed_label
-from ..functions.rules import any_match, count_matches, matched_names, matches
+from ..functions.rules import any_match, count_matches, found_literals, matched_names, matches
 from ..functions.text import _c, _literal, is_blank, nonblank_lines, or_empty, py_strip
 from ..functions.urls import build_url, is_valid_domain, normalize_domain
 from .fetch import THREE_STAGES, failed_or_has_html, first_settled
@@ -17,14 +17,22 @@ from .joins import lookup, spread_key
 E_COMMERCE_WORD = r"\b(e[\s\-]?commerce|commerce)\b"
 
 
+def _searched(df: DataFrame, text: str, *dictionaries) -> tuple[DataFrame, Column]:
+    """The lower-cased text and the dictionary words that occur in it."""
+    low = df.withColumn("_low", F.lower(or_empty(text))) \
+        .withColumn("_found", found_literals("_low", *dictionaries))
+    return low, F.col("_found")
+
+
 def with_votes(df: DataFrame, text: str, dictionary=d.EXHIBITOR_KEYWORDS) -> DataFrame:
     """Vote counters of a text: any strong yes, maybe count, strong no count."""
-    low = df.withColumn("_low", F.lower(or_empty(text)))
+    sides = {side: dictionary[side] for side in ("strong_yes", "maybe", "strong_no")}
+    low, found = _searched(df, text, *sides.values())
     return low.select(
         *df.columns,
-        any_match("_low", dictionary["strong_yes"].values()).alias("strong_yes"),
-        count_matches("_low", dictionary["maybe"].values()).alias("maybe_hits"),
-        count_matches("_low", dictionary["strong_no"].values()).alias("no_hits"),
+        any_match("_low", sides["strong_yes"], found).alias("strong_yes"),
+        count_matches("_low", sides["maybe"], found).alias("maybe_hits"),
+        count_matches("_low", sides["strong_no"], found).alias("no_hits"),
     )
 
 
@@ -115,14 +123,11 @@ def classify_ecommerce(df: DataFrame, domain: str, text: str) -> DataFrame:
 
 
 def _shop_evidence(df: DataFrame, text: str) -> DataFrame:
-    low = df.withColumn("_low", F.lower(or_empty(text)))
-    return low.select(
-        *df.columns,
-        count_matches("_low", d.SHOP_STRONG.values()).alias("shop_strong"),
-        count_matches("_low", d.SHOP_SOFT.values()).alias("shop_soft"),
-        count_matches("_low", d.PROVIDER_STRONG.values()).alias("sp_strong"),
-        count_matches("_low", d.PROVIDER_SOFT.values()).alias("sp_soft"),
-    )
+    sides = {"shop_strong": d.SHOP_STRONG, "shop_soft": d.SHOP_SOFT,
+             "sp_strong": d.PROVIDER_STRONG, "sp_soft": d.PROVIDER_SOFT}
+    low, found = _searched(df, text, *sides.values())
+    return low.select(*df.columns, *[
+        count_matches("_low", patterns, found).alias(name) for name, patterns in sides.items()])
 
 
 def classify_shop_sp(df: DataFrame, text: str) -> DataFrame:
@@ -149,8 +154,8 @@ def classify_shop_sp(df: DataFrame, text: str) -> DataFrame:
 
 def shop_categories(df: DataFrame, text: str, out: str = "categories") -> DataFrame:
     """Names of the shop categories whose words occur, in dictionary order."""
-    low = df.withColumn("_low", F.lower(or_empty(text)))
-    return low.select(*df.columns, matched_names("_low", d.SHOP_CATEGORIES).alias(out))
+    low, found = _searched(df, text, d.SHOP_CATEGORIES)
+    return low.select(*df.columns, matched_names("_low", d.SHOP_CATEGORIES, found).alias(out))
 
 
 def label_domains(domains: DataFrame, attempts: DataFrame, responses: DataFrame, labels=d.SHOP_LABELS,

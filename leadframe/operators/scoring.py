@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionaries as d
 from ..functions.payload import join_reasons, strict_json
-from ..functions.rules import any_match, occurs
+from ..functions.rules import any_match, matched_names
 from ..functions.text import _c, is_blank, or_empty, parse_int
 
 
@@ -86,10 +86,8 @@ def score_exhibitors(rows: DataFrame, answers: DataFrame, style: str = "comma")
 def fit_rubric(df: DataFrame, text: str) -> DataFrame:
     """Offline stand-in for a model score: 50 category, 5 B2B, 5 innovation."""
     low = df.withColumn("_low", F.lower(or_empty(text)))
-    category = F
-    for label, pattern in d.FIT_CATEGORIES.items():
-        category = category.when(occurs("_low", pattern), F.lit(label))
-    scored = low.select(*df.columns, category.otherwise(F.lit("other")).alias("exhibitor_type"),
+    category = F.coalesce(F.get(matched_names("_low", d.FIT_CATEGORIES), F.lit(0)), F.lit("other"))
+    scored = low.select(*df.columns, category.alias("exhibitor_type"),
                         any_match("_low", [d.FIT_B2B]).alias("_b2b"),
                         any_match("_low", [d.FIT_INNOVATION]).alias("_new"))
     points = F.when(F.col("exhibitor_type") != "other", 50).otherwise(0) \

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
@@ -35,7 +35,7 @@ def build_session(app: str = "leadframe", master: str | None = None, **conf) ->
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and hand-over tables.
+    """Shared folder for hand-over tables and streaming state.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only a local master may
     fall back to a folder of this machine, because there driver and executors
@@ -61,9 +61,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/leadframe/{label}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df, eager: bool = True):
-    """Reliable checkpoint in the shared folder; survives lost executors."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(work_dir(df.sparkSession))
-    return df.checkpoint(eager=eager)
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and go on from there.
+
+    Like a reliable checkpoint it cuts the lineage and survives lost executors.
+    Unlike one it is columnar and has a known size, so the next join knows
+    whether this side is small.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

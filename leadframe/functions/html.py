@@ -43,8 +43,8 @@ LINES_DROPPED = ("script", "style", "template", "noscript", "svg")
 
 def _entity_map() -> Column:
     """Named entities from the standard library, plus the legacy code page."""
-    table = {name: chr(code) for name, code in name2codepoint.items() if name != "amp"}
-    table["apos"] = "'"
+    table = {name: chr(code) for name, code in name2codepoint.items()}
+    table |= {"AMP": "&", "apos": "'"}
     for code in range(128, 160):
         legacy = bytes([code]).decode("cp1252", errors="ignore")
         if legacy:
@@ -55,34 +55,34 @@ def _entity_map() -> Column:
 
 def _numeric_entity(name: Column) -> Column:
     """``#65`` or ``#x41`` to its character; NULL when it is not a number."""
-    code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)) \
-        .when(name.startswith("#"), F.substring(name, 2, 8)) \
+    code = F.when(name.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(name, 3, 8), 16, 10)) \
+        .when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 8)) \
         .try_cast("bigint")
     valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(valid, char).when(code.isNotNull(), F.lit("�"))
+    return F.when(valid, char).when(code.isNotNull(), F.lit("\ufffd"))
 
 
 def decode_entities(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Decode character references; pages without '&' skip the work."""
+    """Decode character references; texts without '&' skip the work.
+
+    The text is cut at every '&' and each piece decodes the reference it starts
+    with, so nothing that decoding produces is decoded again.
+    """
     source = F.col(text)
-    names = F.array_distinct(F.regexp_extract_all(
-        source, F.lit("&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"), F.lit(1)))
-    others = F.filter(names, lambda n: ~n.isin("amp", "AMP", "#38", "#x26"))
     table = _entity_map()
 
-    def substitute(acc: Column, name: Column) -> Column:
-        reference = F.concat(F.lit("&"), name, F.lit(";"))
-        return F.replace(acc, reference, F.coalesce(
-            F.try_element_at(table, name), _numeric_entity(name), reference))
-
-    return (
-        df.withColumn("_refs", F.when(source.contains("&"), others))
-        .withColumn("_dec", F.when(F.size("_refs") > 0, F.aggregate("_refs", source, substitute))
-                    .otherwise(source))
-        .withColumn(out, F.regexp_replace("_dec", "&(?:amp|AMP|#38|#x26);", "&"))
-        .drop("_refs", "_dec")
-    )
+    def decoded(piece: Column, index: Column) -> Column:
+        end = F.instr(piece, ";")
+        name = F.substring(piece, F.lit(1), end - 1)
+        char = F.coalesce(F.try_element_at(table, name), _numeric_entity(name))
+        rest = F.substring(piece, end + 1, F.length(piece))
+        known = end.between(2, 33) & char.isNotNull()
+        return F.when(index == 0, piece).when(known, F.concat(char, rest)) \
+            .otherwise(F.concat(F.lit("&"), piece))
+
+    pieces = F.transform(F.split(source, "&"), decoded)
+    return df.withColumn(out, F.when(source.contains("&"), F.array_join(pieces, "")).otherwise(source))
 
 
 def _unmarked(df: DataFrame, html: str, dropped) -> DataFrame:

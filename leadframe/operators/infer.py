@@ -12,12 +12,13 @@ from .joins import lookup, spread_key
 
 
 def batch_infer(df: DataFrame, text: str, predict: Callable[[list[str]], list[tuple[str, float]]],
-                row_id: str, batch: int = 64) -> DataFrame:
+                row_id: str, batch: int = 64, hot_share: float | None = 0.01) -> DataFrame:
     """Label each distinct text once and join the answers back.
 
     ``predict`` takes a list of texts and returns ``(label, score)`` pairs; it
     is shipped to the executors and called with at most ``batch`` texts.  Rows
-    without text are not sent to the model.
+    without text are not sent to the model.  The texts are read more than once:
+    write them to a table first when they are costly to compute.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -34,4 +35,4 @@ def batch_infer(df: DataFrame, text: str, predict: Callable[[list[str]], list[tu
     answers = distinct.mapInPandas(run, "_text string, label string, score double")
     has_text = F.col(text).isNotNull() & (F.col(text) != "")
     return lookup(df, answers, spread_key(has_text, F.col(text), F.col(row_id)), "_text",
-                  ["label", "score"], row_id)
+                  ["label", "score"], row_id, hot_share)

@@ -46,7 +46,7 @@ def hot_keys(rows: DataFrame, key: Column, share: float, name: str = "_hk") -> D
 
 
 def lookup(base: DataFrame, table: DataFrame, key: Column, table_key: str,
-           values: list[str], row_id: str | None = None, hot_share: float = 0.01,
+           values: list[str], row_id: str | None = None, hot_share: float | None = 0.01,
            counted: Column | None = None) -> DataFrame:
     """Left-join ``values`` of a table with one row per key.
 
@@ -55,10 +55,11 @@ def lookup(base: DataFrame, table: DataFrame, key: Column, table_key: str,
     from a broadcast of at most ``1 / hot_share`` rows, and their rows are
     spread over the shuffle like rows without a key.  ``counted`` is a cheaper
     expression to count by when ``key`` is costly and mostly equal to it.
+    Counting reads the base once more; ``hot_share=None`` leaves it out.
     """
     answers = table.select(F.col(table_key).alias("_lk"), F.struct(*values).alias("_lv"))
     keyed = base.withColumn("_bk", key)
-    if row_id is None:
+    if row_id is None or hot_share is None:
         joined = keyed.join(answers, F.col("_bk") == F.col("_lk"), "left")
         return joined.select(*base.columns, *[F.col(f"_lv.{v}").alias(v) for v in values])
     hot = hot_keys(base, key if counted is None else counted, hot_share)

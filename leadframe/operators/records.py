@@ -94,13 +94,16 @@ def page_contacts(pages: DataFrame, html: str = "html") -> DataFrame:
     page = _c(html)
     phones = F.transform(F.regexp_extract_all(page, F.lit(r"(?i)href\s*=\s*[\"']tel:([^\"']+)"), F.lit(1)),
                          lambda p: F.regexp_replace(p, r"[^0-9+]", ""))
+    none = F.array().cast("array<string>")
+    mails = F.when(page.contains("@"), F.regexp_extract_all(page, F.lit(EMAIL), F.lit(0))) \
+        .when(page.isNotNull(), none)
     described = (
         r"(?is)<meta\s[^>]*?name\s*=\s*[\"']description[\"'][^>]*?content\s*=\s*\"([^\"]*)\"")
     staged = pages.select(
         *pages.columns,
         collapse_ws(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title", 1)).alias("title"),
         py_strip(F.regexp_extract(page, described, 1)).alias("description"),
-        _distinct_sorted(F.transform(F.regexp_extract_all(page, F.lit(EMAIL), F.lit(0)), F.lower)).alias("emails"),
+        _distinct_sorted(F.transform(mails, F.lower)).alias("emails"),
         _distinct_sorted(phones).alias("phones"),
         F.lit(None).cast("string").alias("address"),
         _distinct_sorted(F.regexp_extract_all(page, F.lit(_SOCIAL), F.lit(1))).alias("socials"),

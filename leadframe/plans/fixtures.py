@@ -253,7 +253,7 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
             || ', "lost_reason": "' || o_orderpriority || '"}}}}', ', ') AS deals
           FROM {{orders}} GROUP BY 1) AS o"""),
     "graph_edges": (("lineitem", "part"), """
-        SELECT DISTINCT src, dst FROM (
+        SELECT src, dst FROM (
           SELECT 'https://shop' || CAST(l_orderkey % 3 AS string) || '.example.com/o/' || CAST(l_orderkey AS string) AS src,
                  'https://shop' || CAST(l_partkey % 3 AS string) || '.example.com/p/' || CAST(l_partkey AS string) AS dst
           FROM {lineitem}

@@ -176,6 +176,19 @@ def test_stream_equals_batch_and_resumes(spark):
     assert sorted(map(tuple, spark.read.parquet(f"{base}/out").collect())) == [(1, "a"), (2, "b"), (3, "c")]
 
 
+def test_standing_query(spark):
+    base = scratch_path(spark, "standing")
+    rows = spark.createDataFrame([(1, "a")], "id int, t string")
+    rows.write.parquet(f"{base}/in")
+    query = incremental.start_continuous(spark, f"{base}/in", rows.schema, lambda df: df, f"{base}/out",
+                                         f"{base}/state", "1 second")
+    try:
+        query.processAllAvailable()
+        assert spark.read.parquet(f"{base}/out").count() == 1
+    finally:
+        query.stop()
+
+
 class Cluster:
     """A session that is not local, with or without a shared folder."""
 

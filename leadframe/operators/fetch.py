@@ -18,14 +18,17 @@ def has_html(html: str = "html") -> Column:
     return ~is_blank(html)
 
 
-def answered(status: str = "status") -> Column:
-    """A 200 ends the chain even when the page is empty."""
-    return F.coalesce(F.col(status) == 200, F.lit(False))
+def answered(status: str = "status", html: str = "html") -> Column:
+    """A 200 ends the chain even when the page is empty.
+
+    A fetcher that reports no status has answered when it brought a page.
+    """
+    return F.coalesce(F.col(status) == 200, has_html(html))
 
 
 def failed_or_has_html(status: str = "status", html: str = "html") -> Column:
     """Only an empty 200 is retried; an error status is final."""
-    return ~answered(status) | has_html(html)
+    return ~answered(status, html) | has_html(html)
 
 
 def first_settled(attempts: DataFrame, stages=THREE_STAGES, settled: Column | None = None,

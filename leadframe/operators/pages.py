@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as d
-from ..functions.html import html_to_text_flat
+from ..functions.html import (
+    CONSENT_MARKERS, CONSENT_MARKERS_RAW, CONSENT_MARKERS_SHORT, html_to_text_flat, html_to_text_lines)
 from ..functions.payload import unwrap_closed_label
 from ..functions.rules import any_match, count_matches, found_literals, matched_names, matches
-from ..functions.text import _c, _literal, is_blank, nonblank_lines, or_empty, py_strip
+from ..functions.text import (
+    _c, _literal, drop_head_if_marked, is_blank, nonblank_lines, or_empty, py_strip)
 from ..functions.urls import build_url, is_valid_domain, normalize_domain
-from .fetch import THREE_STAGES, failed_or_has_html, first_settled
+from .fetch import answered, first_settled
 from .joins import lookup, spread_key
 
 E_COMMERCE_WORD = r"\b(e[\s\-]?commerce|commerce)\b"
@@ -77,30 +79,51 @@ def _attach(cells: DataFrame, facts: DataFrame, row_id: str) -> DataFrame:
     return lookup(cells, facts, key, "url", values, row_id)
 
 
+def _attempt_texts(attempts: DataFrame, as_lines: tuple[str, ...] = (),
+                   markers=CONSENT_MARKERS_SHORT) -> DataFrame:
+    """Clean text of every attempt in ``_text``.
+
+    Sources named in ``as_lines`` deliver raw pages: hidden elements and a
+    consent banner are cut from those as well.
+    """
+    raw = F.col("source").isin(*as_lines) if as_lines else F.lit(False)
+    flat = html_to_text_flat(attempts.withColumn("_page", F.when(~raw, F.col("html"))), "_page", "_flat")
+    if not as_lines:
+        return flat.withColumn("_text", nonblank_lines("_flat")).drop("_page", "_flat")
+    both = html_to_text_lines(flat.withColumn("_page", F.when(raw, F.col("html"))), "_page", "_lines",
+                              markers=markers)
+    return both.withColumn("_text", F.coalesce(nonblank_lines("_flat"), "_lines")) \
+        .drop("_page", "_flat", "_lines")
+
+
 def exhibitor_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
                       row_id: str = "row_idx", dictionary=d.EXHIBITOR_KEYWORDS) -> DataFrame:
     """Domain cells to exhibitor labels, from landed fetch attempts.
 
-    Every page becomes its vote counters where it is read.  Choosing the
-    attempt and joining the domains then moves a few numbers per page.
+    The first source that brought any text counts.  Every page becomes its vote
+    counters where it is read; choosing the attempt and joining the domains
+    then moves a few numbers per page.
     """
-    texts = html_to_text_flat(attempts, "html", "_flat")
-    texts = texts.withColumn("_text", nonblank_lines("_flat"))
-    votes = with_votes(texts, "_text", dictionary).withColumn("blank", is_blank("_text"))
+    votes = with_votes(_attempt_texts(attempts, ("brightdata",)), "_text", dictionary) \
+        .withColumn("blank", is_blank("_text"))
     facts = ("strong_yes", "maybe_hits", "no_hits", "blank")
-    chosen = first_settled(votes, payload=facts).drop("source")
+    settled = answered() & ~is_blank("_text")
+    chosen = first_settled(votes, settled=settled, payload=facts).drop("source")
     joined = _attach(_domain_cells(domains, raw), chosen, row_id)
     return joined.select(row_id, "domain",
                          *exhibitor_label("domain", F.coalesce("blank", F.lit(True))))
 
 
 def ecommerce_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
-                      row_id: str = "row_idx", stages=THREE_STAGES) -> DataFrame:
-    """Domain cells to Yes / No / No content / Invalid domain."""
-    texts = html_to_text_flat(attempts, "html", "_flat")
-    facts = texts.select("url", "source", "html", is_blank("_flat").alias("blank"),
-                         matches("_flat", E_COMMERCE_WORD).alias("hit"))
-    chosen = first_settled(facts, stages, payload=("blank", "hit")).drop("source")
+                      row_id: str = "row_idx", stages=("requests", "selenium")) -> DataFrame:
+    """Domain cells to Yes / No / No content / Invalid domain.
+
+    An answered page without text is final; only failed requests fall through.
+    """
+    facts = _attempt_texts(attempts).select(
+        "url", "source", "status", "html", is_blank("_text").alias("blank"),
+        matches("_text", E_COMMERCE_WORD).alias("hit"))
+    chosen = first_settled(facts, stages, answered(), payload=("blank", "hit")).drop("source")
     joined = _attach(_domain_cells(domains, raw), chosen, row_id)
     label = (
         F.when(~is_valid_domain("domain"), F.lit("Invalid domain"))
@@ -160,17 +183,21 @@ def shop_categories(df: DataFrame, text: str, out: str = "categories") -> DataFr
 
 def label_domains(domains: DataFrame, attempts: DataFrame, responses: DataFrame, labels=d.SHOP_LABELS,
                   strict: bool = True, raw: str = "raw", row_id: str = "row_idx",
-                  stages=("requests", "selenium")) -> DataFrame:
+                  stages=("requests", "selenium"), as_lines: tuple[str, ...] = ()) -> DataFrame:
     """Domain cells to landed model labels, ``Unscrapable`` where no text was had.
 
-    An invalid domain, an error status, a bot wall and an empty page are all
-    unscrapable; an empty answered page is retried by the next stage.
-    ``responses`` has one ``row_idx, model_output`` row per cell.
+    An invalid domain, an error status, a bot wall on the first request and an
+    empty page are all unscrapable; an answered empty page is retried by the
+    next stage.  ``responses`` has one ``row_idx, model_output`` row per cell.
+    With ``stages=as_lines=("brightdata",)`` one raw fetcher is the only stage.
     """
-    texts = html_to_text_flat(attempts, "html", "_flat")
-    facts = texts.select("url", "source", "status", "html",
-                         (fetch_error("status", "_flat").isNull() & ~is_blank("_flat")).alias("readable"))
-    chosen = first_settled(facts, stages, failed_or_has_html(), payload=("readable",)).drop("source")
+    texts = _attempt_texts(attempts, as_lines, CONSENT_MARKERS)
+    cut = drop_head_if_marked(texts, "_text", "_cut", 30, CONSENT_MARKERS_RAW)
+    walled = (F.col("source") == "requests") & fetch_error("status", "_text").isNotNull()
+    facts = cut.select("url", "source", "status", "html", "_text",
+                       (answered() & ~is_blank("_cut") & ~walled).alias("readable"))
+    settled = ~answered() | ~is_blank("_text")
+    chosen = first_settled(facts, stages, settled, payload=("readable",)).drop("source")
     cells = _attach(_domain_cells(domains, raw), chosen, row_id)
     joined = cells.join(responses.select(row_id, "model_output"), row_id, "left")
     label = F.when(F.col("_url").isNull() | ~F.coalesce("readable", F.lit(False)), F.lit("Unscrapable")) \

@@ -59,12 +59,12 @@ def contacts_flatten(spark, sf):
     WITH deal_page AS (SELECT CAST(floor(o_orderkey / 8) AS bigint) AS page_no, max(o_totalprice) AS top FROM orders GROUP BY 1),
     stops AS (SELECT page_no % 25 AS load_id, min(page_no) AS stop FROM deal_page WHERE top > 499000 GROUP BY 1)
     SELECT CAST(o_orderkey AS varchar) AS id, 'Deal ' || o_orderkey AS title, CAST(CAST(floor(o_totalprice) AS bigint) AS varchar) AS value,
-      'EUR' AS currency, o_orderstatus AS status, NULL AS add_time, NULL AS update_time, CAST(o_orderkey % 5 AS varchar) AS stage_id,
-      NULL AS pipeline_id, NULL AS owner_name, CASE WHEN o_orderkey % 2 = 0 THEN 'P' || o_orderkey END AS person_name,
+      'EUR' AS currency, o_orderstatus AS status, CAST(NULL AS varchar) AS add_time, CAST(NULL AS varchar) AS update_time, CAST(o_orderkey % 5 AS varchar) AS stage_id,
+      CAST(NULL AS varchar) AS pipeline_id, CAST(NULL AS varchar) AS owner_name, CASE WHEN o_orderkey % 2 = 0 THEN 'P' || o_orderkey END AS person_name,
       CASE WHEN o_orderkey % 3 = 0 THEN 'Org' END AS org_name,
       CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 5 <> 0 THEN 'p' || o_orderkey || '@example.com' END AS person_email,
       CASE WHEN o_orderkey % 3 = 0 THEN 'Street 1' END AS org_address, o_orderpriority AS lost_reason,
-      NULL AS close_time, NULL AS won_time, NULL AS first_won_time
+      CAST(NULL AS varchar) AS close_time, CAST(NULL AS varchar) AS won_time, CAST(NULL AS varchar) AS first_won_time
     FROM orders JOIN deal_page AS p ON p.page_no = floor(o_orderkey / 8) LEFT JOIN stops ON load_id = p.page_no % 25
     WHERE top >= 150000 AND (stop IS NULL OR p.page_no < stop)""")
 def deals_flatten(spark, sf):
@@ -152,11 +152,11 @@ def people_search(spark, sf):
 @query("company_search", cte("people") + """
     SELECT row_idx, organization_name FROM people
     WHERE (employees BETWEEN 21 AND 200 OR employees BETWEEN 5000 AND 999999)
-      AND lower(organization_country) IN ('france', 'germany', 'nation_1', 'nation_2', 'nation1', 'nation2')""")
+      AND lower(organization_country) IN ('nation_1', 'nation_2', 'nation_12')""")
 def company_search(spark, sf):
     return crm.company_search(
         frame(spark, sf, "people"), employee_ranges=((21, 200), (5000, 999999)),
-        locations=("france", "germany", "nation_1", "nation_2", "nation1", "nation2"),
+        locations=("nation_1", "nation_2", "nation_12"),
     ).select("row_idx", "organization_name")
 
 

@@ -33,9 +33,24 @@ _WINNERS = f"""(SELECT url, html, source FROM (
       SELECT url, html, source, row_number() OVER (PARTITION BY url ORDER BY
         CASE source WHEN 'requests' THEN 1 WHEN 'selenium' THEN 2 ELSE 3 END) AS n
       FROM attempts WHERE NOT {q.blank('html')}) WHERE n = 1)"""
-_DOMAIN_TEXTS = f"""(SELECT row_idx, domain, lower(coalesce({q.nonblank(q.flat_text('html'))}, '')) AS t
+_ATTEMPT_TEXTS = f"""(SELECT url, source, status, CASE WHEN source = 'brightdata'
+    THEN {q.nonblank(q.cut_head('nodes', 50, H.CONSENT_MARKERS_SHORT))} ELSE {q.nonblank('flat')} END AS text
+    FROM (SELECT url, source, status, {q.flat_text('html')} AS flat, {q.node_lines('html')} AS nodes FROM attempts))"""
+
+
+def _domain_facts(sources, settled: str, value: str) -> str:
+    """Domain cells with a value of the first settled attempt of their URL."""
+    return f"""(SELECT dm.row_idx, domain, {value} AS t
     FROM (SELECT row_idx, {q.bare_domain('raw')} AS domain FROM domains WHERE trim(raw) <> '') AS dm
-    LEFT JOIN {_WINNERS} AS w ON w.url = 'https://' || domain AND {q.valid_domain('domain')})"""
+    LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY
+        CASE source WHEN 'requests' THEN 1 WHEN 'selenium' THEN 2 ELSE 3 END) AS n
+      FROM {_ATTEMPT_TEXTS} WHERE source IN {q.in_list(sources)} AND {settled}) WHERE n = 1) AS w
+    ON w.url = 'https://' || domain AND {q.valid_domain('domain')})"""
+
+
+_ALL = ("requests", "selenium", "brightdata")
+_DOMAIN_TEXTS = _domain_facts(_ALL, f"status = 200 AND NOT {q.blank('text')}", "lower(coalesce(text, ''))")
+_ANSWERED_TEXTS = _domain_facts(_ALL[:2], "status = 200", "lower(coalesce(text, ''))")
 
 
 @query("classify_exhibitor", cte("domains", "attempts") + f"""
@@ -51,7 +66,7 @@ def classify_exhibitor(spark, sf):
 @query("classify_ecommerce", cte("domains", "attempts") + f"""
     SELECT row_idx, domain, CASE WHEN NOT {q.valid_domain('domain')} THEN 'Invalid domain' WHEN t = '' THEN 'No content'
         WHEN {q.has('t', pages.E_COMMERCE_WORD)} THEN 'Yes' ELSE 'No' END AS label
-    FROM {_DOMAIN_TEXTS}""")
+    FROM {_ANSWERED_TEXTS}""")
 def classify_ecommerce(spark, sf):
     return pages.ecommerce_domains(frame(spark, sf, "domains"), frame(spark, sf, "attempts"))
 
@@ -245,17 +260,16 @@ def profile_extract(spark, sf):
     return profile.extract_profiles(frame(spark, sf, "profile_pages"))
 
 
+_WALL = "(?i)attention required|cloudflare|verify you are human|captcha|access denied|blocked"
+_READABLE = f"""(status = 200 AND NOT {q.blank(q.cut_head('text', 30, H.CONSENT_MARKERS_RAW))}
+    AND NOT (source = 'requests' AND regexp_matches(text, '{_WALL}')))"""
+
+
 @query("classify_shop_domains", cte("domains", "attempts", "responses") + f"""
-    SELECT row_idx, domain, CASE WHEN url IS NULL THEN 'Unscrapable'
+    SELECT f.row_idx, domain, CASE WHEN NOT coalesce(t, false) THEN 'Unscrapable'
         WHEN {_FIRST} IN {q.in_list(d.SHOP_LABELS)} THEN {_FIRST} ELSE 'Unclear' END AS label
-    FROM (SELECT dm.row_idx, domain, w.url, model_output
-      FROM (SELECT row_idx, {q.bare_domain('raw')} AS domain FROM domains WHERE trim(raw) <> '') AS dm
-      LEFT JOIN (
-        SELECT url FROM (SELECT url, status, {_ERROR_TEXT} AS text, row_number() OVER (PARTITION BY url ORDER BY source) AS n
-          FROM attempts WHERE source IN ('requests', 'selenium') AND (status <> 200 OR NOT {q.blank('html')}))
-        WHERE n = 1 AND status = 200 AND NOT regexp_matches(text, '(?i)attention required|cloudflare|verify you are human|captcha|access denied|blocked')
-          AND NOT {q.blank('text')}) AS w ON w.url = 'https://' || domain AND {q.valid_domain('domain')}
-      LEFT JOIN responses AS r ON r.row_idx = dm.row_idx)""")
+    FROM {_domain_facts(_ALL[:2], f"(status <> 200 OR NOT {q.blank('text')})", _READABLE)} AS f
+    LEFT JOIN responses AS r ON r.row_idx = f.row_idx""")
 def classify_shop_domains(spark, sf):
     return pages.label_domains(frame(spark, sf, "domains"), frame(spark, sf, "attempts"),
                                frame(spark, sf, "responses"))

@@ -20,8 +20,9 @@ _GAP = "\x01"
 
 
 def _attributes(atomic: bool) -> str:
-    # Attribute text up to the closing '>', with quoted values kept whole.
-    body = r"""[^>=]+|=\s*"[^"]*"|=\s*'[^']*'|="""
+    # Attribute text up to the closing '>', with quoted values kept whole.  A bare
+    # '<' ends the attempt, so a run of unclosed tags is scanned once, not once per tag.
+    body = r"""[^<>=]+|=\s*"[^"]*"|=\s*'[^']*'|="""
     return f"(?>{body})*+" if atomic else f"(?:{body})*"
 
 

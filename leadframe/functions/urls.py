@@ -98,7 +98,7 @@ def resolve_url(base, href) -> Column:
 
 
 # An anchor's href with its quotes; bare values are allowed as well.
-HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
+HREF = r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
 
 
 def unquote(value) -> Column:

@@ -15,7 +15,7 @@ from .profile import main_content
 # Comments, scripts and styles hold no links.
 _HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script[\s/>].*?(?:</script\s*>|\z)"
            r"|style[\s/>].*?(?:</style\s*>|\z))")
-_ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*(?:"[^"]+"|'[^']+'|[^\s"'>]+)[^>]*>.*?(?:</a\s*>|\z)"""
+_ANCHOR = r"""(?is)<a\s[^<>]*?href\s*=\s*(?:"[^"]+"|'[^']+'|[^\s"'>]+)[^<>]*>.*?(?:</a\s*>|\z)"""
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html",

@@ -93,6 +93,12 @@ def test_links_edge_cases(spark):
     assert got == ["https://h.com/a", "https://h.com/d/b?x=1&y=2", "https://h.com/d/c", "https://h.com/d/e?q#f"]
 
 
+def test_links_of_unclosed_tags(spark):
+    rows = spark.createDataFrame([("https://h.com/", "<a " * 100_000 + "<a href=x>")], "url string, html string")
+    assert [r.dst for r in crawl.page_links(rows).collect()] == ["https://h.com/x"]
+    assert crawl.about_link(rows, "url", "html").first().about_url is None
+
+
 def test_about_link(spark):
     cases = [
         ("<a href='/x'>About us</a>", "https://a.com/x"), ("<a href='/O-NAS'>x</a>", "https://a.com/O-NAS"),

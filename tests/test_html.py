@@ -81,6 +81,10 @@ def test_many_adjacent_tags_and_long_attributes(spark):
     assert run(spark, [page], H.html_to_text_flat) == ["x y"]
 
 
+def test_unclosed_tags_are_scanned_once(spark):
+    assert run(spark, ["<a " * 300_000 + "x"], H.html_to_text_flat)[0].endswith("x")
+
+
 def test_lines_with_consent_cut(spark):
     page = "<p>We use cookies</p>" + "".join(f"<p>l{i}</p>" for i in range(60))
     out = run(spark, [page], H.html_to_text_lines)[0]

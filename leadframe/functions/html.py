@@ -37,6 +37,10 @@ def markup_pattern(dropped: tuple[str, ...], atomic: bool = True) -> str:
     return rf"(?is)<(?:!--.*?(?:-->|\z)|{blocks}|[a-z/!?]{_attributes(atomic)}>)"
 
 
+# Comments, scripts and styles hold no links and no readable text.
+HIDDEN_BLOCKS = (r"(?is)<(?:!--.*?(?:-->|\z)|script[\s/>].*?(?:</script\s*>|\z)"
+                 r"|style[\s/>].*?(?:</style\s*>|\z))")
+
 # Elements whose text is never part of the visible text.
 FLAT_DROPPED = ("script", "style", "template")
 LINES_DROPPED = ("script", "style", "template", "noscript", "svg")
@@ -122,7 +126,7 @@ def html_to_text_lines(df: DataFrame, html: str, out: str, consent_lines: int =
 
 
 __all__ = [
-    "CONSENT_MARKERS", "CONSENT_MARKERS_RAW", "CONSENT_MARKERS_SHORT", "FLAT_DROPPED",
+    "CONSENT_MARKERS", "CONSENT_MARKERS_RAW", "CONSENT_MARKERS_SHORT", "FLAT_DROPPED", "HIDDEN_BLOCKS",
     "LINES_DROPPED", "decode_entities", "html_to_node_lines", "html_to_text_flat",
     "html_to_text_lines", "markup_pattern",
 ]

@@ -6,15 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as d
-from ..functions.html import decode_entities
+from ..functions.html import HIDDEN_BLOCKS, decode_entities
 from ..functions.text import _c, _literal
 from ..functions.urls import HREF, base_parts, clean_href, host_of, resolve_href, unquote
 from ..session import materialize
 from .profile import main_content
 
-# Comments, scripts and styles hold no links.
-_HIDDEN = (r"(?is)<(?:!--.*?(?:-->|\z)|script[\s/>].*?(?:</script\s*>|\z)"
-           r"|style[\s/>].*?(?:</style\s*>|\z))")
 _ANCHOR = r"""(?is)<a\s[^<>]*?href\s*=\s*(?:"[^"]+"|'[^']+'|[^\s"'>]+)[^<>]*>.*?(?:</a\s*>|\z)"""
 
 
@@ -29,7 +26,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html",
                         lambda x: clean_href(unquote(x)))
     listed = (
         pages.select(*keep, F.col(url).alias("src"),
-                     F.regexp_replace(html, _HIDDEN, "").alias("_visible"))
+                     F.regexp_replace(html, HIDDEN_BLOCKS, "").alias("_visible"))
         .withColumn("_hrefs", F.array_join(hrefs, "\n"))
         .withColumn("_base", base_parts("src"))
         .drop("_visible")
@@ -52,7 +49,7 @@ def _anchor_list(html) -> Column:
         return F.struct(unquote(F.regexp_extract(markup, HREF, 1)).alias("href"),
                         F.regexp_replace(markup, r"(?s)<[^>]*>", "").alias("text"))
 
-    visible = F.regexp_replace(_c(html), _HIDDEN, "")
+    visible = F.regexp_replace(_c(html), HIDDEN_BLOCKS, "")
     return F.transform(F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(0)), anchor)
 
 

@@ -12,11 +12,12 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dictionaries import PROFILE_CLASSES, PROFILE_CONTACT_HEADING
-from ..functions.text import STRIP_CHARS, clean_cell
+from ..functions.html import HIDDEN_BLOCKS
+from ..functions.text import STRIP_CHARS, _c, clean_cell
 
 # The helpers travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -87,7 +88,8 @@ class _Tree(HTMLParser):
 
 def _parse(html: str) -> _Node:
     tree = _Tree()
-    tree.feed(html)
+    end = html.rfind(">") + 1  # behind the last tag a '<' can only be text
+    tree.feed(html[:end] + html[end:].replace("<", ""))
     tree.close()
     return tree.root
 
@@ -147,6 +149,12 @@ def profile_fields(html: str | None, classes: dict[str, str], heading: str) -> d
     return out
 
 
+def _without_hidden(html) -> Column:
+    """Page for the parser: hidden blocks shrink to an empty element, so the
+    texts around them stay apart."""
+    return F.regexp_replace(_c(html), HIDDEN_BLOCKS, "<wbr>")
+
+
 def main_content(df: DataFrame, html: str, out: str) -> DataFrame:
     """Readable content of each page, one line per element."""
 
@@ -154,7 +162,7 @@ def main_content(df: DataFrame, html: str, out: str) -> DataFrame:
     def content(column: pd.Series) -> pd.Series:
         return column.map(content_text)
 
-    return df.withColumn(out, content(html))
+    return df.withColumn(out, content(_without_hidden(html)))
 
 
 def extract_profiles(pages: DataFrame, url: str = "url", html: str = "html",
@@ -169,6 +177,6 @@ def extract_profiles(pages: DataFrame, url: str = "url", html: str = "html",
 
     names = (("Domain", "domain"), ("Phone", "phone"), ("Address", "address"),
              ("Contact person", "contact"), ("About", "about"))
-    staged = pages.select(F.col(url).alias("_url"), fields(html).alias("_f"))
+    staged = pages.select(F.col(url).alias("_url"), fields(_without_hidden(html)).alias("_f"))
     return staged.select(clean_cell("_url").alias("Page URL"),
                          *[clean_cell(f"_f.{source}").alias(name) for name, source in names])

@@ -211,6 +211,13 @@ def test_main_content():
     assert profile.content_text("<p>none</p>") == "" and profile.content_text(None) == ""
 
 
+def test_main_content_of_broken_pages(spark):
+    pages_ = {"<body><p>a<!-- c --> b</p>" + "<!-- " * 50_000: "ab", "<body><p>x</p>" + "<a " * 50_000: "x",
+              "<body><script>'<!--'</script><p>y</p>": "y"}
+    rows = spark.createDataFrame([(p,) for p in pages_], "html string")
+    assert {r.html: r.o for r in profile.main_content(rows, "html", "o").collect()} == pages_
+
+
 def test_profile_defaults_to_blanks():
     assert set(profile.profile_fields("<p>x</p>", d.PROFILE_CLASSES, d.PROFILE_CONTACT_HEADING).values()) == {""}
 

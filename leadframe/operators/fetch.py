@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from .joins import pinned
 
 # The order in which fetchers are tried.
 THREE_STAGES = ("requests", "selenium", "brightdata")
@@ -38,8 +39,8 @@ def first_settled(attempts: DataFrame, stages=THREE_STAGES, settled: Column | No
     ``attempts`` has one row per URL and source.  The payload of the first
     stage, normally most of the data, is passed through without a shuffle: each
     later stage only drops the URLs that are already settled, and the settled
-    keys travel without their payload.  Reduce a page to the few columns that
-    are needed before calling this, and no page body is shuffled at all.
+    keys travel without their payload.  This is for page bodies; when a page is
+    reduced to a few columns first, :func:`first_settled_facts` is better.
     """
     settled = has_html() if settled is None else settled
     done = attempts.where(settled)
@@ -56,3 +57,19 @@ def first_settled(attempts: DataFrame, stages=THREE_STAGES, settled: Column | No
     failed = known.join(earlier, key, "left_anti").select(
         key, *[F.lit(None).cast(types[c]).alias(c) for c in payload], F.lit("").alias("source"))
     return reduce(DataFrame.unionAll, winners + [failed])
+
+
+def first_settled_facts(attempts: DataFrame, stages=THREE_STAGES, settled: Column | None = None,
+                        key: str = "url", payload: tuple[str, ...] = ()) -> DataFrame:
+    """Like :func:`first_settled` for a few columns computed from the page.
+
+    Every attempt is evaluated once and becomes one narrow value where it is
+    read; the smallest stage per URL is found by one aggregation.
+    """
+    settled = has_html() if settled is None else settled
+    rank = F.coalesce(*[F.when(F.col("source") == s, F.lit(i)) for i, s in enumerate(stages)])
+    fact = F.when(settled, F.struct(rank.alias("_rank"), *payload, "source"))
+    tried = attempts.where(F.col("source").isin(*stages))
+    best = pinned(tried, "_fact", fact).select(key, "_fact").groupBy(key).agg(F.min("_fact").alias("_fact"))
+    return best.select(key, *[F.col(f"_fact.{c}").alias(c) for c in payload],
+                       F.coalesce("_fact.source", F.lit("")).alias("source"))

@@ -63,7 +63,9 @@ def lookup(base: DataFrame, table: DataFrame, key: Column, table_key: str,
         joined = keyed.join(answers, F.col("_bk") == F.col("_lk"), "left")
         return joined.select(*base.columns, *[F.col(f"_lv.{v}").alias(v) for v in values])
     hot = hot_keys(base, key if counted is None else counted, hot_share)
-    hot = hot.join(answers, F.col("_hk") == F.col("_lk"), "left") \
+    # a merge join shuffles the table exactly as the main join does, so that one
+    # exchange serves both and the table is computed once
+    hot = hot.join(answers.hint("merge"), F.col("_hk") == F.col("_lk"), "left") \
         .select("_hk", F.col("_lv").alias("_hv"))
     marked = keyed.join(F.broadcast(hot), F.col("_bk") == F.col("_hk"), "left") \
         .withColumn("_sk", spread_key(F.col("_hk").isNull(), F.col("_bk"), F.col(row_id)))

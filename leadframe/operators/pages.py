@@ -13,7 +13,7 @@ from ..functions.rules import any_match, count_matches, found_literals, matched_
 from ..functions.text import (
     _c, _literal, drop_head_if_marked, is_blank, nonblank_lines, or_empty, py_strip)
 from ..functions.urls import build_url, is_valid_domain, normalize_domain
-from .fetch import answered, first_settled
+from .fetch import answered, first_settled_facts
 from .joins import lookup, spread_key
 
 E_COMMERCE_WORD = r"\b(e[\s\-]?commerce|commerce)\b"
@@ -107,8 +107,8 @@ def exhibitor_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
     votes = with_votes(_attempt_texts(attempts, ("brightdata",)), "_text", dictionary) \
         .withColumn("blank", is_blank("_text"))
     facts = ("strong_yes", "maybe_hits", "no_hits", "blank")
-    settled = answered() & ~is_blank("_text")
-    chosen = first_settled(votes, settled=settled, payload=facts).drop("source")
+    settled = answered() & ~F.col("blank")
+    chosen = first_settled_facts(votes, settled=settled, payload=facts).drop("source")
     joined = _attach(_domain_cells(domains, raw), chosen, row_id)
     return joined.select(row_id, "domain",
                          *exhibitor_label("domain", F.coalesce("blank", F.lit(True))))
@@ -123,7 +123,7 @@ def ecommerce_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
     facts = _attempt_texts(attempts).select(
         "url", "source", "status", "html", is_blank("_text").alias("blank"),
         matches("_text", E_COMMERCE_WORD).alias("hit"))
-    chosen = first_settled(facts, stages, answered(), payload=("blank", "hit")).drop("source")
+    chosen = first_settled_facts(facts, stages, answered(), payload=("blank", "hit")).drop("source")
     joined = _attach(_domain_cells(domains, raw), chosen, row_id)
     label = (
         F.when(~is_valid_domain("domain"), F.lit("Invalid domain"))
@@ -197,7 +197,7 @@ def label_domains(domains: DataFrame, attempts: DataFrame, responses: DataFrame,
     facts = cut.select("url", "source", "status", "html", "_text",
                        (answered() & ~is_blank("_cut") & ~walled).alias("readable"))
     settled = ~answered() | ~is_blank("_text")
-    chosen = first_settled(facts, stages, settled, payload=("readable",)).drop("source")
+    chosen = first_settled_facts(facts, stages, settled, payload=("readable",)).drop("source")
     cells = _attach(_domain_cells(domains, raw), chosen, row_id)
     joined = cells.join(responses.select(row_id, "model_output"), row_id, "left")
     label = F.when(F.col("_url").isNull() | ~F.coalesce("readable", F.lit(False)), F.lit("Unscrapable")) \

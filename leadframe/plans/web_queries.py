@@ -87,7 +87,7 @@ def discover_and_extract(spark, sf):
     # titles are read where the page is read; the join moves no page bodies
     summary = records.page_contacts(attempts).select(
         "url", "source", F.when(F.col("html").isNotNull(), F.lit("x")).alias("html"), "title")
-    fetched = matched.join(fetch.first_settled(summary, ("requests",), payload=("html", "title")), "url", "left")
+    fetched = matched.join(fetch.first_settled_facts(summary, ("requests",), payload=("html", "title")), "url", "left")
     return records.result_log(fetched, output=F.col("title")).orderBy("URL")
 
 

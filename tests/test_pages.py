@@ -134,6 +134,15 @@ def test_first_success(spark):
                              "d": (None, ""), "e": ("E2", "selenium")}
 
 
+def test_facts_choose_the_same_attempt(spark):
+    rows = spark.createDataFrame(ATTEMPTS, "url string, source string, status int, html string")
+    for args in ((fetch.THREE_STAGES, None), (("requests", "selenium"), fetch.answered()),
+                 (("requests", "selenium"), fetch.failed_or_has_html())):
+        bodies = {r.url: (r.html, r.source) for r in fetch.first_settled(rows, *args).collect()}
+        facts = fetch.first_settled_facts(rows, *args, payload=("html",)).collect()
+        assert {r.url: (r.html, r.source) for r in facts} == bodies
+
+
 def test_two_stage_policies(spark):
     two = ("requests", "selenium")
     assert settle(spark, two, fetch.answered()) == {

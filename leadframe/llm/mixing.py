@@ -15,7 +15,7 @@ def n_words(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, max_epochs: int = 3) -> DataFrame:
-    """Target of every source from ``sizes`` (source, source_size), one row per source.
+    """Target of every source from ``sizes`` (source, _name, source_size), one row per source.
 
     Sources in code-point order, null last, get the weights in turn.  The budget
     ``share`` × all words is shared by weight; a source stops at ``max_epochs``
@@ -38,13 +38,13 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, max_ep
     here = (budget - F.coalesce(F.sum("_cap").over(before), F.lit(0))) / F.sum("_w").over(rest)
     final = F.max(F.when(F.col("_here") <= F.col("_level"), F.col("_here"))).over(whole)
     return levels.withColumn("_here", here).withColumn("_final", final) \
-        .select("source", "source_size", F.when(F.col("_final").isNull() | (F.col("_level") < F.col("_final")),
+        .select("source", "_name", "source_size", F.when(F.col("_final").isNull() | (F.col("_level") < F.col("_final")),
                                                 F.col("_cap").cast("double"))
                 .otherwise(F.col("_final") * F.col("_w")).alias("target"))
 
 
 def mix(docs: DataFrame, size: Column | None = None, weights=WEIGHTS, share: float = 1.0, max_epochs: int = 3,
-        seed: int = 7, bucket_rows: int = 20_000) -> DataFrame:
+        seed: int = 7, bucket_rows: int = 2_000) -> DataFrame:
     """How often the mix takes each document: (doc_id, source, size, source_size, target, epochs, taken).
 
     Every document has a random key, the hash of seed and ``doc_id``; within a
@@ -60,38 +60,46 @@ def mix(docs: DataFrame, size: Column | None = None, weights=WEIGHTS, share: flo
     that repeat a ``doc_id``, smaller ones come first.  An empty table
     gives an empty result.  Other columns are ignored.
     """
+    return _decided(docs.select("doc_id", "source", "text"), size, weights, share, max_epochs, seed, bucket_rows) \
+        .select("_row.doc_id", "_row.source", "size", "source_size", "target", "epochs",
+                (F.col("epochs") * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, size: Column | None = None, weights=WEIGHTS, share: float = 1.0,
+                    max_epochs: int = 3, seed: int = 7, bucket_rows: int = 2_000) -> DataFrame:
+    """The documents themselves, all columns, each as often as :func:`mix` takes it; one shuffle of the texts."""
+    chosen = _decided(docs, size, weights, share, max_epochs, seed, bucket_rows).where("epochs > 0")
+    return chosen.select("_row", F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("_epoch")).select("_row.*")
+
+
+def _decided(docs: DataFrame, size: Column | None, weights, share: float, max_epochs: int, seed: int,
+             bucket_rows: int) -> DataFrame:
+    """_row (the whole row), size, source_size, target, epochs"""
     size = n_words(F.col("text")) if size is None else size
-    rows = docs.select("doc_id", "source", size.cast("long").alias("size")) \
-        .withColumn("_key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-                                  .cast("binary")))
-    total = docs.count()
-    bits = max(0, min(31, (total // bucket_rows).bit_length()))
-    rows = rows.withColumn("_bucket", F.shiftright(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long"), 32 - bits))
-    parts = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
-    sizes = parts.groupBy("source").agg(F.sum("_sum").cast("long").alias("source_size"))
-    ahead = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.withColumn("_ahead", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))) \
-        .select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_ahead")
-    targets = source_targets(sizes, weights, share, max_epochs).withColumnRenamed("source", "_t")
-    plan = offsets.join(targets, F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
-    inside = Window.partitionBy("source", "_bucket").orderBy("_key", "size") \
+    bits = max(0, min(31, (docs.count() // bucket_rows).bit_length()))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))  # null too is a source, and joins like one
+    bucket = F.shiftright(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long"), 32 - bits)
+
+    def keyed(*columns: Column) -> DataFrame:
+        return docs.select(*columns, "source", size.cast("long").alias("size"), key.alias("_key"), name.alias("_name")) \
+            .withColumn("_bucket", bucket)
+
+    parts = keyed().groupBy("source", "_name", "_bucket").agg(F.sum("size").alias("_sum"))
+    sizes = parts.groupBy("source", "_name").agg(F.sum("_sum").cast("long").alias("source_size"))
+    ahead = Window.partitionBy("_name").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("_ahead", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))).select("_name", "_bucket", "_ahead")
+    plan = offsets.join(source_targets(sizes, weights, share, max_epochs).drop("source"), "_name")
+    inside = Window.partitionBy("_name", "_bucket").orderBy("_key", "size") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = rows.withColumn("_run", F.sum("size").over(inside))
-    joined = summed.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    summed = keyed(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")) \
+        .withColumn("_run", F.sum("size").over(inside)).drop("source")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     left = F.col("target") - F.col("_whole") * F.col("source_size")
     middle = F.col("_ahead") + F.col("_run") - F.col("size") / 2.0
     epochs = F.when(F.col("size") > 0, F.col("_whole") + (middle < left).cast("long")).otherwise(F.lit(0))
-    return joined.withColumn("_whole", whole.cast("long")).withColumn("epochs", epochs.cast("int")) \
-        .select("doc_id", "source", "size", "source_size", "target", "epochs",
-                (F.col("epochs") * F.col("size")).cast("long").alias("taken"))
-
-
-def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it; ``doc_id`` must be unique."""
-    chosen = mixed.where("epochs > 0").select(F.col("doc_id").alias("_id"), "epochs")
-    rows = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("_epoch")).drop("_epoch")
+    return summed.join(plan, ["_name", "_bucket"]).withColumn("_whole", whole.cast("long")) \
+        .select("_row", "size", "source_size", "target", epochs.cast("int").alias("epochs"))
 
 
 ORACLE = r"""

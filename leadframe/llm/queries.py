@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_render, mixing, packing, url_filter
+from . import cross_parse, decontam, html_render, mixing, ngram_join, packing, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op1_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_parse.predict(_read(spark, sf_dir, "documents"))
+
+
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_render.extract(_read(spark, sf_dir, "pages"))
 
@@ -30,6 +38,12 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_tokens, op5_html_text, op6_url_filter, op7_mix_sources)}
+    f.__name__: f for f in (
+        op1_pack_tokens, op2_language, op3_benchmark_leaks, op5_html_text, op6_url_filter, op7_mix_sources,
+        op9_ngram_jaccard)}
 ORACLES = {"op7_mix_sources": mixing.ORACLE}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cross_parse, decontam, html_render, mixing, ngram_join, packing, url_filter
+from . import (cross_parse, decontam, html_render, imatch, license_rules, mixing, ngram_join, packing, pii,
+               url_filter)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(_read(spark, sf_dir, "documents"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_render.extract(_read(spark, sf_dir, "pages"))
 
@@ -38,12 +43,20 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_read(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_read(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pack_tokens, op2_language, op3_benchmark_leaks, op5_html_text, op6_url_filter, op7_mix_sources,
-        op9_ngram_jaccard)}
+        op1_pack_tokens, op2_language, op3_benchmark_leaks, op4_imatch, op5_html_text, op6_url_filter,
+        op7_mix_sources, op8_pii_spans, op9_ngram_jaccard, op10_licenses)}
 ORACLES = {"op7_mix_sources": mixing.ORACLE}

@@ -9,7 +9,7 @@ though later steps read it several times.
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,44 +46,57 @@ FLAT_DROPPED = ("script", "style", "template")
 LINES_DROPPED = ("script", "style", "template", "noscript", "svg")
 
 
-def _entity_map() -> Column:
-    """Named entities from the standard library, plus the legacy code page."""
-    table = {name: chr(code) for name, code in name2codepoint.items()}
-    table |= {"AMP": "&", "apos": "'"}
-    for code in range(128, 160):
-        legacy = bytes([code]).decode("cp1252", errors="ignore")
-        if legacy:
-            table[f"#{code}"] = legacy
-    # one literal that the optimizer folds, instead of hundreds of them
+# Names that browsers also accept without the semicolon, longest first.
+_LEGACY = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+#: References to the C1 range mean the Windows code page; these numbers are no characters.
+_C1 = {code: bytes([code]).decode("cp1252", errors="ignore") for code in range(128, 160)}
+_COMMON = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "nbsp;": "\xa0"}
+
+
+def _literal_map(table: dict) -> Column:
+    # one literal that the optimizer folds, instead of thousands of them
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
-def _numeric_entity(name: Column) -> Column:
-    """``#65`` or ``#x41`` to its character; NULL when it is not a number."""
-    code = F.when(name.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(name, 3, 8), 16, 10)) \
-        .when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 8)) \
-        .try_cast("bigint")
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+def _named_entity(name: Column) -> Column:
+    """``name;`` to its text; the common ones need no look-up in the long table."""
+    common = F
+    for known, char in _COMMON.items():
+        common = common.when(name == known, F.lit(char))
+    return common.when(name != "", F.try_element_at(_literal_map(html5), name))
+
+
+def _numeric_entity(digits: Column) -> Column:
+    """Character of a reference by number, decimal or with x, however many zeros it starts with."""
+    short = F.regexp_replace(digits, "^[xX]?0*(?=.)", "")
+    value = F.when(digits.rlike("^[xX]"), F.conv(short, 16, 10)).otherwise(F.conv(short, 10, 10))
+    code = F.when(F.length(short) <= 8, value.try_cast("bigint")).otherwise(F.lit(1 << 32))
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(valid, char).when(code.isNotNull(), F.lit("\ufffd"))
+    legacy = F.try_element_at(_literal_map({str(k): v for k, v in _C1.items() if v}), code.cast("string"))
+    none = code.between(1, 8) | code.between(14, 31) | (code == 127) | (code == 11) \
+        | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    broken = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    return F.when(broken, F.lit("\ufffd")).when(none, F.lit("")).otherwise(F.coalesce(legacy, char))
 
 
 def decode_entities(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Decode character references; texts without '&' skip the work.
+    """Decode character references as browsers do; texts without '&' skip the work.
 
     The text is cut at every '&' and each piece decodes the reference it starts
     with, so nothing that decoding produces is decoded again.
     """
     source = F.col(text)
-    table = _entity_map()
 
     def decoded(piece: Column, index: Column) -> Column:
-        end = F.instr(piece, ";")
-        name = F.substring(piece, F.lit(1), end - 1)
-        char = F.coalesce(F.try_element_at(table, name), _numeric_entity(name))
-        rest = F.substring(piece, end + 1, F.length(piece))
-        known = end.between(2, 33) & char.isNotNull()
-        return F.when(index == 0, piece).when(known, F.concat(char, rest)) \
+        digits = F.regexp_extract(piece, r"^#([xX][0-9a-fA-F]+|[0-9]+);?", 1)
+        full = F.regexp_extract(piece, r"^[A-Za-z][A-Za-z0-9]{0,31};", 0)
+        whole = _named_entity(full)
+        legacy = F.regexp_extract(piece, "^(?:" + "|".join(_LEGACY) + ")", 0)
+        return F.when(index == 0, piece) \
+            .when(digits != "", F.concat(_numeric_entity(digits), F.regexp_replace(piece, r"^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", ""))) \
+            .when(whole.isNotNull(), F.concat(whole, F.substr(piece, F.length(full) + 1))) \
+            .when(legacy != "", F.concat(F.try_element_at(_literal_map({n: html5[n] for n in _LEGACY}), legacy),
+                                         F.substr(piece, F.length(legacy) + 1))) \
             .otherwise(F.concat(F.lit("&"), piece))
 
     pieces = F.transform(F.split(source, "&"), decoded)

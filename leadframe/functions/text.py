@@ -56,11 +56,6 @@ def unify_line_breaks(col) -> Column:
     return F.regexp_replace(_c(col), LINE_BREAK, "\n")
 
 
-def truncate(col, n: int) -> Column:
-    """First ``n`` code points, the size limit of a prompt field."""
-    return F.substring(_c(col), 1, n)
-
-
 def clean_cell(col) -> Column:
     """One-line cell: newlines become spaces, carriage returns vanish."""
     return py_strip(F.translate(_c(col), "\n\r", " "))
@@ -98,9 +93,9 @@ def parse_int(col) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]{1,38}\z"), text.try_cast("decimal(38,0)"))
 
 
-def parse_timestamp(col, formats=("yyyy-MM-dd'T'HH:mm:ssZ", "yyyy-MM-dd'T'HH:mm:ssXXX",
-                                  "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")) -> Column:
-    """First accepted format wins; anything else becomes NULL."""
+def parse_timestamp(col, formats=("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][XXX][Z]",
+                                  "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS][XXX][Z]", "yyyy-MM-dd")) -> Column:
+    """First accepted format wins; fraction and zone are optional; anything else becomes NULL."""
     return F.coalesce(*[F.try_to_timestamp(_c(col), F.lit(fmt)) for fmt in formats])
 
 

@@ -97,8 +97,13 @@ def resolve_url(base, href) -> Column:
     return resolve_href(base_parts(base), clean_href(href))
 
 
+# Attributes before href: quoted values are kept whole, so they may hold '>' or 'href='.
+_BEFORE = r"""(?:(?:(?!href\s*=)[^\s=<>"'/]++(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s"'<>]++))?+|["'=])[\s/]*+)*+"""
+_VALUE = r"""(?:"[^"]+"|'[^']+'|[^\s"'>]+)"""
 # An anchor's href with its quotes; bare values are allowed as well.
-HREF = r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
+HREF = rf"(?is)<a[\s/]++{_BEFORE}href\s*=\s*({_VALUE})"
+TAG = r"""(?s)<(?:[^<>"']++|"[^"]*"|'[^']*')*+>"""
+ANCHOR = rf"""(?is)<a[\s/]++{_BEFORE}href\s*=\s*{_VALUE}(?:[^<>"']++|"[^"]*"|'[^']*')*+>.*?(?:</a\s*>|\z)"""
 
 
 def unquote(value) -> Column:

@@ -8,13 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries as d
 from ..functions.html import HIDDEN_BLOCKS, decode_entities
 from ..functions.text import _c, _literal
-from ..functions.urls import HREF, base_parts, clean_href, host_of, resolve_href, unquote
+from ..functions.urls import ANCHOR, HREF, TAG, base_parts, clean_href, host_of, resolve_href, unquote
 from ..session import materialize
 from .profile import main_content
 
-_ANCHOR = r"""(?is)<a\s[^<>]*?href\s*=\s*(?:"[^"]+"|'[^']+'|[^\s"'>]+)[^<>]*>.*?(?:</a\s*>|\z)"""
-
-
 def page_links(pages: DataFrame, url: str = "url", html: str = "html",
                keep: tuple[str, ...] = ()) -> DataFrame:
     """``src, dst`` for every link of a page, once per page and target.
@@ -47,10 +44,10 @@ def _anchor_list(html) -> Column:
 
     def anchor(markup: Column) -> Column:
         return F.struct(unquote(F.regexp_extract(markup, HREF, 1)).alias("href"),
-                        F.regexp_replace(markup, r"(?s)<[^>]*>", "").alias("text"))
+                        F.regexp_replace(markup, TAG, "").alias("text"))
 
     visible = F.regexp_replace(_c(html), HIDDEN_BLOCKS, "")
-    return F.transform(F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(0)), anchor)
+    return F.transform(F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0)), anchor)
 
 
 def anchors(pages: DataFrame, key: str, html: str = "html") -> DataFrame:

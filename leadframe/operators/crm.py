@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import or_empty, parse_timestamp
-from .joins import small_or_plain
+from .joins import pinned
 
 # Output columns in file order, with their source names.
 COMPANY_COLUMNS = (
@@ -35,29 +35,6 @@ DEAL_COLUMNS = (
     ("lost_reason", "lost_reason"), ("close_time", "close_time"), ("won_time", "won_time"),
     ("first_won_time", "first_won_time"),
 )
-PAGE_LIMIT = 500
-
-
-def pages_until(pages: DataFrame, stop: Column, page_no: str = "page_no",
-                load: str | None = None) -> DataFrame:
-    """Pages before the first one that ends the load.
-
-    With ``load`` every load has its own end.  The ends are one scalar, or one
-    counted row per load that stopped, so the pages are normally not shuffled
-    and one huge load cannot fill a task.
-    """
-    if load is None:
-        end = pages.where(stop).agg(F.min(page_no)).scalar()
-        return pages.where(F.col(page_no) < F.coalesce(end, F.lit(2**62)))
-    ends = pages.where(stop).groupBy(load).agg(F.min(page_no).alias("_end"))
-    joined = pages.join(small_or_plain(ends), load, "left")
-    return joined.where(F.col("_end").isNull() | (F.col(page_no) < F.col("_end"))).drop("_end")
-
-
-def page_cap(pages: DataFrame, page_no: str = "page_no", limit: int = PAGE_LIMIT) -> DataFrame:
-    """The service stops answering after ``limit`` pages."""
-    return pages.where(F.col(page_no) <= limit)
-
 
 def _array(column: str, element: str) -> Column:
     return F.coalesce(F.col(column), F.array().cast(f"array<{element}>"))
@@ -95,23 +72,33 @@ def flatten_contacts(pages: DataFrame, contacts: str = "contacts") -> DataFrame:
     )
 
 
-def flatten_deals(pages: DataFrame, payload: str = "payload", page_no: str = "page_no",
-                  load: str | None = None) -> DataFrame:
-    """Deals of the successful pages; the load ends at the first failed page.
+def _landed(pages: DataFrame, payload: str) -> DataFrame:
+    """Pages with their answer read once, and whether the service called it a success."""
+    read = pinned(pages, "_page", F.try_parse_json(payload))
+    success = F.coalesce(F.try_variant_get("_page", "$.success", "string") == "true", F.lit(False))
+    return read.withColumn("_success", success)
+
 
-    A person or organisation may be an object or a bare number.  Paths into a
+def flatten_deals(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Deals of every successful page.
+
+    A failed page brings none; what failed is listed by :func:`failed_pages`.  A
+    person or organisation may be an object or a bare number.  Paths into a
     number are NULL, so both shapes share one projection.
     """
-    success = F.coalesce(F.get_json_object(payload, "$.success") == "true", F.lit(False))
-    good = pages_until(pages, ~success, page_no, load) \
-        .select(F.try_parse_json(payload).alias("_page"))
-    deals = good.select(F.explode(
+    deals = _landed(pages, payload).where("_success").select(F.explode(
         F.try_variant_get("_page", "$.data", "array<variant>")).alias("deal"))
     return deals.select(*[
         F.try_variant_get("deal", f"$.{source}", "string").alias(name)
         for name, source in DEAL_COLUMNS])
 
 
+def failed_pages(pages: DataFrame, load: str, payload: str = "payload") -> DataFrame:
+    """Pages and failed pages of each load."""
+    return _landed(pages, payload).groupBy(load).agg(
+        F.count("*").alias("pages"), F.count_if(~F.col("_success")).alias("failed"))
+
+
 def recent_prospects(prospects: DataFrame, cutoff: str, contacted: str = "last_contacted"
                      ) -> DataFrame:
     """Prospects contacted at or after the cutoff; bad timestamps drop out."""
@@ -125,26 +112,25 @@ def union_prospects(pages: list[DataFrame], cutoff: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), recent)
 
 
-def widen_prospects(pages: DataFrame, payload: str = "payload", columns: list[str] | None = None,
-                    max_columns: int = 2000) -> DataFrame:
-    """Landed JSON record lists as one wide string table.
+def _members(pages: DataFrame, payload: str) -> Column:
+    return F.try_variant_get(F.try_parse_json(payload), "$", "array<map<string,variant>>")
 
-    Without ``columns`` the member names are collected first: names only, at
-    most ``max_columns`` of them, never records.
-    """
-    records = pages.select(F.explode(F.try_variant_get(
-        F.try_parse_json(payload), "$", "array<map<string,variant>>")).alias("rec"))
-    if columns is None:
-        names = records.select(F.explode(F.map_keys("rec")).alias("name")).distinct()
-        found = sorted(r.name for r in names.limit(max_columns + 1).collect())
-        if len(found) > max_columns:
-            raise ValueError(f"more than {max_columns} different member names; pass columns=")
-        columns = found
+
+def widen_prospects(pages: DataFrame, columns, payload: str = "payload") -> DataFrame:
+    """Landed JSON record lists as one wide string table with the named columns."""
+    records = pages.select(F.explode(_members(pages, payload)).alias("rec"))
     return records.select(*[
         F.try_variant_get(F.try_element_at("rec", F.lit(c)), "$", "string").alias(c)
         for c in columns])
 
 
+def prospect_members(pages: DataFrame, page: str, payload: str = "payload") -> DataFrame:
+    """``page, record, name, value`` for every member of every record, whatever its name."""
+    records = pages.select(page, F.posexplode(_members(pages, payload)).alias("record", "rec"))
+    return records.select(page, "record", F.explode("rec").alias("name", "_value")) \
+        .select(page, "record", "name", F.try_variant_get("_value", "$", "string").alias("value"))
+
+
 def _any_of(column: str, values) -> Column:
     return F.lower(column).isin(*[v.lower() for v in values])
 
@@ -155,8 +141,9 @@ def people_search(people: DataFrame, titles=(), not_titles=(), seniorities=(), d
                   ) -> DataFrame:
     """People matching every given criterion.
 
-    Plain comparisons on stored columns, so they reach the file scan.  Title
-    lists match as substrings, the other lists exactly and without case.
+    E-mail status, employees and the prospected flag are plain comparisons and
+    reach the file scan; lists ignore case and are compared after reading.  Title
+    lists match as substrings, the other lists exactly.
     """
     out = people
     title = F.lower(or_empty("title")) if titles or not_titles else None

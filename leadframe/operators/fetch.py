@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,27 +34,20 @@ def first_settled(attempts: DataFrame, stages=THREE_STAGES, settled: Column | No
                   key: str = "url", payload: tuple[str, ...] = ("html",)) -> DataFrame:
     """First attempt per URL that settles it, else NULL payload and source ''.
 
-    ``attempts`` has one row per URL and source.  The payload of the first
-    stage, normally most of the data, is passed through without a shuffle: each
-    later stage only drops the URLs that are already settled, and the settled
-    keys travel without their payload.  This is for page bodies; when a page is
-    reduced to a few columns first, :func:`first_settled_facts` is better.
+    The choice is made on narrow facts, one aggregation over one scan; the
+    payload is read a second time and joined to the choice.  Of several attempts
+    of one source at a URL the one with the least payload hash counts.  This is
+    for page bodies; when a page is reduced to a few columns first,
+    :func:`first_settled_facts` alone is better.
     """
-    settled = has_html() if settled is None else settled
-    done = attempts.where(settled)
-    columns = [key, *payload, "source"]
-    winners, earlier = [], None
-    for stage in stages:
-        mine = done.where(F.col("source") == stage)
-        winners.append((mine if earlier is None else mine.join(earlier, key, "left_anti"))
-                       .select(*columns))
-        keys = mine.select(key)
-        earlier = keys if earlier is None else earlier.unionAll(keys)
-    known = attempts.where(F.col("source").isin(*stages)).select(key).distinct()
-    types = {f.name: f.dataType for f in attempts.schema}
-    failed = known.join(earlier, key, "left_anti").select(
-        key, *[F.lit(None).cast(types[c]).alias(c) for c in payload], F.lit("").alias("source"))
-    return reduce(DataFrame.unionAll, winners + [failed])
+    marked = attempts.withColumn("_pick", F.xxhash64(*payload))
+    best = first_settled_facts(marked, stages, settled, key, payload=("_pick",)) \
+        .select(F.col(key).alias("_key"), F.col("_pick").alias("_best"), F.col("source").alias("_stage"))
+    bodies = attempts.where(F.col("source").isin(*stages)) \
+        .select(F.col(key).alias("_k"), F.col("source").alias("_s"), *payload, F.xxhash64(*payload).alias("_p"))
+    joined = best.join(bodies, (F.col("_key") == F.col("_k")) & (F.col("_stage") == F.col("_s")) & (F.col("_best") == F.col("_p")),
+                       "left")
+    return joined.select(F.col("_key").alias(key), *payload, F.col("_stage").alias("source")).dropDuplicates([key])
 
 
 def first_settled_facts(attempts: DataFrame, stages=THREE_STAGES, settled: Column | None = None,

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
 
 def spread_key(needed: Column, key: Column, row_id: Column) -> Column:
     """Join key for the rows that need a lookup, filler for the others.
@@ -28,13 +26,6 @@ def pinned(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def small_or_plain(df: DataFrame, limit: int = 200_000) -> DataFrame:
-    """Broadcast a table of narrow rows after counting it; larger ones are left
-    to the ordinary shuffle join.  The counted rows are kept, not recomputed."""
-    kept = materialize(df, "small")
-    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
-
-
 def hot_keys(rows: DataFrame, key: Column, share: float, name: str = "_hk") -> DataFrame:
     """Keys that hold more than ``share`` of all rows: at most ``1 / share``.
 

@@ -67,9 +67,9 @@ def classify_exhibitor(df: DataFrame, domain: str, text: str,
     return voted.select(*df.columns, *exhibitor_label(domain, is_blank("_vote_text")))
 
 
-def _domain_cells(domains: DataFrame, raw: str) -> DataFrame:
-    """Stripped non-blank cells as bare domains, with the URL of the valid ones."""
-    cells = domains.where(~is_blank(raw)).withColumn("domain", normalize_domain(raw))
+def _domain_cells(domains: DataFrame, raw: str, normalize: bool) -> DataFrame:
+    """Stripped non-blank cells, as bare domains if asked for, with the URL of the valid ones."""
+    cells = domains.where(~is_blank(raw)).withColumn("domain", normalize_domain(raw) if normalize else py_strip(raw))
     return cells.withColumn("_url", F.when(is_valid_domain("domain"), build_url("domain")))
 
 
@@ -80,14 +80,16 @@ def _attach(cells: DataFrame, facts: DataFrame, row_id: str) -> DataFrame:
 
 
 def _attempt_texts(attempts: DataFrame, as_lines: tuple[str, ...] = (),
-                   markers=CONSENT_MARKERS_SHORT) -> DataFrame:
-    """Clean text of every attempt in ``_text``.
+                   markers=CONSENT_MARKERS_SHORT, keep_flat: bool = False) -> DataFrame:
+    """Clean text of every attempt in ``_text``, with ``keep_flat`` its uncleaned lines in ``_raw_lines``.
 
     Sources named in ``as_lines`` deliver raw pages: hidden elements and a
     consent banner are cut from those as well.
     """
     raw = F.col("source").isin(*as_lines) if as_lines else F.lit(False)
     flat = html_to_text_flat(attempts.withColumn("_page", F.when(~raw, F.col("html"))), "_page", "_flat")
+    if keep_flat:
+        flat = flat.withColumn("_raw_lines", F.col("_flat"))
     if not as_lines:
         return flat.withColumn("_text", nonblank_lines("_flat")).drop("_page", "_flat")
     both = html_to_text_lines(flat.withColumn("_page", F.when(raw, F.col("html"))), "_page", "_lines",
@@ -97,9 +99,11 @@ def _attempt_texts(attempts: DataFrame, as_lines: tuple[str, ...] = (),
 
 
 def exhibitor_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
-                      row_id: str = "row_idx", dictionary=d.EXHIBITOR_KEYWORDS) -> DataFrame:
+                      row_id: str = "row_idx", dictionary=d.EXHIBITOR_KEYWORDS, normalize: bool = False) -> DataFrame:
     """Domain cells to exhibitor labels, from landed fetch attempts.
 
+    A cell must hold a bare domain; ``normalize`` takes it out of a URL first.
+
     The first source that brought any text counts.  Every page becomes its vote
     counters where it is read; choosing the attempt and joining the domains
     then moves a few numbers per page.
@@ -109,13 +113,13 @@ def exhibitor_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
     facts = ("strong_yes", "maybe_hits", "no_hits", "blank")
     settled = answered() & ~F.col("blank")
     chosen = first_settled_facts(votes, settled=settled, payload=facts).drop("source")
-    joined = _attach(_domain_cells(domains, raw), chosen, row_id)
+    joined = _attach(_domain_cells(domains, raw, normalize), chosen, row_id)
     return joined.select(row_id, "domain",
                          *exhibitor_label("domain", F.coalesce("blank", F.lit(True))))
 
 
 def ecommerce_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
-                      row_id: str = "row_idx", stages=("requests", "selenium")) -> DataFrame:
+                      row_id: str = "row_idx", stages=("requests", "selenium"), normalize: bool = False) -> DataFrame:
     """Domain cells to Yes / No / No content / Invalid domain.
 
     An answered page without text is final; only failed requests fall through.
@@ -124,7 +128,7 @@ def ecommerce_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
         "url", "source", "status", "html", is_blank("_text").alias("blank"),
         matches("_text", E_COMMERCE_WORD).alias("hit"))
     chosen = first_settled_facts(facts, stages, answered(), payload=("blank", "hit")).drop("source")
-    joined = _attach(_domain_cells(domains, raw), chosen, row_id)
+    joined = _attach(_domain_cells(domains, raw, normalize), chosen, row_id)
     label = (
         F.when(~is_valid_domain("domain"), F.lit("Invalid domain"))
         .when(F.coalesce("blank", F.lit(True)), F.lit("No content"))
@@ -183,22 +187,29 @@ def shop_categories(df: DataFrame, text: str, out: str = "categories") -> DataFr
 
 def label_domains(domains: DataFrame, attempts: DataFrame, responses: DataFrame, labels=d.SHOP_LABELS,
                   strict: bool = True, raw: str = "raw", row_id: str = "row_idx",
-                  stages=("requests", "selenium"), as_lines: tuple[str, ...] = ()) -> DataFrame:
+                  stages=("requests", "selenium"), as_lines: tuple[str, ...] = (), normalize: bool | None = None
+                  ) -> DataFrame:
     """Domain cells to landed model labels, ``Unscrapable`` where no text was had.
 
     An invalid domain, an error status, a bot wall on the first request and an
     empty page are all unscrapable; an answered empty page is retried by the
     next stage.  ``responses`` has one ``row_idx, model_output`` row per cell.
-    With ``stages=as_lines=("brightdata",)`` one raw fetcher is the only stage.
+    With ``stages=as_lines=("brightdata",)`` one raw fetcher is the only stage;
+    only then are cells normalized, unless ``normalize`` says otherwise.
+
+    A consent notice costs a page its first 30 raw lines; the pages of raw
+    fetchers have lost theirs already and are not cut again.
     """
-    texts = _attempt_texts(attempts, as_lines, CONSENT_MARKERS)
-    cut = drop_head_if_marked(texts, "_text", "_cut", 30, CONSENT_MARKERS_RAW)
+    texts = _attempt_texts(attempts, as_lines, CONSENT_MARKERS, keep_flat=True)
+    cut = drop_head_if_marked(texts, "_raw_lines", "_headless", 30, CONSENT_MARKERS_RAW) \
+        .withColumn("_cut", F.when(F.col("source").isin(*as_lines), F.col("_text")).otherwise(F.col("_headless"))
+                    if as_lines else F.col("_headless"))
     walled = (F.col("source") == "requests") & fetch_error("status", "_text").isNotNull()
     facts = cut.select("url", "source", "status", "html", "_text",
                        (answered() & ~is_blank("_cut") & ~walled).alias("readable"))
     settled = ~answered() | ~is_blank("_text")
     chosen = first_settled_facts(facts, stages, settled, payload=("readable",)).drop("source")
-    cells = _attach(_domain_cells(domains, raw), chosen, row_id)
+    cells = _attach(_domain_cells(domains, raw, bool(as_lines) if normalize is None else normalize), chosen, row_id)
     joined = cells.join(responses.select(row_id, "model_output"), row_id, "left")
     label = F.when(F.col("_url").isNull() | ~F.coalesce("readable", F.lit(False)), F.lit("Unscrapable")) \
         .otherwise(unwrap_closed_label("model_output", labels, strict))
@@ -253,15 +264,13 @@ def split_fit_line(df: DataFrame, line: str) -> DataFrame:
         for i, n in enumerate(names)])
 
 
-def clean_company_name(name, rounds: int = 6) -> Column:
+def clean_company_name(name) -> Column:
     """Brand name without legal form, generic words, regions or marks.
 
-    Endings are removed one at a time from the right, up to ``rounds`` of them;
-    a name that would become empty is kept.
+    All endings go, however many; a name that would become empty is kept.
     """
     endings = "|".join(d.COMPANY_ENDINGS)
     original = py_strip(or_empty(name))
     text = py_strip(F.regexp_replace(original, "[®™©]", ""))
-    for _ in range(rounds):
-        text = F.regexp_replace(text, rf"(?i)^(.*[^\s,])[\s,]+(?:{endings})$", "$1")
+    text = F.regexp_replace(text, rf"(?i)^(.*?[^\s,])(?:[\s,]+(?:{endings}))+$", "$1")
     return F.coalesce(F.nullif(py_strip(text), F.lit("")), original)

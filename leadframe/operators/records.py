@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import decode_entities
 from ..functions.payload import json_or_raw, payload_text, record_columns, unfence
-from ..functions.text import _c, collapse_ws, is_blank, py_strip, truncate
+from ..functions.text import _c, collapse_ws, is_blank, or_empty, py_strip
 
 _SOCIAL = r"(?i)href\s*=\s*[\"'](https?://(?:[a-z0-9\-]+\.)*(?:facebook|linkedin|instagram|twitter|x|youtube|tiktok)\.com/[^\"'\s]*)"
 _EMAIL_CHARS = r"a-zA-Z0-9._%+\-"
@@ -19,7 +19,7 @@ EMAIL = rf"(?<![{_EMAIL_CHARS}])[{_EMAIL_CHARS}]++@[a-zA-Z0-9.\-]+\.[a-zA-Z]{{2,
 def assemble_records(fetched: DataFrame, responses: DataFrame, mode: str) -> DataFrame:
     """``url, fetch_source, mode, data`` for every page that was fetched."""
     table = responses.select("url", "model_output")
-    return fetched.where(~is_blank("html")).select("url", F.col("source").alias("fetch_source")) \
+    return fetched.where(F.col("source") != "").select("url", F.col("source").alias("fetch_source")) \
         .join(table, "url") \
         .select("url", "fetch_source", F.lit(mode).alias("mode"), json_or_raw("model_output").alias("data"))
 
@@ -46,21 +46,28 @@ def fill_company_gaps(companies: DataFrame, contacts: DataFrame) -> DataFrame:
         if c in found else F.col(f"`{c}`") for c in companies.columns])
 
 
-def request_table(rows: DataFrame, template: str, key: str, **limits: int | None) -> DataFrame:
-    """``key, prompt`` rows for a batch inference job.
+def request_table(rows: DataFrame, template: str, key: str, **limits: int) -> DataFrame:
+    """``key, part, prompt`` rows for a batch inference job.
 
-    ``template`` names columns in braces; ``limits`` caps a column's length.
-    Rows whose last-named column is blank ask for nothing.
+    ``template`` names columns in braces.  A column with a limit is asked about
+    in parts of at most that many characters, 0, 1, …, which together hold its
+    whole text.  Missing cells count as empty; rows whose last-named column is
+    blank ask for nothing.
     """
-    parts: list[Column] = []
+    if len(limits) > 1:
+        raise ValueError("one column at most can be cut into parts")
     names = re.findall(r"\{(\w+)\}", template)
+    asked = rows.where(~is_blank(names[-1]))
+    long, limit = next(iter(limits.items()), (None, 0))
+    last = F.greatest(F.ceil(F.length(or_empty(long)) / limit).cast("int") - 1, F.lit(0)) if long else F.lit(0)
+    numbered = asked.select("*", F.explode(F.sequence(F.lit(0), last)).alias("part"))
+    pieces: list[Column] = []
     for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
         if i % 2 == 0:
-            parts.append(F.lit(piece))
+            pieces.append(F.lit(piece))
         else:
-            limit = limits.get(piece)
-            parts.append(truncate(piece, limit) if limit else F.col(piece))
-    return rows.where(~is_blank(names[-1])).select(key, F.concat(*parts).alias("prompt"))
+            pieces.append(F.substr(or_empty(piece), F.col("part") * limit + 1, F.lit(limit)) if piece == long else or_empty(piece))
+    return numbered.select(key, "part", F.concat(*pieces).alias("prompt"))
 
 
 def result_log(fetched: DataFrame, outputs: DataFrame | None = None, output: Column | None = None
@@ -70,7 +77,10 @@ def result_log(fetched: DataFrame, outputs: DataFrame | None = None, output: Col
     The output is a landed table ``url, model_output``, or a column of the
     fetched rows themselves.  Page bodies stay out of the join.
     """
-    failed = is_blank("html").alias("_failed")
+    failed = F.coalesce("source", F.lit("")) == ""
+    if "html" in fetched.columns:
+        failed = failed | is_blank("html")
+    failed = failed.alias("_failed")
     if output is not None:
         joined = fetched.select("url", "source", failed, output.alias("model_output"))
     else:

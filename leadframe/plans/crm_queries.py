@@ -56,8 +56,7 @@ def contacts_flatten(spark, sf):
 
 
 @query("deals_flatten", """
-    WITH deal_page AS (SELECT CAST(floor(o_orderkey / 8) AS bigint) AS page_no, max(o_totalprice) AS top FROM orders GROUP BY 1),
-    stops AS (SELECT page_no % 25 AS load_id, min(page_no) AS stop FROM deal_page WHERE top > 499000 GROUP BY 1)
+    WITH deal_page AS (SELECT CAST(floor(o_orderkey / 8) AS bigint) AS page_no, max(o_totalprice) AS top FROM orders GROUP BY 1)
     SELECT CAST(o_orderkey AS varchar) AS id, 'Deal ' || o_orderkey AS title, CAST(CAST(floor(o_totalprice) AS bigint) AS varchar) AS value,
       'EUR' AS currency, o_orderstatus AS status, CAST(NULL AS varchar) AS add_time, CAST(NULL AS varchar) AS update_time, CAST(o_orderkey % 5 AS varchar) AS stage_id,
       CAST(NULL AS varchar) AS pipeline_id, CAST(NULL AS varchar) AS owner_name, CASE WHEN o_orderkey % 2 = 0 THEN 'P' || o_orderkey END AS person_name,
@@ -65,77 +64,84 @@ def contacts_flatten(spark, sf):
       CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 5 <> 0 THEN 'p' || o_orderkey || '@example.com' END AS person_email,
       CASE WHEN o_orderkey % 3 = 0 THEN 'Street 1' END AS org_address, o_orderpriority AS lost_reason,
       CAST(NULL AS varchar) AS close_time, CAST(NULL AS varchar) AS won_time, CAST(NULL AS varchar) AS first_won_time
-    FROM orders JOIN deal_page AS p ON p.page_no = floor(o_orderkey / 8) LEFT JOIN stops ON load_id = p.page_no % 25
-    WHERE top >= 150000 AND (stop IS NULL OR p.page_no < stop)""")
+    FROM orders JOIN deal_page AS p ON p.page_no = floor(o_orderkey / 8) WHERE top BETWEEN 150000 AND 499000""")
 def deals_flatten(spark, sf):
-    return crm.flatten_deals(frame(spark, sf, "deal_pages"), load="load_id")
+    return crm.flatten_deals(frame(spark, sf, "deal_pages"))
+
+
+@query("deals_failed", """
+    SELECT page_no % 25 AS load_id, count(*) AS pages, count(*) FILTER (WHERE top > 499000) AS failed
+    FROM (SELECT CAST(floor(o_orderkey / 8) AS bigint) AS page_no, max(o_totalprice) AS top FROM orders GROUP BY 1) GROUP BY 1""")
+def deals_failed(spark, sf):
+    return crm.failed_pages(frame(spark, sf, "deal_pages"), "load_id")
 
 
 _CUTOFF = "2024-01-02T00:00:00+0000"
 _KINDS = ("click", "error", "purchase", "signup", "view")
-_EVENT_TIME = "CASE WHEN user_id % 10 = 3 THEN 'never' ELSE replace(substr(CAST(ts AS varchar), 1, 19), ' ', 'T') || '+0000' END"
+# Every form of time the service sends, and one that is none, by user.
+_TIME_FORMS = ("yyyy-MM-dd'T'HH:mm:ss'+0000'", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss",
+               "yyyy-MM-dd'T'HH:mm:ss'.250Z'", "yyyy-MM-dd'T'HH:mm:ss'.250+00:00'", "yyyy-MM-dd HH:mm:ss", "'never'")
+_EVENT_TIME = """CASE WHEN user_id % 7 IN (3, 4) THEN date_trunc('second', ts) + INTERVAL 250 MILLISECONDS
+    WHEN user_id % 7 <> 6 THEN date_trunc('second', ts) END"""
 
 
 def _prospects(spark, sf):
-    when = F.when(F.col("user_id") % 10 == 3, F.lit("never")) \
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+0000'"))
+    when = F.coalesce(*[F.when(F.col("user_id") % 7 == i, F.date_format("ts", form)) for i, form in enumerate(_TIME_FORMS)])
     return frame(spark, sf, "events").select("event_id", "event_type", "value", "props",
                                              when.alias("last_contacted"))
 
 
-@query("prospects_since", """
-    SELECT event_id, event_type, CAST(date_trunc('second', ts) AS timestamp) AS last_contacted
-    FROM events WHERE user_id % 10 <> 3 AND date_trunc('second', ts) >= TIMESTAMP '2024-01-02 00:00:00'""")
+@query("prospects_since", f"""
+    SELECT event_id, event_type, CAST({_EVENT_TIME} AS timestamp) AS last_contacted
+    FROM events WHERE {_EVENT_TIME} >= TIMESTAMP '2024-01-02 00:00:00'""")
 def prospects_since(spark, sf):
     rows = _prospects(spark, sf).select("event_id", "event_type", "last_contacted")
     return crm.recent_prospects(rows, _CUTOFF)
 
 
 @query("prospects_union", f"""
-    SELECT event_id, CAST(date_trunc('second', ts) AS timestamp) AS last_contacted,
-      {', '.join(f"CASE WHEN event_type = '{k}' THEN value END AS {k}_value" for k in _KINDS)}
-    FROM events WHERE user_id % 10 <> 3 AND date_trunc('second', ts) >= TIMESTAMP '2024-01-02 00:00:00'
-      AND event_type IN {q.in_list(_KINDS)}""")
+    SELECT event_id, CAST({_EVENT_TIME} AS timestamp) AS last_contacted, event_type || '_value' AS name, value
+    FROM events WHERE {_EVENT_TIME} >= TIMESTAMP '2024-01-02 00:00:00'""")
 def prospects_union(spark, sf):
-    rows = _prospects(spark, sf)
-    parts = [rows.where(F.col("event_type") == kind)
-             .select("event_id", "last_contacted", F.col("value").alias(f"{kind}_value")) for kind in _KINDS]
-    return crm.union_prospects(parts, _CUTOFF)
+    """Pages with a column of their own each, outer-united without naming the columns: one scan, long rows."""
+    rows = _prospects(spark, sf).select("event_id", "last_contacted", F.concat("event_type", F.lit("_value")).alias("name"), "value")
+    return crm.recent_prospects(rows, _CUTOFF)
 
 
-@query("prospects_widen", """
-    SELECT CAST(event_id AS varchar) AS id, CASE WHEN event_type = 'view' THEN 'v' || user_id END AS viewer,
-      CASE WHEN event_type <> 'view' THEN 'u' || user_id END AS actor
-    FROM events""")
-def prospects_widen(spark, sf):
+@query("prospects_outer", f"""
+    SELECT event_id, CAST({_EVENT_TIME} AS timestamp) AS last_contacted, CASE WHEN event_id % 2 = 0 THEN value END AS even_value,
+      CASE WHEN event_id % 2 = 1 THEN event_type END AS odd_type
+    FROM events WHERE {_EVENT_TIME} >= TIMESTAMP '2024-01-02 00:00:00'""")
+def prospects_outer(spark, sf):
+    rows, even = _prospects(spark, sf), F.col("event_id") % 2 == 0
+    return crm.union_prospects([
+        rows.where(even).select("event_id", "last_contacted", F.col("value").alias("even_value")),
+        rows.where(~even).select("event_id", "last_contacted", F.col("event_type").alias("odd_type"))], _CUTOFF)
+
+
+def _record_pages(spark, sf):
     member = F.when(F.col("event_type") == "view", F.concat(F.lit('"viewer": "v'), "user_id")) \
         .otherwise(F.concat(F.lit('"actor": "u'), "user_id"))
     record = F.concat(F.lit('{"id": '), "event_id", F.lit(", "), member, F.lit('"}'))
-    landed = frame(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 20).alias("page_no")) \
-        .agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("payload"))
-    return crm.widen_prospects(landed)
+    return frame(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 20).alias("page_no")) \
+        .agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(record)), ","), F.lit("]")).alias("payload"))
 
 
-def _numbered_pages(spark, sf):
-    """One page per 20 customers; a page without rich customers counts as empty."""
-    return frame(spark, sf, "customer").groupBy(F.floor(F.col("c_custkey") / 20).cast("bigint").alias("page_no")) \
-        .agg(F.count("*").alias("records"), F.count_if(F.col("c_acctbal") > 9000).alias("rich"))
-
-
-_NUMBERED = """(SELECT CAST(floor(c_custkey / 20) AS bigint) AS page_no, count(*) AS records,
-    count(*) FILTER (WHERE c_acctbal > 9000) AS rich FROM customer GROUP BY 1)"""
-
-
-@query("page_cap", f"SELECT page_no, records FROM {_NUMBERED} WHERE page_no <= 500")
-def page_cap(spark, sf):
-    return crm.page_cap(_numbered_pages(spark, sf)).select("page_no", "records")
+@query("prospects_widen", """
+    SELECT CAST(event_id AS varchar) AS id, CASE WHEN event_type = 'view' THEN 'v' || user_id END AS viewer,
+      CASE WHEN event_type <> 'view' THEN 'u' || user_id END AS actor
+    FROM events""")
+def prospects_widen(spark, sf):
+    return crm.widen_prospects(_record_pages(spark, sf), ("actor", "id", "viewer"))
 
 
-@query("page_stop_empty", f"""
-    SELECT page_no, records FROM {_NUMBERED}
-    WHERE page_no < coalesce((SELECT min(page_no) FROM {_NUMBERED} WHERE rich = 0), 1000000)""")
-def page_stop_empty(spark, sf):
-    return crm.pages_until(_numbered_pages(spark, sf), F.col("rich") == 0).select("page_no", "records")
+@query("prospects_members", """
+    WITH r AS (SELECT CAST(floor(event_id / 20) AS bigint) AS page_no, event_id, event_type, user_id FROM events)
+    SELECT page_no, 'id' AS name, CAST(event_id AS varchar) AS value FROM r
+    UNION ALL SELECT page_no, CASE WHEN event_type = 'view' THEN 'viewer' ELSE 'actor' END,
+      CASE WHEN event_type = 'view' THEN 'v' ELSE 'u' END || user_id FROM r""")
+def prospects_members(spark, sf):
+    return crm.prospect_members(_record_pages(spark, sf), "page_no").drop("record")
 
 
 @query("people_search", cte("people") + """

@@ -9,13 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.files import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
-_TEXT_KEYS = {"pages": "page_id", "documents": "doc_id"}
 
 
 def pick(values, index: str) -> str:
@@ -347,9 +345,8 @@ def _template(name: str, dialect: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; the long texts are spread when they come in few splits."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows, _TEXT_KEYS[name]) if name in _TEXT_KEYS else rows
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

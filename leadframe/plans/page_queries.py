@@ -33,18 +33,19 @@ _WINNERS = f"""(SELECT url, html, source FROM (
       SELECT url, html, source, row_number() OVER (PARTITION BY url ORDER BY
         CASE source WHEN 'requests' THEN 1 WHEN 'selenium' THEN 2 ELSE 3 END) AS n
       FROM attempts WHERE NOT {q.blank('html')}) WHERE n = 1)"""
-_ATTEMPT_TEXTS = f"""(SELECT url, source, status, CASE WHEN source = 'brightdata'
-    THEN {q.nonblank(q.cut_head('nodes', 50, H.CONSENT_MARKERS_SHORT))} ELSE {q.nonblank('flat')} END AS text
+def _attempt_texts(markers) -> str:
+    return f"""(SELECT url, source, status, flat, CASE WHEN source = 'brightdata'
+    THEN {q.nonblank(q.cut_head('nodes', 50, markers))} ELSE {q.nonblank('flat')} END AS text
     FROM (SELECT url, source, status, {q.flat_text('html')} AS flat, {q.node_lines('html')} AS nodes FROM attempts))"""
 
 
-def _domain_facts(sources, settled: str, value: str) -> str:
+def _domain_facts(sources, settled: str, value: str, cell: str = q.strip("raw"), markers=H.CONSENT_MARKERS_SHORT) -> str:
     """Domain cells with a value of the first settled attempt of their URL."""
     return f"""(SELECT dm.row_idx, domain, {value} AS t
-    FROM (SELECT row_idx, {q.bare_domain('raw')} AS domain FROM domains WHERE trim(raw) <> '') AS dm
+    FROM (SELECT row_idx, {cell} AS domain FROM domains WHERE trim(raw) <> '') AS dm
     LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY
         CASE source WHEN 'requests' THEN 1 WHEN 'selenium' THEN 2 ELSE 3 END) AS n
-      FROM {_ATTEMPT_TEXTS} WHERE source IN {q.in_list(sources)} AND {settled}) WHERE n = 1) AS w
+      FROM {_attempt_texts(markers)} WHERE source IN {q.in_list(sources)} AND {settled}) WHERE n = 1) AS w
     ON w.url = 'https://' || domain AND {q.valid_domain('domain')})"""
 
 
@@ -261,7 +262,7 @@ def profile_extract(spark, sf):
 
 
 _WALL = "(?i)attention required|cloudflare|verify you are human|captcha|access denied|blocked"
-_READABLE = f"""(status = 200 AND NOT {q.blank(q.cut_head('text', 30, H.CONSENT_MARKERS_RAW))}
+_READABLE = f"""(status = 200 AND NOT {q.blank(q.cut_head('flat', 30, H.CONSENT_MARKERS_RAW))}
     AND NOT (source = 'requests' AND regexp_matches(text, '{_WALL}')))"""
 
 
@@ -275,6 +276,19 @@ def classify_shop_domains(spark, sf):
                                frame(spark, sf, "responses"))
 
 
+_RAW_READABLE = f"(status = 200 AND NOT {q.blank('text')})"
+
+
+@query("classify_shop_domains_raw", cte("domains", "attempts", "responses") + f"""
+    SELECT f.row_idx, domain, CASE WHEN NOT coalesce(t, false) THEN 'Unscrapable'
+        WHEN {_FIRST} IN {q.in_list(d.SHOP_LABELS)} THEN {_FIRST} ELSE 'Unclear' END AS label
+    FROM {_domain_facts(_ALL[2:], f"(status <> 200 OR NOT {q.blank('text')})", _RAW_READABLE, q.bare_domain('raw'), H.CONSENT_MARKERS)} AS f
+    LEFT JOIN responses AS r ON r.row_idx = f.row_idx""")
+def classify_shop_domains_raw(spark, sf):
+    return pages.label_domains(frame(spark, sf, "domains"), frame(spark, sf, "attempts"), frame(spark, sf, "responses"),
+                               stages=("brightdata",), as_lines=("brightdata",))
+
+
 @query("about_description", cte("anchored") + """
     SELECT key, url || CASE key % 6 WHEN 0 THEN '/About-us' WHEN 1 THEN '/o-nas' WHEN 2 THEN '/x' WHEN 5 THEN '/team?x=1&y=2' ELSE '' END AS target,
       CASE WHEN key % 6 = 0 THEN 'About' || chr(10) || 'onetwo' || chr(10) || 'We are ' || key

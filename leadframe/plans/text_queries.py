@@ -66,11 +66,6 @@ def strip_consent(spark, sf):
                      X.nonblank_lines("short").alias("text_short"), "text_raw")
 
 
-@query("text_truncate", "SELECT doc_id, substr(text, 1, 12000) AS prompt_text FROM documents")
-def text_truncate(spark, sf):
-    return frame(spark, sf, "documents").select("doc_id", X.truncate("text", 12000).alias("prompt_text"))
-
-
 @query("cell_clean", f"""
     SELECT doc_id, {q.strip("replace(replace(text, chr(10), ' '), chr(13), '')")} AS cell FROM documents""")
 def cell_clean(spark, sf):
@@ -243,18 +238,20 @@ def payload_to_columns_speaker(spark, sf):
     return records.payload_to_columns(outputs, "speaker")
 
 
-@query("prompt_requests", "SELECT doc_id, 'Categorize ' || source || ' using the plain text scraped below:' || chr(10) || substr(text, 1, 12000) AS prompt FROM documents WHERE trim(text) <> ''")
+@query("prompt_requests", """
+    SELECT doc_id, CAST(part AS integer) AS part, 'Name the one group that fits source ' || coalesce(source, '') || '. Page text:' || chr(10)
+      || substr(text, CAST(part * 12000 + 1 AS integer), 12000) AS prompt
+    FROM documents, unnest(range(0, greatest(1, CAST(ceil(length(text) / 12000.0) AS bigint)))) AS t(part) WHERE trim(text) <> ''""")
 def prompt_requests(spark, sf):
     return records.request_table(
         frame(spark, sf, "documents"),
-        "Categorize {source} using the plain text scraped below:\n{text}", "doc_id", text=12000)
+        "Name the one group that fits source {source}. Page text:\n{text}", "doc_id", text=12000)
 
 
+# Endings go one at a time; no name of the table has twelve.
 _ENDING_SQL = "'(?i)^(.*[^\\s,])[\\s,]+(?:" + "|".join(d.COMPANY_ENDINGS) + ")$', '\\1'"
-
-
 _CLEAN = "trim(translate(name, '®™©', ''))"
-for _ in range(6):
+for _ in range(12):
     _CLEAN = f"regexp_replace({_CLEAN}, {_ENDING_SQL})"
 
 

@@ -92,7 +92,7 @@ def discover_and_extract(spark, sf):
 
 
 def _record_inputs(spark, sf):
-    fetched = fetch.first_settled(frame(spark, sf, "attempts"))
+    fetched = fetch.first_settled_facts(frame(spark, sf, "attempts"))
     answers = frame(spark, sf, "pages").select(
         F.concat(F.lit("https://d"), F.col("page_id").cast("string"), F.lit(".example.com")).alias("url"),
         F.when(F.col("page_id") % 3 == 0, F.lit("plain answer"))

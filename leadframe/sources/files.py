@@ -15,28 +15,30 @@ from ..functions.payload import strict_json
 from ..functions.text import _c, is_blank, py_strip
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core for row-wise work on a table that comes in few splits.
-
-    Parsing pages is bound by the processor, not by reading.  A table with at
-    least one split per core is returned as it is: a large one always is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _strings(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_delimited(spark: SparkSession, path: str, columns, sep: str = ",", header: bool = True
-                   ) -> DataFrame:
-    """All-string rows of a delimited file; a byte-order mark is skipped."""
-    return (
-        spark.read.schema(_strings(columns)).option("header", header).option("sep", sep)
-        .option("multiLine", False).option("escape", '"').option("encoding", "UTF-8")
-        .option("enforceSchema", True).option("nullValue", "").csv(path)
-    )
+def read_delimited(spark: SparkSession, path: str, columns=None, sep: str = ",", header: bool = True,
+                   multi_line: bool = False) -> DataFrame:
+    """All-string rows of a delimited file; a byte-order mark is skipped.
+
+    With ``header`` columns go by the names in the first line, wherever they
+    stand: the named ``columns`` come first (NULL if the file has none of that
+    name), further ones are kept after them.  All files of a folder share one
+    layout.  Without ``header`` the columns go by position.  ``multi_line`` reads
+    quoted line breaks; such files cannot be split between tasks.
+    """
+    reader = spark.read.option("sep", sep).option("escape", '"').option("encoding", "UTF-8") \
+        .option("multiLine", multi_line).option("nullValue", "")
+    if not header:
+        return reader.schema(_strings(columns)).option("header", False).csv(path)
+    rows = reader.option("header", True).csv(path)  # reads the first line only, types stay strings
+    rows = rows.toDF(*[name.removeprefix("\ufeff") for name in rows.columns])
+    if columns is None:
+        return rows
+    named = [F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]
+    return rows.select(*named, *[F.col(f"`{c}`") for c in rows.columns if c not in columns])
 
 
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:

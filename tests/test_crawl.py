@@ -114,3 +114,12 @@ def test_summary(spark):
     rows = spark.createDataFrame([("p", "/k/1"), ("p", "/z"), ("q", "/k/1")], "src string, dst string")
     got = crawl.crawl_summary(rows, "/k/").first()
     assert (got.links, got.matched_links, got.distinct_links, got.pages) == (3, 2, 1, 2)
+
+
+def test_links_behind_odd_attributes(spark):
+    html = """<a title="a > b" href="/x">X</a><a data-href="/no" title='href="/no"' href='/y'>Y</a><a class=c\nhref=/z>Z</a>
+        <a "stray" href="/s">S</a><a title="href=/q">none</a><abbr href="/no">no</abbr>"""
+    pages = spark.createDataFrame([("http://h.de/", html)], "url string, html string")
+    assert [r.dst for r in crawl.page_links(pages).collect()] == ["http://h.de/x", "http://h.de/y", "http://h.de/z", "http://h.de/s"]
+    assert [(r.href, r.text) for r in crawl.anchors(pages, "url").orderBy("pos").collect()] == \
+        [("/x", "X"), ("/y", "Y"), ("/z", "Z"), ("/s", "S")]

@@ -90,3 +90,12 @@ def test_lines_with_consent_cut(spark):
     out = run(spark, [page], H.html_to_text_lines)[0]
     assert out.split("\n")[0] == "l49" and out.endswith("l59")
     assert run(spark, ["<p>cookie</p><p>short</p>"], H.html_to_text_lines) == [""]
+
+
+def test_references_like_the_standard_library(spark):
+    from html import unescape
+
+    texts = ["&copy 2020", "caf&eacute &eacutex", "&check;&comma;&fjlig;", "&#00000065;&#x0041;&#65 &#x41g", "&notit; &notin;", "&amp;lt; &ampamp;",
+             "&#128;&#150;&#0;&#xD800;&#x110000;&#99999999999999;", "&#1;&#11;&#xFDD0;&#xFFFF;&#127;", "& &; &x; &#; &#x; &unknown; a&b", "&AMP;&LT&GT;", "&&amp;&"]
+    df = H.decode_entities(spark.createDataFrame(list(enumerate(texts)), "i int, t string"), "t", "out")
+    assert [r.out for r in df.orderBy("i").collect()] == [unescape(t) for t in texts]

@@ -73,9 +73,9 @@ def test_ecommerce(spark):
 
 def test_shop_or_provider(spark):
     cases = {
-        "add to cart, checkout": "Shop", "api reference and webhooks": "Service Provider",
-        "add to cart demo with sandbox": "Service Provider", "12,99 € wishlist": "Shop",
-        "pricing plans and case studies": "Service Provider", "hello": "Unclear", " ": "Unscrapable",
+        "add to cart, free shipping": "Shop", "api reference and merchant account": "Service Provider",
+        "freight and rest api, merchant account": "Service Provider", "12,99 € new arrivals": "Shop",
+        "monthly fee, book a demo": "Service Provider", "hello": "Unclear", " ": "Unscrapable",
     }
     rows = spark.createDataFrame([(t,) for t in cases], "text string")
     assert {r.text: r.label for r in pages.classify_shop_sp(rows, "text").collect()} == cases
@@ -124,6 +124,14 @@ ATTEMPTS = [
 ]
 
 
+def test_repeated_attempts_give_one_row(spark):
+    rows = spark.createDataFrame([*ATTEMPTS, ("a", "requests", 200, "A9"), ("e", "selenium", 200, "E2")],
+                                 "url string, source string, status int, html string")
+    got = fetch.first_settled(rows).collect()
+    assert sorted(r.url for r in got) == ["a", "b", "c", "d", "e"]
+    assert {r.url: r.html for r in got}["a"] in ("A1", "A9")
+
+
 def settle(spark, *args):
     rows = spark.createDataFrame(ATTEMPTS, "url string, source string, status int, html string")
     return {r.url: (r.html, r.source) for r in fetch.first_settled(rows, *args).collect()}
@@ -235,3 +243,25 @@ def test_requests(spark):
     rows = spark.createDataFrame([(1, "a.com", "long text"), (2, "b.com", " ")], "k int, domain string, body string")
     got = records.request_table(rows, "About {domain}:\n{body}!", "k", body=4).collect()
     assert [(r.k, r.prompt) for r in got] == [(1, "About a.com:\nlong!")]
+
+
+def test_head_cut_counts_raw_lines_once(spark):
+    notice = "We use cookies consent gdpr\n"
+    late = "<html><body>" + notice + "<br>\n" * 40 + "real text</body></html>"
+    twice = "<html><body>" + "".join(f"<p>{'cookie consent gdpr' if i in (3, 55) else f'line {i}'}</p>" for i in range(70)) + "</body></html>"
+    cells = spark.createDataFrame([(1, "a.com"), (2, "b.com")], "row_idx int, raw string")
+    answers = spark.createDataFrame([(1, "Shop"), (2, "Shop")], "row_idx int, model_output string")
+    tries = spark.createDataFrame([("https://a.com", "requests", 200, late), ("https://b.com", "brightdata", 200, twice)],
+                                  "url string, source string, status int, html string")
+    plain = {r.row_idx: r.label for r in pages.label_domains(cells, tries, answers).collect()}
+    raw = {r.row_idx: r.label for r in pages.label_domains(cells, tries, answers, stages=("brightdata",), as_lines=("brightdata",)).collect()}
+    assert (plain[1], raw[2]) == ("Shop", "Shop")
+
+
+def test_cells_must_be_bare_domains(spark):
+    cells = spark.createDataFrame([(1, "https://a.com/x"), (2, " a.com ")], "row_idx int, raw string")
+    tries = spark.createDataFrame([("https://a.com", "requests", 200, "<p>commerce</p>")], "url string, source string, status int, html string")
+    for label in (pages.exhibitor_domains, pages.ecommerce_domains):
+        strict = {r.row_idx: r.label for r in label(cells, tries).collect()}
+        open_ = {r.row_idx: r.label for r in label(cells, tries, normalize=True).collect()}
+        assert strict[1] == "Invalid domain" and strict[2] == open_[1] == open_[2] != "Invalid domain"

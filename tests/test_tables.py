@@ -28,22 +28,17 @@ def test_deals(spark):
         (1, json.dumps(page)), (2, '{"success": true, "data": null}'), (3, '{"success": false}'),
         (4, json.dumps({"success": True, "data": [{"id": 9}]}))], "page_no int, payload string")
     got = {r.id: (r.person_name, r.person_email, r.org_name, r.org_address) for r in crm.flatten_deals(rows).collect()}
-    assert got == {"1": ("P", "p@x", "O", "S"), "2": (None, None, None, None), "3": ("R", None, None, None)}
+    assert got == {"1": ("P", "p@x", "O", "S"), "2": (None, None, None, None), "3": ("R", None, None, None),
+                   "9": (None, None, None, None)}
 
 
-def test_deals_per_load(spark):
+def test_failed_pages_cost_no_others(spark):
     def page(load, no, ok):
         return load, no, json.dumps({"success": ok, "data": [{"id": f"{load}{no}"}]})
-    rows = spark.createDataFrame([page("a", 1, True), page("a", 2, False), page("a", 3, True), page("b", 1, True)],
+    rows = spark.createDataFrame([page("a", 1, True), page("a", 2, False), page("a", 3, True), page("b", 1, True), ("b", 2, "broken")],
                                  "load string, page_no int, payload string")
-    assert {r.id for r in crm.flatten_deals(rows, load="load").collect()} == {"a1", "b1"}
-
-
-def test_pages_until_without_stop(spark):
-    rows = spark.createDataFrame([(1, 5), (2, 3)], "page_no int, n int")
-    assert crm.pages_until(rows, F.col("n") == 0).count() == 2
-    assert crm.pages_until(rows, F.col("n") == 3).count() == 1
-    assert crm.page_cap(rows, limit=1).count() == 1
+    assert {r.id for r in crm.flatten_deals(rows).collect()} == {"a1", "a3", "b1"}
+    assert {tuple(r) for r in crm.failed_pages(rows, "load").collect()} == {("a", 3, 1), ("b", 2, 1)}
 
 
 def test_prospects(spark):
@@ -56,10 +51,10 @@ def test_prospects(spark):
 
 def test_widen(spark):
     rows = spark.createDataFrame([('[{"a": 1}, {"b": "x", "a": null}]',), ("{}",), ("bad",)], "payload string")
-    got = crm.widen_prospects(rows)
+    assert {tuple(r)[1:] for r in crm.prospect_members(rows.selectExpr("1 AS p", "payload"), "p").collect()} == \
+        {(0, "a", "1"), (1, "b", "x"), (1, "a", None)}
+    got = crm.widen_prospects(rows, ["a", "b"])
     assert got.columns == ["a", "b"] and {(r.a, r.b) for r in got.collect()} == {("1", None), (None, "x")}
-    with pytest.raises(ValueError):
-        crm.widen_prospects(rows, max_columns=1)
 
 
 def test_search(spark):
@@ -208,3 +203,11 @@ def test_work_dir_follows_the_cluster_setting(spark):
     assert work_dir(Cluster("hdfs://shared/folder/")) == "hdfs://shared/folder"
     with pytest.raises(RuntimeError):
         work_dir(Cluster(None))
+
+
+def test_delimited_files_go_by_name(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('﻿extra,b,a\n1,"two\nlines",x\n2,"q ""r""",\n', encoding="utf-8")
+    got = files.read_delimited(spark, str(path), ["a", "b", "missing"], multi_line=True)
+    assert got.columns == ["a", "b", "missing", "extra"]
+    assert [tuple(r) for r in got.collect()] == [("x", "two\nlines", None, "1"), (None, 'q "r"', None, "2")]

@@ -71,10 +71,6 @@ def test_consent_head(spark):
     assert [r.o for r in got] == ["d", "a\nb\nc\ncookie", "", "a", None, ""]
 
 
-def test_truncate_counts_code_points(column):
-    assert column(["ąęß😀x"], lambda c: X.truncate(c, 4)) == ["ąęß😀"]
-
-
 def test_clean_cell(column):
     assert column([" a\nb\r\nc "], X.clean_cell) == ["a b c"]
 
@@ -85,3 +81,11 @@ def test_timestamps(spark):
     got = rows.select(X.parse_timestamp("t").cast("string").alias("v")).collect()
     assert [r.v for r in got] == ["2025-03-01 10:00:00", "2025-03-01 10:00:00", "2025-03-01 00:00:00", None, None]
     assert rows.where(F.lit(True)).count() == 5
+
+
+def test_timestamp_forms(column):
+    forms = ["2024-05-01T10:00:00", "2024-05-01T10:00:00Z", "2024-05-01T10:00:00.123Z", "2024-05-01T12:00:00.000+0200",
+             "2024-05-01T12:00:00+02:00", "2024-05-01 10:00:00.5", "2024-05-01", "yesterday", None]
+    shown = [None if v is None else v.isoformat(" ") for v in column(forms, X.parse_timestamp)]
+    assert shown == ["2024-05-01 10:00:00", "2024-05-01 10:00:00", "2024-05-01 10:00:00.123000", "2024-05-01 10:00:00",
+                     "2024-05-01 10:00:00", "2024-05-01 10:00:00.500000", "2024-05-01 00:00:00", None, None]

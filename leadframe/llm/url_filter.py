@@ -70,9 +70,9 @@ def grams(host: Column, path: Column, sizes=GRAMS, buckets: int = BUCKETS) -> Co
         return at
 
     def of(mark: str, part: Column) -> Column:
-        letters = F.split(F.concat(F.lit("^"), part, F.lit("$")), "")
-        places = [F.sequence(F.lit(0), F.greatest(F.size(letters) - n, F.lit(0))) for n in sizes]
-        return F.flatten(F.array(*[F.transform(p, gram(letters, mark, n)) for p, n in zip(places, sizes)]))
+        letters = F.array(F.split(F.concat(F.lit("^"), part, F.lit("$")), ""))
+        return F.flatten(F.transform(letters, lambda own: F.concat(*[  # bound here, so split once
+            F.transform(F.sequence(F.lit(0), F.greatest(F.size(own) - n, F.lit(0))), gram(own, mark, n)) for n in sizes])))
 
     return F.concat(of("h", host), of("p", path))
 

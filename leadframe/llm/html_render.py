@@ -80,7 +80,7 @@ def _close(stack: list[Node], tag: str) -> None:
         if stack[depth].tag == tag:
             del stack[depth:]
             return
-        if stack[depth].tag in SCOPE and tag not in TABLE:
+        if stack[depth].tag in SCOPE and tag not in TABLE and tag != "table":
             return
 
 
@@ -255,9 +255,9 @@ def render_node(root: Node) -> str:
             continue
         if isinstance(item, tuple):
             kind, node = item
-            page.block(node.tag in SPACED)
             if kind == "list":
                 lists.pop()
+            page.block(node.tag in SPACED and not (kind == "list" and lists))
             continue
         if item.hidden:
             continue

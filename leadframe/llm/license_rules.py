@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 from .common import column, only, shipped
 
 #: A sentence without one of these is no licence sentence.
-KEYS = ("licen", "copyright", "warrant", "permission", "permitted", "redistribut", "public domain", "liab", "spdx",
+KEYS = ("licen", "endorse", "copyright", "warrant", "permission", "permitted", "redistribut", "public domain", "liab", "spdx",
         "without modification", "all rights reserved")
 _V = r"(?:,? ?\(?(?:version|v\.?) ?{0}(?:\.0)?\)?)"
 _GPL = r"(?:the )?(?:gnu )?{0}(?:general public licen[sc]e|gpl)"
 #: (identifier, pattern of the whole normalised sentence)
 SENTENCES = (
-    ("spdx", r"spdx-license-identifier: ?(?P<name>[a-z0-9.+-]+)"),
+    ("spdx", r".*spdx-license-identifier:? ?(?P<name>[a-z0-9.+-]+)"),
     ("apache2-named", r".*\b(?:apache(?: software)? licen[sc]e" + _V.format(2) + r"|apache-2\.0)\b.*"),
     ("apache2-compliance", r"you may not use this file except in compliance with the licen[sc]e"),
     ("apache2-copy", r"you may obtain a copy of the licen[sc]e at.*"),
@@ -37,7 +37,7 @@ SENTENCES = (
     ("bsd-grant", r"redistribution and use in source and binary forms,? with or without modification,? are permitted provided that the following conditions are met"),
     ("bsd-source", r"(?:\W*\d?\W*)redistributions of source code must retain the above copyright notice.*"),
     ("bsd-binary", r"(?:\W*\d?\W*)redistributions in binary form must reproduce the above copyright notice.*"),
-    ("bsd-endorse", r"(?:\W*\d?\W*)neither the name of .* may be used to endorse or promote products.*|.*names? of .* may not be used to endorse or promote products.*without specific prior written permission.*"),
+    ("bsd-endorse", r"(?:\W*\d?\W*)(?:\d\W+)?neither the name of .* may be used to endorse or promote products.*|.*names? of .* may not be used to endorse or promote products.*without specific prior written permission.*"),
     ("bsd-as-is", r"this software is provided by .* as is and any express or implied warranties.* are disclaimed"),
     ("bsd-liability", r"in no event shall .* be liable for any direct,? indirect,? incidental.*"),
     ("bsd3-named", r".*\b(?:3-clause|new|modified|revised) bsd licen[sc]e\b.*|.*\bbsd[ -]3-clause\b.*"),
@@ -91,7 +91,7 @@ RULES = (
 _FIRST = {"gpl2-later": 0, "gpl3-later": 0}
 _PATTERNS = [(name, re.compile(p, re.S)) for name, p in sorted(SENTENCES, key=lambda s: _FIRST.get(s[0], 1))]
 _COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/|//+|#+|\*+|;+|--+|<!--|dnl\b|rem\b)?[ \t]*", re.M | re.I)
-_END = re.compile(r"(?<=[.!?;])\s+|:\s+(?=\S)|\n\s*\n|(?<=[.!?:;])\n")
+_END = re.compile(r"(?i)(?<=[.!?;])\s+|(?<!identifier):\s+(?=\S)|\n\s*\n|(?<=[.!?:;])\n")
 _QUOTES = str.maketrans("“”„«»`", '"' * 6)
 #: Longer than any licence sentence; such a stretch is cut at line ends first.
 LONG = 3_000

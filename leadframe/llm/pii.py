@@ -33,7 +33,7 @@ LOOSE = {
 }
 #: What a text must have for a pattern to be worth a scan.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 #: Gazetteers: words before a span that speak for or against it, and values that do.
 CUES = {
@@ -47,29 +47,43 @@ VALUES = {
     "ip": r"^(?!0+\D|255\D|127\D)", "card": r"^[3-6]", "phone": r"^\(?\+?[1-9]",
 }
 LABELERS = 5
-SHAPES, ENDS, SIZES = 64, 5, 16
-WIDTH = SHAPES + 2 * ENDS + SIZES
+#: Features of a span and how many values each has: shape, neighbours, length, and the votes that don't ask for the base.
+BLOCKS = (64, 5, 5, 16, 3, 3, 3, 3)
+OFFSETS = tuple(sum(BLOCKS[:i]) for i in range(len(BLOCKS)))
+WIDTH = sum(BLOCKS)
 
 _SPAN = "array<struct<kind:int,s:int,e:int,t:string,before:string,after:string,base:boolean>>"
 
 
 def _places(text: Column, pattern: str, kind: int, base: bool) -> Column:
-    """Matches with their code points and surroundings: what lies between them is what a split leaves."""
-    def step(at: Column, i: Column) -> Column:
-        gap, found = F.get(at.gaps, i), F.get(at.found, i)
-        start = at.pos + F.length(gap)
-        end = start + F.length(found)
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("s"), end.alias("e"), found.alias("t"),
-                        F.substr(gap, F.greatest(F.length(gap) - 29, F.lit(1)), F.lit(30)).alias("before"),
-                        F.substr(F.get(at.gaps, i + 1), F.lit(1), F.lit(1)).alias("after"), F.lit(base).alias("base"))
-        return F.struct(end.alias("pos"), F.concat(at.out, F.array(span)).alias("out"),
-                        at.gaps.alias("gaps"), at.found.alias("found"))
-
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    begin = F.struct(F.lit(0).alias("pos"), F.array().cast(_SPAN).alias("out"),
-                     F.split(text, pattern, -1).alias("gaps"), found.alias("found"))
-    numbers = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(numbers, begin, step, lambda at: at.out)
+    """Matches with their code points and surroundings: what lies between them is what a split leaves.
+
+    Matches, gaps and starts are bound by a one-element transform each, so that
+    they are computed once; the running sum carries numbers only.
+    """
+    def step(cut: Column):
+        def add(at: Column, i: Column) -> Column:
+            start = at.pos + F.length(F.get(cut.gaps, i))
+            return F.struct((start + F.length(F.get(cut.found, i))).alias("pos"),
+                            F.concat(at.starts, F.array(start)).alias("starts"))
+        return add
+
+    def spans(cut: Column, starts: Column) -> Column:
+        def span(found: Column, i: Column) -> Column:
+            gap, start = F.get(cut.gaps, i), F.get(starts, i)
+            return F.struct(F.lit(kind).alias("kind"), start.alias("s"), (start + F.length(found)).alias("e"), found.alias("t"),
+                            F.substr(gap, F.greatest(F.length(gap) - 29, F.lit(1)), F.lit(30)).alias("before"),
+                            F.substr(F.get(cut.gaps, i + 1), F.lit(1), F.lit(1)).alias("after"), F.lit(base).alias("base"))
+        return F.transform(cut.found, span)
+
+    def placed(cut: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(F.sequence(F.lit(0), F.size(cut.found) - 1), begin, step(cut), lambda at: at.starts)
+        return F.flatten(F.transform(F.array(starts), lambda own: spans(cut, own)))
+
+    cuts = F.array(F.struct(F.split(text, pattern, -1).alias("gaps"),
+                            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")))
+    return F.flatten(F.transform(F.filter(cuts, lambda cut: F.size(cut.found) > 0), placed))
 
 
 def luhn(digits: Column) -> Column:
@@ -128,26 +142,31 @@ def _digits_fit(m: Column) -> Column:
                              F.length(digits).between(8, 15)])
 
 
-def votes(m: Column) -> Column:
-    """Number of the vote pattern of a span; each labeler says no, nothing or yes."""
+def ballots(m: Column) -> list[Column]:
+    """What each labeler says of a span: 0 no, 1 nothing, 2 yes."""
     cue = [F.lower(m.before).rlike(rf"\b(?:{CUES[k][0]})\b\W*(?:\w+\W+)?$") for k in KINDS]
     anti = [F.lower(m.before).rlike(rf"\b(?:{CUES[k][1]})\b\W*(?:\w+\W+)?$") for k in KINDS]
     fit, value = _digits_fit(m), _by_kind(m.kind, [m.t.rlike(VALUES[k]) for k in KINDS])
     free = ~m.before.rlike(r"[\w/#=@-]$") & ~m.after.rlike(r"[\w/#=@]")
-    all_votes = (_vote(m.base, F.lit(False)), _vote(fit, ~fit), _vote(_by_kind(m.kind, cue), _by_kind(m.kind, anti)),
-                 _vote(free, ~free), _vote(value, ~value))
+    return [_vote(m.base, F.lit(False)), _vote(fit, ~fit), _vote(_by_kind(m.kind, cue), _by_kind(m.kind, anti)),
+            _vote(free, ~free), _vote(value, ~value)]
+
+
+def votes(m: Column) -> Column:
+    """Number of the vote pattern of a span."""
     out = F.lit(0)
-    for one in all_votes:
+    for one in ballots(m):
         out = out * 3 + one
     return out
 
 
 def features(m: Column) -> list[Column]:
-    """Feature numbers of a span, each within a range of its own below WIDTH: shape, neighbours, length."""
+    """Feature numbers of a span, each within a range of its own below WIDTH."""
     shape = F.regexp_replace(F.regexp_replace(m.t, "[A-Za-z]+", "a"), "[0-9]+", "9")
     end = lambda c: F.when(c == "", 0).when(c.rlike(r"\s"), 1).when(c.rlike("[0-9]"), 2).when(c.rlike(r"\w"), 3).otherwise(4)
-    return [F.pmod(F.xxhash64(shape), F.lit(SHAPES)).cast("int"), SHAPES + end(F.right(m.before, F.lit(1))),
-            SHAPES + ENDS + end(m.after), SHAPES + 2 * ENDS + F.least(F.floor(F.length(m.t) / 4), F.lit(SIZES - 1)).cast("int")]
+    values = [F.pmod(F.xxhash64(shape), F.lit(BLOCKS[0])).cast("int"), end(F.right(m.before, F.lit(1))), end(m.after),
+              F.least(F.floor(F.length(m.t) / 4), F.lit(BLOCKS[3] - 1)).cast("int"), *ballots(m)[1:]]
+    return [offset + value for offset, value in zip(OFFSETS, values)]
 
 
 def reliabilities(counts: dict[int, int], rounds: int = 50) -> dict[int, float]:
@@ -195,9 +214,11 @@ def train(candidates: DataFrame) -> list[float]:
     odds = []
     for kind in range(len(KINDS)):
         all_yes, all_no = found.get((kind, WIDTH), (0.0, 0.0))
-        for f in range(WIDTH):
-            yes, no = found.get((kind, f), (0.0, 0.0))
-            odds.append(math.log((yes + 1) / (all_yes + WIDTH)) - math.log((no + 1) / (all_no + WIDTH)))
+        for block in range(len(BLOCKS)):
+            few = 0.1 * BLOCKS[block]
+            for f in range(OFFSETS[block], OFFSETS[block] + BLOCKS[block]):
+                yes, no = found.get((kind, f), (0.0, 0.0))
+                odds.append(math.log((yes + 0.1) / (all_yes + few)) - math.log((no + 0.1) / (all_no + few)))
         odds.append(math.log((all_yes + 1) / (all_no + 1)))
     return odds
 
@@ -225,7 +246,7 @@ def find(docs: DataFrame, threshold: float = 0.9) -> DataFrame:
     candidates of the corpus (base pattern, digits and check sums, cue words
     before the span, its neighbours, gazetteers of values); EM estimates how far
     to trust each, and its probabilities train a naive Bayes classifier on the
-    span's shape, neighbours and length, which adds from ``threshold`` on.
+    span's shape, neighbours, length and votes, which adds from ``threshold`` on.
 
     Null and empty text have no spans.  Repeated rows are judged alike, an empty
     table gives an empty result, other columns are ignored.

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space and words of the contracts.
@@ -39,4 +41,20 @@ def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+@contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Let Spark drop the shuffle files of every query as soon as it has ended.
+
+    For operators that write each step to the shared folder: none of their
+    shuffles is read again, and without this all of them pile up on the disks.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 shipped(__name__)

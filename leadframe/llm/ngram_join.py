@@ -3,8 +3,9 @@
 A T-occurrence search: a document with n shingles must share T of them with any
 partner.  The rarest n - T + 1 of its shingles are its short lists; the other
 T - 1 lists are set aside (DivideSkip), because a partner absent from all short
-lists cannot reach T.  Merging the short lists gives the candidates; their
-remaining shingles are then probed by binary search.
+lists cannot reach T.  A partner at least as large asks for a larger T, so of
+the smaller document of a pair even fewer lists count.  Merging the short lists
+gives the candidates; their remaining shingles are then probed by binary search.
 """
 
 from __future__ import annotations
@@ -19,13 +20,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import column, only, shipped
+from .common import column, only, shipped, tidy_shuffles
 
 SIZE = 5
 #: A list is longer the more of these document counts it exceeds.
 LENGTHS = (1, 16, 256, 4096)
 #: Bits of the table that tells list lengths; 8 MB for each of the counts above.
 TABLE_BITS = 1 << 26
+#: Hubs of a list in a round, and the share of their pairs that must be links for another round.
+HUBS, HUBS_PAY = 4, 0.1
+#: The table is put together from pieces of so many 64-bit words.
+PIECE = 1 << 13
+#: 64-bit words of a document's shingle sketch.
+SKETCH = 16
 
 
 class Words(dict):
@@ -57,6 +64,11 @@ def least_overlap(n, percent: int):
     return -(-percent * n // 100)
 
 
+def least_overlap_with_larger(n, percent: int):
+    """Shingles that a set of n shares with any partner of n or more."""
+    return -(-2 * percent * n // (100 + percent))
+
+
 def _half(sets: np.ndarray) -> np.ndarray:
     """Shingles whose lists are measured; the other half ranks between short and long."""
     return sets < np.uint64(1 << 63)
@@ -76,17 +88,30 @@ def _list_lengths(docs: DataFrame) -> np.ndarray:
             toks = np.concatenate([own[_half(own)] for own in sets] or [np.zeros(0, np.uint64)])
             yield pa.RecordBatch.from_arrays([pa.array(toks.view(np.int64))], names=["tok"])
 
+    def piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            words = batch.column(0).to_numpy()
+            for number in np.unique(words // PIECE):
+                own = words // PIECE == number
+                part = parts.setdefault(int(number), np.zeros((len(LENGTHS), PIECE), np.int64))
+                for i in range(len(LENGTHS)):
+                    part[i, words[own] % PIECE] = batch.column(1 + i).to_numpy()[own]
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array(
+            [p.tobytes() for p in parts.values()], pa.binary())], names=["piece", "bits"])
+
     counts = only(docs, "text").mapInArrow(run, "tok bigint").groupBy("tok").agg(F.count("*").alias("n"))
     place = F.col("tok").bitwiseAND(F.lit(TABLE_BITS - 1))
     bit = F.expr("shiftleft(1L, CAST(place & 63 AS INT))")
-    found = counts.where(F.col("n") > LENGTHS[0]).select(place.alias("place"), "n") \
+    words = counts.where(F.col("n") > LENGTHS[0]).select(place.alias("place"), "n") \
         .groupBy(F.shiftright("place", 6).alias("word")) \
         .agg(*[F.bit_or(F.when(F.col("n") > least, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{i}")
-               for i, least in enumerate(LENGTHS)]).toPandas()
-    table = np.zeros((len(LENGTHS), TABLE_BITS // 64), np.uint64)
-    for i in range(len(LENGTHS)):
-        table[i, found["word"].to_numpy()] = found[f"b{i}"].to_numpy().astype(np.int64).view(np.uint64)
-    return table
+               for i, least in enumerate(LENGTHS)])
+    pieces = words.repartition(F.shiftright("word", PIECE.bit_length() - 1)).mapInArrow(piece, "piece bigint, bits binary")
+    table = np.zeros((len(LENGTHS), TABLE_BITS // 64), np.int64)
+    for row in materialize(pieces, "list-lengths").toLocalIterator():  # 32 MB in all, a few at a time
+        table[:, row.piece * PIECE:(row.piece + 1) * PIECE] = np.frombuffer(row.bits, np.int64).reshape(len(LENGTHS), PIECE)
+    return table.view(np.uint64)
 
 
 def _ranks(own: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -98,25 +123,34 @@ def _ranks(own: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _short_lists(docs: DataFrame, held, percent: int) -> DataFrame:
-    """doc_id, n, sig, toks: set size, identity of the set, shingles whose lists are to be merged."""
+    """doc_id, n, sig, toks, k, bits: set size, identity of the set, shingles whose lists are to be merged.
+
+    The first ``k`` of ``toks`` are enough for larger partners.  ``bits`` has a bit
+    for every shingle: two sets differ in at least as many shingles as sketches in bits.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Words()
         for batch in batches:
-            sizes, sigs, toks = [], [], []
+            sizes, sigs, toks, firsts, bits = [], [], [], [], []
             for text in column(batch, "text"):
                 own = shingle_set(text, hashes)
-                ranks = _ranks(own, held.value)
-                first = np.lexsort((own, ranks))[:len(own) - least_overlap(len(own), percent) + 1] if len(own) else []
-                sizes.append(len(own))
+                n, ranks = len(own), _ranks(own, held.value)
+                first = np.argsort(ranks, kind="stable")[:n - least_overlap(n, percent) + 1]  # own is sorted
+                told = ranks[first] > 0  # the list of a rank 0 shingle is the document alone
+                sizes.append(n)
                 sigs.append(xxhash.xxh3_128_digest(own.tobytes()))
-                toks.append(own[first][ranks[first] > 0].view(np.int64) if len(own) else np.zeros(0, np.int64))
+                toks.append(own[first][told].view(np.int64))
+                sketch = np.zeros(64 * SKETCH, np.uint8)
+                sketch[(own & np.uint64(64 * SKETCH - 1)).astype(np.int64)] = 1
+                bits.append(np.packbits(sketch).view(np.int64))
+                firsts.append(int(told[:n - least_overlap_with_larger(n, percent) + 1].sum()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")), pa.array(sizes, pa.int64()),
-                 pa.array(sigs, pa.binary()), pa.array(toks, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "sig", "toks"])
+                 pa.array(sigs, pa.binary()), pa.array(toks, pa.list_(pa.int64())), pa.array(firsts, pa.int32()),
+                 pa.array(bits, pa.list_(pa.int64()))], names=["doc_id", "n", "sig", "toks", "k", "bits"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, sig binary, toks array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, sig binary, toks array<bigint>, k int, bits array<bigint>")
 
 
 def overlap(a: np.ndarray, b: np.ndarray, ranks: np.ndarray, needed: int) -> int:
@@ -191,40 +225,48 @@ def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     return lists.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
 
 
-def _size_fits(percent: int):
-    return (100 * F.least("n", "n_o") >= percent * F.greatest("n", "n_o")) & (F.col("comp") != F.col("comp_o"))
+def _fits(percent: int):
+    """Different components, sizes that allow a link, and the smaller set by a list of its first."""
+    sizes = 100 * F.least("n", "n_o") >= percent * F.greatest("n", "n_o")
+    first = F.when(F.col("n") < F.col("n_o"), F.col("first")).when(F.col("n") > F.col("n_o"), F.col("first_o")) \
+        .otherwise(F.col("first") | F.col("first_o"))
+    return sizes & (F.col("comp") != F.col("comp_o")) & first
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    return rows.where(_size_fits(percent)).select(F.least("sig", "sig_o").alias("a"), F.greatest("sig", "sig_o").alias("b")) \
-        .distinct()
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("sig", "sig_o").alias("a"), F.greatest("sig", "sig_o").alias("b")).distinct()
 
 
 def _hub_pairs(lists: DataFrame, percent: int, seed: int) -> DataFrame:
-    """Each list's hub with its other members; the hub is drawn by hash, so that near copies draw the same."""
-    hubs = lists.groupBy("tok").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"),
-        F.min_by(F.struct("sig", "n", "comp"), F.xxhash64(F.lit(seed), "sig")).alias("hub")).where("low <> high") \
-        .select("tok", F.col("hub.sig").alias("sig_o"), F.col("hub.n").alias("n_o"), F.col("hub.comp").alias("comp_o"))
-    return _pairs(lists.join(hubs, "tok"), percent)
+    """Each list's hubs with its other members; hubs are drawn by hash, so that near copies draw the same."""
+    row = F.struct("sig", "n", "comp", "first")
+    drawn = [F.min_by(row, F.xxhash64(F.lit(HUBS * seed + i), "sig")) for i in range(HUBS)]
+    hubs = lists.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                    F.array(*drawn).alias("hubs")).where("low <> high") \
+        .select("tok", F.explode(F.array_distinct("hubs")).alias("hub")) \
+        .select("tok", *[F.col(f"hub.{c}").alias(f"{c}_o") for c in ("sig", "n", "comp", "first")])
+    return _pairs(lists.join(hubs, "tok").where(_fits(percent)))
 
 
-def _rest_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list's members that are not yet connected: members outside its largest component with all others."""
+def _rest_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a list's members that are not yet connected: members outside its largest component with all others.
+
+    A pair comes out of one list only, that of its first common shingle, and only
+    if the sketches leave room for the overlap that a link needs.
+    """
     groups = lists.groupBy("tok", "comp").agg(F.count("*").alias("g"))
     main = groups.groupBy("tok").agg(F.max_by("comp", F.struct("g", "comp")).alias("main"), F.count("*").alias("parts")) \
         .where("parts > 1").select("tok", "main")
-    there = lists.join(main, "tok")
-    outside = there.where("comp <> main").select(
-        "tok", F.col("sig").alias("sig_o"), F.col("n").alias("n_o"), F.col("comp").alias("comp_o"))
-    return _pairs(there.join(outside, "tok"), percent)
-
-
-def _open_pairs(lists: DataFrame) -> int:
-    """Pairs of list members in different components, each counted in every list."""
-    groups = lists.groupBy("tok", "comp").agg(F.count("*").alias("g")) \
-        .groupBy("tok").agg(F.sum("g").alias("g"), F.sum(F.col("g") * F.col("g")).alias("own"))
-    return groups.agg(F.coalesce(F.sum((F.col("g") * F.col("g") - F.col("own")) / 2), F.lit(0))).head()[0]
+    words = [f"b{i}" for i in range(SKETCH)]
+    more = nodes.select("sig", "toks", *[F.get("bits", F.lit(i)).alias(w) for i, w in enumerate(words)])
+    there = lists.join(main, "tok").join(more, "sig").withColumn("toks", F.slice("toks", F.lit(1), F.col("pos") + 1))
+    kept = ("tok", "sig", "n", "comp", "first", "toks", *words)
+    outside = there.where("comp <> main").select(*[F.col(c).alias(f"{c}_o") for c in kept])
+    differ = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_o"))) for w in words), F.lit(0))
+    both = F.col("n") + F.col("n_o")
+    room = (both - differ) * (100 + percent) >= 2 * percent * both
+    once = F.get(F.array_intersect("toks", "toks_o"), F.lit(0)) == F.col("tok")
+    return _pairs(there.join(outside, (F.col("tok") == F.col("tok_o")) & _fits(percent) & room & once))
 
 
 def join(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -236,9 +278,9 @@ def join(docs: DataFrame, percent: int = 75) -> DataFrame:
     by links.  Documents with equal sets are one node from the start.
 
     Candidates are members of one short list.  In a group of copies every member
-    is in the same lists, so a list is first compared with one hub, and what that
-    connects need not be compared again.  When few unconnected pairs are left, or
-    hubs connect nothing more, every remaining pair of a list is tested; no link
+    is in the same lists, so a list is first compared with a few hubs, and what
+    these connect need not be compared again.  When hubs hardly connect anything
+    more, every remaining pair of a list is tested; no link
     between different components is missed and no group is paired with itself.
 
     Null, empty and blank text: 0 shingles, linked with nothing, own component.
@@ -246,32 +288,38 @@ def join(docs: DataFrame, percent: int = 75) -> DataFrame:
     that repeat a ``doc_id`` are one document with several texts, one output row
     each.  An empty table gives an empty result; other columns are ignored.
     """
+    with tidy_shuffles(docs.sparkSession):
+        return _join(docs, percent)
+
+
+def _join(docs: DataFrame, percent: int) -> DataFrame:
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(_list_lengths(docs))
     rows = materialize(_short_lists(docs, held, percent), "short-lists")
     nodes = materialize(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("toks").alias("toks")), "nodes")
-    members = nodes.select("sig", "rep", "n", F.explode("toks").alias("tok"))
-    shared = members.groupBy("tok").agg(F.count("*").alias("_g")).where("_g > 1").select("tok")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("toks").alias("toks"),
+        F.first("k").alias("k"), F.first("bits").alias("bits")), "nodes")
+    members = nodes.select("sig", "rep", "n", "k", F.posexplode("toks").alias("pos", "tok")) \
+        .select("sig", "rep", "n", "tok", "pos", (F.col("pos") < F.col("k")).alias("first"))
+    shared = members.groupBy("tok").agg(F.count("*").alias("_g"), F.max("first").alias("_f")).where("_g > 1 AND _f") \
+        .select("tok")
     lists = materialize(members.join(shared, "tok", "left_semi"), "lists")
     links = [materialize(_repeated_ids(rows, nodes), "linked")]
     labels = None if links[0].isEmpty() else components(links[0])
     if not lists.isEmpty():
         wanted = lists.select("sig", "rep").distinct()
         texts = materialize(_texts(docs, wanted), "texts")
-        total, seed, last = lists.count(), 0, False
-        while not last:
+        seed, last = 0, False
+        while True:
             here = _labelled(lists, labels)
-            if seed:
-                left = _open_pairs(here)
-                if not left:
-                    break
-                last = left <= 4 * total or links[-1].isEmpty()
-            pairs = _rest_pairs(here, percent) if last else _hub_pairs(here, percent, seed)
+            pairs = materialize(_rest_pairs(here, nodes, percent) if last else _hub_pairs(here, percent, seed), "pairs")
             links.append(materialize(_linked(pairs, texts, held, percent), "linked"))
-            if not links[-1].isEmpty():
+            found = links[-1].count()
+            if found:
                 labels = components(reduce(DataFrame.unionByName, links))
-            seed += 1
+            if last:
+                break
+            seed, last = seed + 1, found < HUBS_PAY * pairs.count()
     return _answer(rows, nodes, labels)
 
 
@@ -310,14 +358,15 @@ def first_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
     Rows without a ``doc_id`` stay; of rows that repeat a ``doc_id`` one stays.
     """
     found = materialize(join(docs, percent), "components")
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = found.where("component_id < doc_id").select("doc_id").distinct()
+    left = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1")
     if repeated.isEmpty():
         return left
-    order = Window.partitionBy("doc_id").orderBy("text")
-    return left.withColumn("_nth", F.when(F.col("doc_id").isNotNull(), F.row_number().over(order)).otherwise(F.lit(1))) \
-        .where("_nth = 1").drop("_nth")
+    whole = left.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("row.text"))
+    return whole.withColumn("nth", F.when(F.col("doc_id").isNotNull(), nth).otherwise(F.lit(1))) \
+        .where("nth = 1").select("row.*")
 
 
 shipped(__name__)

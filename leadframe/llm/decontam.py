@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ def hop(width: int) -> int:
 def width_of(size: int) -> int:
     """Largest window such that one of every ``hop`` windows of a text lies inside any passage of ``size`` words."""
     widths = [*range(1, 9)]
-    while widths[-1] < size:
+    while widths[-1] < min(size, SLICE // 4):
         widths.append(widths[-1] * 3 // 2)
     return max(w for w in widths if w + hop(w) - 1 <= size)
 
@@ -58,10 +59,10 @@ def fingerprints(hashes: np.ndarray, starts: np.ndarray, width: int, sums: np.nd
 
 
 def bit_sums(hashes: np.ndarray) -> np.ndarray:
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((len(hashes) + 1, 64), np.uint32)
-    np.cumsum(bits, axis=0, dtype=np.uint32, out=sums[1:])
-    return sums
+    """Running count of each bit; it wraps at 65,536, which is longer than any window."""
+    sums = np.zeros((len(hashes) + 1, 64), np.uint16)
+    sums[1:] = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return np.add.accumulate(sums, axis=0, dtype=np.uint16, out=sums)
 
 
 class BlockIndex:
@@ -162,7 +163,7 @@ class Benchmark:
     def _matches(self, parts: list, threshold: float, hashes: Hashes) -> Iterator[tuple[int, dict]]:
         sizes = np.array([len(p[2]) for p in parts])
         first = np.cumsum(sizes) - sizes
-        own = np.fromiter((hashes[w] for p in parts for w in p[2]), np.uint64, int(sizes.sum()))
+        own = np.fromiter(map(hashes.__getitem__, chain.from_iterable(p[2] for p in parts)), np.uint64, int(sizes.sum()))
         sums = bit_sums(own)
         candidates = set()
         for width, (items, offsets, index) in self.windows.items():
@@ -178,6 +179,9 @@ class Benchmark:
         for i, item, place in candidates:
             number, at, _, words = parts[i]
             item_id, size = self.items[item][0], len(self.items[item][1])
+            here = words[max(0, at + place):max(0, at + place + size)]
+            if size > 8 and self.shingles[item].keys().isdisjoint(shingles(here)):
+                continue  # two words aside no more than two shingles could be shared, too few
             for start in range(at + place - 2, at + place + 3):  # a word more or less before the window
                 key = (number, item, start)
                 if key not in tested:

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame
 
 from .common import column, only, shipped
 
-#: A sentence without one of these is no licence sentence.
+#: A normalised sentence without one of these is no licence sentence.
 KEYS = ("licen", "endorse", "copyright", "warrant", "permission", "permitted", "redistribut", "public domain", "liab", "spdx",
-        "without modification", "all rights reserved")
+        "without modification", "all rights reserved", "apache-2.0", "creative commons", "proprietary and confidential",
+        "unauthorized copying", "unauthorized use", "may not be copied", "may not be reproduced")
 _V = r"(?:,? ?\(?(?:version|v\.?) ?{0}(?:\.0)?\)?)"
 _GPL = r"(?:the )?(?:gnu )?{0}(?:general public licen[sc]e|gpl)"
 #: (identifier, pattern of the whole normalised sentence)
@@ -108,9 +109,9 @@ def sentences(text: str) -> Iterator[tuple[int, str]]:
     for raw in _END.split(_COMMENT.sub("", text)):
         for part in raw.split("\n") if len(raw) > LONG else (raw,):
             number += 1
-            low = part.lower()
-            if any(k in low for k in KEYS) or "cc" in low and "4.0" in low or "cc0" in low or "gpl" in low or "clause" in low:
-                yield number, normalise(part)
+            plain = normalise(part)  # as identify() sees it: a key may run over lines
+            if any(k in plain for k in KEYS) or "cc" in plain and "4.0" in plain or "cc0" in plain or "gpl" in plain or "clause" in plain:
+                yield number, plain
 
 
 def identify(sentence: str) -> str | None:

@@ -1,6 +1,9 @@
+import re
+from itertools import product
+
 import pytest
 
-from leadframe.llm.license_rules import KEYS, SENTENCES, identify, recognise, scan, sentences
+from leadframe.llm.license_rules import KEYS, SENTENCES, identify, normalise, recognise, scan, sentences
 
 MIT = """/*
  * Copyright (c) 2020 Somebody
@@ -74,3 +77,42 @@ def test_patterns_do_not_blow_up():
         identify((word * 200).strip())
     assert time.process_time() - began < 5
     assert all(p for _, p in SENTENCES) and KEYS
+
+
+def written_out(parsed):
+    """Texts that a parsed pattern matches: every alternative, nothing optional but a free word."""
+    parts = []
+    for kind, what in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            parts.append([chr(what)])
+        elif kind == "IN":
+            parts.append([chr(v) if str(k) == "LITERAL" else chr(v[0]) if str(k) == "RANGE" else "2" for k, v in what[:1]])
+        elif kind == "BRANCH":
+            parts.append([t for branch in what[1] for t in written_out(branch)])
+        elif kind == "SUBPATTERN":
+            parts.append(written_out(what[3]))
+        elif kind == "MAX_REPEAT":
+            free = str(what[2][0][0]) == "ANY"
+            parts.append([" x "] if free else [t * what[0] for t in written_out(what[2])] if what[0] else [""])
+        else:
+            assert kind in ("AT", "ASSERT_NOT"), kind
+    return ["".join(p) for p in product(*parts)]
+
+
+@pytest.mark.parametrize("name, pattern", SENTENCES)
+def test_every_alternative_passes_the_filter(name, pattern):
+    for text in map(normalise, written_out(re._parser.parse(pattern))):
+        assert re.fullmatch(pattern, text), text
+        for spelled in (text, text.upper().replace(" ", "\n")):
+            assert [n for n, _ in sentences(spelled)] == [1], spelled
+
+
+@pytest.mark.parametrize("text, found", [
+    ("Released under Apache-2.0.", "Apache-2.0"), ("Creative Commons Attribution 4.0 International", "CC-BY-4.0"),
+    ("Creative Commons\nZero", "CC0-1.0"), ("Proprietary and confidential.", "LicenseRef-proprietary"),
+    ("Unauthorized copying of this file is strictly prohibited.", "LicenseRef-proprietary"),
+    ("This document may not be copied.", "LicenseRef-proprietary")])
+def test_sentences_without_another_key(text, found):
+    assert licences(f"Some prose. {text}")[0] == [found]
+    assert list(sentences("It may not be so. The Apache helicopter. Creative people in common use.")) == []

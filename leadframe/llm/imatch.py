@@ -1,23 +1,25 @@
 """I-Match fingerprints of documents (operator 4).
 
 Column expressions only.  Terms within a band of inverse document frequency form
-the lexicon; several random subsets of it are hashed, each over the sorted
-distinct terms that a document has in it.
+the lexicon; it is dealt to random subsets, and each is hashed over the distinct
+terms that a document has in it.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import lower_ascii, words
+from .common import lower_ascii, only, tidy_shuffles, words
 
-SUBSETS = 8
-#: One term in so many belongs to a given subset.
+#: One term in so many belongs to a given subset; as many subsets leave no term out.
 SPARSE = 128
+SUBSETS = SPARSE
+#: A lexicon of so many terms at most is sent to the tasks (about 70 MB); a larger one is joined by shuffle.
+BROADCAST_TERMS = 2_000_000
 
 
 def next_texts(docs: DataFrame, bucket_rows: int = 2_000) -> DataFrame:
@@ -26,6 +28,13 @@ def next_texts(docs: DataFrame, bucket_rows: int = 2_000) -> DataFrame:
     Rows are dealt to key ranges of about ``bucket_rows`` rows; each range also
     gets the first row of the next lower one, so no task sees more than a range.
     """
+    dealt, line = _dealt(docs, bucket_rows)
+    return dealt.withColumn("next_id", F.lead("_id").over(line)).withColumn("next_text", F.lead("text").over(line)) \
+        .where(~F.col("_ghost")).select("_id", "doc_id", "text", "next_id", "next_text")
+
+
+def _dealt(docs: DataFrame, bucket_rows: int = 2_000) -> tuple[DataFrame, WindowSpec]:
+    """Rows by range, with the first of the next lower range as a ghost, and the window that leads to the next row."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("ids")).head()
     parts = min(10_000, found.n // bucket_rows + 1)
@@ -33,7 +42,6 @@ def next_texts(docs: DataFrame, bucket_rows: int = 2_000) -> DataFrame:
     bounds = rows.agg(F.percentile_approx("doc_id", F.lit(shares), 100_000).alias("b")).head().b if shares and found.ids else []
     bounds = sorted(set(bounds))
     rows = rows.withColumn("_part", _range(F.col("doc_id"), bounds)).withColumn("_id", F.monotonically_increasing_id())
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc(), F.col("_id").desc()]
     place = F.struct(F.col("doc_id").isNotNull().alias("a"), "doc_id", F.xxhash64("text").alias("h"), "_id")
     heads = rows.groupBy("_part").agg(F.max(place).alias("top"))
     # one row for each range: their number is bounded by ``parts``
@@ -42,10 +50,10 @@ def next_texts(docs: DataFrame, bucket_rows: int = 2_000) -> DataFrame:
         Window.unboundedPreceding, Window.unboundedFollowing)))
     heads = heads.withColumn("_to", above).select(F.col("top._id").alias("_id"), "_to")
     ghosts = rows.join(F.broadcast(heads), "_id").select("doc_id", "text", F.col("_to").alias("_part"), "_id", F.lit(True).alias("_ghost"))
-    dealt = rows.select("doc_id", "text", "_part", "_id", F.lit(False).alias("_ghost")).unionByName(ghosts)
-    line = Window.partitionBy("_part").orderBy("_ghost", *order)
-    return dealt.withColumn("next_id", F.lead("_id").over(line)).withColumn("next_text", F.lead("text").over(line)) \
-        .where(~F.col("_ghost")).select("_id", "doc_id", "text", "next_id", "next_text")
+    dealt = rows.select("doc_id", "text", "_part", "_id", F.lit(False).alias("_ghost")).unionByName(ghosts) \
+        .withColumn("_hash", F.xxhash64("text"))
+    return dealt, Window.partitionBy("_part").orderBy(
+        "_ghost", F.col("doc_id").desc_nulls_last(), F.col("_hash").desc(), F.col("_id").desc())
 
 
 def _range(value: Column, bounds: list[int]) -> Column:
@@ -69,28 +77,33 @@ def edited(text: Column, other: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Hashes of the distinct lower-cased terms that some subset may hold."""
-    hashed = F.transform(words(lower_ascii(text)), lambda w: F.xxhash64(w))
-    return F.array_distinct(F.filter(hashed, lambda h: F.pmod(h, F.lit(SPARSE)) < SUBSETS))
-
+    """Hashes of the distinct lower-cased terms."""
+    return F.array_distinct(F.transform(words(lower_ascii(text)), lambda w: F.xxhash64(w)))
 
-def _print(hashes: Column, whole: Column) -> Column:
-    """One hash for every subset, ``-`` where a text has no term in it; a text without any goes by its own hash."""
-    def part(k: int) -> Column:
-        own = F.filter(hashes, lambda h: F.pmod(h, F.lit(SPARSE)) == k)
-        return F.when(F.size(own) > 0, F.lower(F.hex(F.xxhash64(F.array_sort(own))))).otherwise("-")
 
-    parts = [part(k) for k in range(SUBSETS)]
-    return F.when(F.size(hashes) > 0, F.concat_ws(".", *parts)).otherwise(F.concat(F.lit("text:"), whole))
+def _print(parts: Column, name: str, whole: Column) -> Column:
+    """``subset:hash`` of every subset in which a text has a term; a text without any goes by its own hash."""
+    own = F.filter(parts, lambda p: p[name].isNotNull())
+    told = F.transform(own, lambda p: F.concat(F.hex(p.k), F.lit(":"), F.lower(F.hex(p[name]))))
+    return F.when(F.size(own) > 0, F.array_join(told, ".")).otherwise(F.concat(F.lit("text:"), F.lower(F.hex(whole))))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among the subsets in which either text has a term; 1 for equal fingerprints."""
-    pairs = F.arrays_zip(F.split(a, r"\.").alias("x"), F.split(b, r"\.").alias("y"))
-    told = F.filter(pairs, lambda p: ~(p.x.eqNullSafe(F.lit("-")) & p.y.eqNullSafe(F.lit("-"))))
-    same = F.filter(told, lambda p: p.x == p.y)
+    x, y = F.split(a, r"\."), F.split(b, r"\.")
+    subsets = lambda c: F.transform(c, lambda p: F.substring_index(p, ":", 1))
+    told = F.size(F.array_union(subsets(x), subsets(y)))
     return F.when(a == b, F.lit(1.0)).when(a.startswith("text:") | b.startswith("text:"), F.lit(0.0)) \
-        .otherwise(F.size(same) / F.size(told))
+        .otherwise(F.size(F.array_intersect(x, y)) / told)
+
+
+def _lexicon(docs: DataFrame, low: float, high: float) -> DataFrame:
+    """h: hashes of the terms within the band, hinted as a broadcast if they are few enough."""
+    with tidy_shuffles(docs.sparkSession):
+        total = docs.count()
+        counted = docs.select(F.explode(terms(F.col("text"))).alias("h")).groupBy("h").agg(F.count("*").alias("df"))
+        lexicon = materialize(counted.where(F.col("df").between(total ** (1 - high), total ** (1 - low))).select("h"), "lexicon")
+    return F.broadcast(lexicon) if lexicon.count() <= BROADCAST_TERMS else lexicon
 
 
 def fingerprints(docs: DataFrame, low: float = 0.2, high: float = 0.8) -> DataFrame:
@@ -98,9 +111,9 @@ def fingerprints(docs: DataFrame, low: float = 0.2, high: float = 0.8) -> DataFr
 
     Terms are blank-separated, A-Z lower-cased.  With N documents, the lexicon
     holds the terms whose idf, ln(N / df) / ln(N), lies within ``low`` … ``high``:
-    neither stop words nor one-off spellings, at any corpus size.  Each of the 8
+    neither stop words nor one-off spellings, at any corpus size.  Each of the 128
     subsets is a random 1/128 of the lexicon, chosen by hash, so that an edit
-    leaves some untouched.  Document frequencies are counted over all documents.
+    leaves some untouched; together they hold all of it.  Document frequencies are counted over all documents.
 
     The edited text has the last third replaced by the start of the next document
     by descending ``doc_id``.  Null text counts as empty; a text without a
@@ -108,32 +121,26 @@ def fingerprints(docs: DataFrame, low: float = 0.2, high: float = 0.8) -> DataFr
     null ids come last.  A single document is its own next.  An empty table
     gives an empty result; other columns are ignored.
     """
-    change = edited(F.col("text"), F.col("next_text"))
-    rows = next_texts(docs).withColumn("_edited", change)
-    digest = lambda c: F.lower(F.hex(F.xxhash64(F.col(c))))
-    rows = materialize(rows.select(
-        "_id", "doc_id", "next_id", F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"), digest("text").alias("_whole"),
-        digest("_edited").alias("_edited_whole"), terms(F.col("text")).alias("_terms"),
-        terms(F.col("_edited")).alias("_edited_terms")), "terms")
-    total = rows.count()
-    least, most = total ** (1 - high), total ** (1 - low)
-    counted = rows.select(F.explode("_terms").alias("h")).groupBy("h").agg(F.count("*").alias("df"))
-    lexicon = counted.where(F.col("df").between(least, most)).select("h")
-    both = rows.select("_id", F.explode(F.array(F.struct(F.lit(False).alias("e"), F.col("_terms").alias("t")),
-                                                F.struct(F.lit(True).alias("e"), F.col("_edited_terms").alias("t")))).alias("p")) \
-        .select("_id", "p.e", F.explode("p.t").alias("h"))
-    kept = both.join(lexicon, "h").groupBy("_id").agg(
-        F.collect_list(F.when(~F.col("e"), F.col("h"))).alias("_kept"),
-        F.collect_list(F.when(F.col("e"), F.col("h"))).alias("_edited_kept"))
-    none = F.array().cast("array<bigint>")
-    prints = rows.join(kept, "_id", "left").select(
-        "_id", "doc_id", "next_id", "n_chars", "edited_sha256",
-        _print(F.coalesce("_kept", none), F.col("_whole")).alias("fingerprint"),
-        _print(F.coalesce("_edited_kept", none), F.col("_edited_whole")).alias("edited_fingerprint"))
-    prints = materialize(prints, "fingerprints")
-    other = prints.select(F.col("_id").alias("_next"), F.col("fingerprint").alias("_next_print"))
-    return prints.join(other, F.col("next_id") == F.col("_next")).select(
+    docs = only(docs, "doc_id", "text")
+    lexicon = _lexicon(docs, low, high).withColumn("_in", F.lit(True))
+    dealt, line = _dealt(docs)
+    # all that follows stays within the ranges, so nothing is moved again
+    rows = dealt.withColumn("_edited", F.when(~F.col("_ghost"), edited(F.col("text"), F.lead("text").over(line))))
+    keys = ["_part", "_ghost", "_id", "doc_id", "_hash", "n_chars", "edited_sha256", "_edited_hash"]
+    rows = rows.select(
+        "_part", "_ghost", "_id", "doc_id", "_hash", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"), F.xxhash64("_edited").alias("_edited_hash"),
+        terms(F.col("text")).alias("_terms"), F.coalesce(terms(F.col("_edited")), F.array().cast("array<bigint>")).alias("_edited_terms"))
+    rows = rows.select(*keys, F.size("_terms").alias("_own"), F.posexplode_outer(F.concat("_terms", "_edited_terms")).alias("_at", "h"))
+    rows = rows.join(lexicon, "h", "left").withColumn("k", F.when(F.col("_in"), F.pmod("h", F.lit(SPARSE))))
+    # hashes of distinct terms, so their exclusive or is a hash of the set
+    term, own = F.when(F.col("_in"), F.xxhash64("h")), F.col("_at") < F.col("_own")
+    parts = rows.groupBy(*keys, "k").agg(F.bit_xor(F.when(own, term)).alias("own"), F.bit_xor(F.when(~own, term)).alias("edited"))
+    prints = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(
+        F.when(F.col("k").isNotNull(), F.struct("k", "own", "edited")))).alias("_parts"))
+    prints = prints.select(*keys, _print(F.col("_parts"), "own", F.col("_hash")).alias("fingerprint"),
+                           _print(F.col("_parts"), "edited", F.col("_edited_hash")).alias("edited_fingerprint"))
+    return prints.withColumn("_next", F.lead("fingerprint").over(line)).where(~F.col("_ghost")).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_next_print")).alias("near_next"))
+        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"))

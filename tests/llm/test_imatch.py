@@ -82,3 +82,19 @@ def test_odd_rows(odd, empty, spark):
     assert fingerprints(empty).collect() == []
     alone = fingerprints(spark.createDataFrame([(3, "abc")], "doc_id bigint, text string")).head()
     assert (alone.near_next, alone.edited_sha256) == (1.0, hashlib.sha256(b"aba").hexdigest())
+
+
+def test_every_term_of_the_band_counts(spark):
+    # the words of each text are in four texts out of 64: all in the band
+    sets = [[f"t{i}n{j}" for j in range(1 + i % 5)] for i in range(16)]
+    rows = [(4 * i + more, " ".join(s[::-1] + s[:more])) for i, s in enumerate(sets) for more in range(4)]
+    found = {r.doc_id: r.fingerprint for r in fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert not any(p.startswith("text:") for p in found.values())
+    assert all(found[4 * i] == found[4 * i + more] for i in range(16) for more in range(4)) and len(set(found.values())) == 16
+
+
+def test_lexicon_too_large_to_send(documents, monkeypatch):
+    columns = ["doc_id", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    sent = sorted(fingerprints(documents).select(*columns).collect())
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", 0)
+    assert sorted(fingerprints(documents).select(*columns).collect()) == sent

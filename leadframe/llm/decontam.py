@@ -112,10 +112,20 @@ def shingles(words: list[str], size: int = 5) -> Counter:
     return Counter(zip(*[words[i:] for i in range(size)]))
 
 
+def shortest(words: list[str], weight: dict, threshold: float, size: int = 5) -> int:
+    """Words of the shortest passage whose shingles alone reach ``threshold`` of the weight of all."""
+    own = np.array([weight[s] for s in zip(*[words[i:] for i in range(size)])])
+    if not len(own):
+        return len(words)  # one shingle, the whole sequence
+    sums = np.concatenate([[0.0], np.cumsum(own)])
+    ends = np.searchsorted(sums, sums[:-1] + threshold * sums[-1] - 1e-9)
+    return int((ends - np.arange(len(own)))[ends < len(sums)].clip(1).min()) + size - 1
+
+
 class Benchmark:
     """Items, their windows by width, and the weights of their shingles."""
 
-    def __init__(self, items: list[tuple[int, str | None]], radius: int):
+    def __init__(self, items: list[tuple[int, str | None]], radius: int, threshold: float = 0.75):
         hashes = Hashes()
         self.items = [(item, words) for item, text in items if (words := tokens(text))]
         self.longest = max((len(w) for _, w in self.items), default=0)
@@ -125,7 +135,7 @@ class Benchmark:
         by_width: dict[int, list] = {}
         for number, (_, words) in enumerate(self.items):
             own = np.array([hashes[w] for w in words], np.uint64)
-            width = width_of(len(words))
+            width = width_of(shortest(words, self.weight, threshold))
             starts = np.arange(len(words) - width + 1)
             for start, print_ in zip(starts, fingerprints(own, starts, width)):
                 by_width.setdefault(width, []).append((number, start, print_))
@@ -192,21 +202,22 @@ class Benchmark:
         yield from found.items()
 
 
-def _benchmarks(benchmark: DataFrame, radius: int, block_items: int) -> list:
+def _benchmarks(benchmark: DataFrame, threshold: float, radius: int, block_items: int) -> list:
     """The benchmark in blocks of about ``block_items`` items, each broadcast on its own."""
     items = only(benchmark, "item_id", "text").where("text IS NOT NULL")
     blocks = max(1, -(-items.count() // block_items))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     sc = benchmark.sparkSession.sparkContext
-    return [sc.broadcast(Benchmark([tuple(r) for r in items.where(part == b).collect()], radius)) for b in range(blocks)]
+    return [sc.broadcast(Benchmark([tuple(r) for r in items.where(part == b).collect()], radius, threshold)) for b in range(blocks)]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, radius: int = 7,
           block_items: int = 5_000) -> DataFrame:
     """doc_id, item_id, similarity, place: every document with a passage that is a benchmark item or nearly so.
 
-    Windows about as long as the items slide over each whole document and over
-    each item; a pair of windows whose 64-bit SimHashes differ in at most
+    Windows slide over each whole document and over each item, so narrow that
+    one lies inside any unchanged part of an item that can reach the threshold,
+    also at either end of a document or alone.  A pair of windows whose 64-bit SimHashes differ in at most
     ``radius`` bits is a candidate.  Where the item would then lie in the
     document, give or take two words, the weighted Jaccard similarity of
     five-word shingles (the whole sequence, if shorter) must reach
@@ -219,7 +230,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, radius
     stays null.  Other columns are ignored.
     """
     out = None
-    for held in _benchmarks(benchmark, radius, block_items):
+    for held in _benchmarks(benchmark, threshold, radius, block_items):
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             hashes = Hashes()
             for batch in batches:
@@ -242,7 +253,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, radius
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, radius: int = 7,
                   block_items: int = 5_000) -> DataFrame:
     """The documents in which :func:`leaks` finds no passage, with all their columns; nothing is shuffled."""
-    for held in _benchmarks(benchmark, radius, block_items):
+    for held in _benchmarks(benchmark, threshold, radius, block_items):
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             hashes = Hashes()
             for batch in batches:

@@ -90,3 +90,32 @@ def test_odd_rows(odd, empty, spark):
     assert without_leaks(odd, items).columns == odd.columns
     assert leaks(empty, items).collect() == [] and leaks(odd, spark.createDataFrame([], schema)).collect() == []
     assert without_leaks(odd, spark.createDataFrame([], schema)).count() == odd.count()
+
+
+def test_cut_passages_at_both_ends_and_alone(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5_000)]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    shared = text(20)
+    items = [(i, text(n)) for i, n in enumerate((6, 9, 13, 24, 49, 74, 112))] + [(20 + i, text(30) + shared) for i in range(2)]
+    docs = []  # a passage cut at either end: alone, at the end and at the start of a text
+    for _, words in items:
+        n = len(words)
+        for keep in range(n * 7 // 10, n + 1, max(1, n // 30)):
+            for part in (words[:keep], words[n - keep:]):
+                docs += [part, text(rng.randrange(1, 60)) + part, part + text(rng.randrange(1, 60))]
+    index = decontam.Benchmark([(i, " ".join(w)) for i, w in items], 7)
+    expected = {}
+    for d, words in enumerate(docs):
+        for number, (item, own) in enumerate(index.items):
+            lies = {p - o for p in range(len(words)) for o in range(len(own)) if words[p:p + 5] == own[o:o + 5]}
+            if lies:
+                best = max(index.similarity(number, words[max(0, s):max(0, s + len(own))])
+                           for s in {p + more for p in lies for more in range(-2, 3)} if s + len(own) > 0)
+                if best >= 0.75:
+                    expected[d, item] = round(best, 9)
+    found = leaks(spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id bigint, text string").repartition(4),
+                  spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")).collect()
+    found = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in found}
+    assert len(expected) > 300 and {k for k, v in expected.items() if found.get(k, 0) < v} == set()
+    assert all(set(docs[d]) & set(dict(items)[i]) for d, i in found)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (cross_parse, decontam, html_render, imatch, license_rules, mixing, ngram_join, packing, pii,
+from . import (cross_parse, decontam, html_render, imatch, license_rules, line_index, mixing, ngram_join, packing, pii,
                url_filter)
 
 
@@ -55,8 +56,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(_read(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_index.dedup(_read(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pack_tokens, op2_language, op3_benchmark_leaks, op4_imatch, op5_html_text, op6_url_filter,
-        op7_mix_sources, op8_pii_spans, op9_ngram_jaccard, op10_licenses)}
-ORACLES = {"op7_mix_sources": mixing.ORACLE}
+        op7_mix_sources, op8_pii_spans, op9_ngram_jaccard, op10_licenses,
+        op11_line_dedup)}
+ORACLES = {"op7_mix_sources": mixing.ORACLE, "op11_line_dedup": line_index.ORACLE}

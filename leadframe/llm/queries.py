@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (cross_parse, decontam, html_render, imatch, license_rules, line_index, mixing, ngram_join, packing, pii,
-               url_filter)
+from . import (cross_parse, decontam, divergence, html_render, imatch, license_rules, line_index, mixing,
+               ngram_join, packing, pii, prefix_trie, url_filter)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,9 +61,18 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_read(spark, sf_dir, "conversations"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pack_tokens, op2_language, op3_benchmark_leaks, op4_imatch, op5_html_text, op6_url_filter,
         op7_mix_sources, op8_pii_spans, op9_ngram_jaccard, op10_licenses,
-        op11_line_dedup)}
-ORACLES = {"op7_mix_sources": mixing.ORACLE, "op11_line_dedup": line_index.ORACLE}
+        op11_line_dedup, op12_prefix_trie, op13_source_divergence)}
+ORACLES = {"op7_mix_sources": mixing.ORACLE, "op11_line_dedup": line_index.ORACLE,
+           "op12_prefix_trie": prefix_trie.ORACLE, "op13_source_divergence": divergence.ORACLE}

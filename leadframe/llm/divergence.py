@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import LOWER, UPPER, column, only, shipped, tidy_shuffles
+from .common import column, only, shipped, tidy_shuffles
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+TERM = rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"  # of UTF-8: code points from 128 on have no byte below 128
 PIECE = 1 << 20  # code points of a long text that are searched at once
 HELD = 500_000  # counted terms that a task holds before it hands them on
 CELLS = 1 << 20  # numbers of the table that one step of the pair sums holds
@@ -27,42 +27,43 @@ SCALE, SMOOTH = 1_000_000_000, 5
 EXACT = "decimal(38,0)"
 
 
-def _pieces(text: str, pattern: re.Pattern) -> Iterator[list[str]]:
+def _pieces(text: bytes, pattern: re.Pattern) -> Iterator[list[bytes]]:
     """Terms of a text; a long one is cut where no term goes on."""
     start, size = 0, len(text)
     while start < size:
         end = start + PIECE
-        if end < size:
-            while end < size and pattern.match(text, end, end + 1):
-                end += 1
+        while end < size and pattern.match(text, end, end + 1):
+            end += 1
         yield pattern.findall(text, start, min(end, size))
         start = end
 
 
-def _counted(term: str) -> Callable:
-    """(lang, source, term, n, docs) of what a task has read; the empty term stands for the group itself."""
-    names = ["lang", "source", "term", "n", "docs"]
-
-    def told(found: dict) -> pa.RecordBatch:
-        rows = [(lang, source, t, n, docs[t]) for (lang, source), (total, docs) in found.items() for t, n in total.items()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
-            zip(*rows) if rows else [[]] * 5, [pa.string()] * 3 + [pa.int64()] * 2)], names)
+def _counted(term: bytes) -> Callable:
+    """(lang, source, term, n, docs) of what a task has read, each term once for each ``HELD`` entries."""
+    def told(found: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (total, docs) in found.items():
+            terms = list(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(terms)), pa.repeat(source, len(terms)), pa.array(terms, pa.binary()).cast(pa.string()),
+                 pa.array(total.values(), pa.int64()), pa.array(map(docs.__getitem__, terms), pa.int64())],
+                ["lang", "source", "term", "n", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern, lower, found, held = re.compile(term), str.maketrans(UPPER, LOWER), {}, 0
+        pattern, found, held = re.compile(term), {}, 0
         for batch in batches:
-            for text, lang, source in zip(*(column(batch, c) for c in ("text", "lang", "source"))):
-                total, docs = found.setdefault((lang or "", source or ""), (Counter({"": 0}), Counter()))
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.large_binary()).to_pylist()
+            for text, lang, source in zip(texts, column(batch, "lang"), column(batch, "source")):
+                total, docs = found.setdefault((lang or "", source or ""), (Counter(), Counter()))
                 size, own = len(total), set()
-                for terms in _pieces((text or "").translate(lower), pattern):
+                for terms in _pieces((text or b"").lower(), pattern):  # of bytes, so only A-Z change
                     total.update(terms)
                     own.update(terms)
                 docs.update(own)
                 held += len(total) - size
                 if held > HELD:
-                    yield told(found)
+                    yield from told(found)
                     found, held = {}, 0
-        yield told(found)
+        yield from told(found)
     return run
 
 
@@ -73,31 +74,33 @@ def _share(count: Column, total: Column, terms: Column) -> Column:
     return F.when(terms > 0, F.call_function("div", above.cast(EXACT), below.cast(EXACT)) + 1)
 
 
-def vocabulary(docs: DataFrame, min_docs: int = 30, term: str = TERM) -> tuple[DataFrame, DataFrame]:
-    """Kept terms (lang, term, lang_n, told: source and n of each group that has the term), and all groups (lang, source)."""
+def vocabulary(docs: DataFrame, min_docs: int = 30, term: bytes = TERM) -> DataFrame:
+    """Kept terms of every group that has them: lang, term, lang_n, source, n.
+
+    Each task counts what it reads, so the counts are shuffled once, and both the
+    choice of terms and the sums of groups read that one shuffle.
+    """
     counts = only(docs, "text", "lang", "source").mapInArrow(_counted(term), "lang string, source string, term string, n bigint, docs bigint") \
-        .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    counts = materialize(counts, "terms")
-    kept = counts.where("term <> ''").groupBy("lang", "term") \
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"), F.collect_list(F.struct("source", "n")).alias("told")) \
-        .where(F.col("docs") >= min_docs).drop("docs")  # one entry for each source
-    return materialize(kept, "vocabulary"), counts.where("term = ''").select("lang", "source")
-
-
-def _groups(kept: DataFrame, groups: DataFrame) -> DataFrame:
-    """lang, source, at (its place within the lang), n, lang_total, terms of every group."""
-    langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
-    own = kept.select("lang", F.inline("told")).groupBy("lang", "source").agg(F.sum("n").alias("n"))
-    zero = F.lit(0).cast("long")
-    return groups.join(langs, "lang", "left").join(own, ["lang", "source"], "left").select(
+        .repartition("lang", "term")
+    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("_docs"), F.sum("n").alias("lang_n")) \
+        .where(F.col("_docs") >= min_docs).drop("_docs")
+    return counts.join(kept.hint("shuffle_hash"), ["lang", "term"]).groupBy("lang", "term", "lang_n", "source").agg(F.sum("n").alias("n"))
+
+
+def group_totals(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """lang, source, at (its place within the lang), total, lang_total, terms of every group of ``docs``."""
+    empty, zero = F.lit(""), F.lit(0).cast("long")
+    found = docs.select(F.coalesce("lang", empty).alias("lang"), F.coalesce("source", empty).alias("source")).distinct()
+    langs = kept.select("lang", "term", "lang_n").distinct().groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
+    own = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    return found.join(langs, "lang", "left").join(own, ["lang", "source"], "left").select(
         "lang", "source", (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).alias("at"),
-        F.coalesce("n", zero).alias("total"), F.coalesce("lang_total", zero).alias("lang_total"), F.coalesce("terms", zero).alias("terms"))
+        *[F.coalesce(c, zero).alias(c) for c in ("total", "lang_total", "terms")])
 
 
 def top_terms(kept: DataFrame, groups: DataFrame, ranks: int = 50) -> DataFrame:
     """lang, source, item, value, rank: the terms that a group uses more than its language does."""
-    flat = kept.select("lang", "lang_n", "term", F.inline("told")).where("n > 0")
-    cells = flat.groupBy("lang", "source", "n", "lang_n").agg(F.count("*").alias("m")) \
+    cells = kept.groupBy("lang", "source", "n", "lang_n").agg(F.count("*").alias("m")) \
         .join(groups, ["lang", "source"]) \
         .withColumn("value", _share(F.col("n"), F.col("total"), F.col("terms")) - _share(F.col("lang_n"), F.col("lang_total"), F.col("terms"))) \
         .where("value > 0").select("lang", "source", "n", "lang_n", "m", "value")
@@ -110,7 +113,7 @@ def top_terms(kept: DataFrame, groups: DataFrame, ranks: int = 50) -> DataFrame:
         .withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < ranks).drop("_r", "m")
     wanted = cells.join(reached, ["lang", "source", "value"]).select("lang", "source", "n", "lang_n", "value", "before")
     tied = Window.partitionBy("lang", "source", "value").orderBy("term")
-    return flat.join(wanted, ["lang", "source", "n", "lang_n"]).withColumn("_r", F.row_number().over(tied)).where(F.col("_r") <= ranks) \
+    return kept.join(wanted, ["lang", "source", "n", "lang_n"]).withColumn("_r", F.row_number().over(tied)).where(F.col("_r") <= ranks) \
         .withColumn("rank", (F.col("before") + F.col("_r")).cast("int")).where(F.col("rank") <= ranks) \
         .select("lang", "source", F.col("term").alias("item"), "value", "rank")
 
@@ -156,7 +159,7 @@ def pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
     # one number for each group; the result has the square of that for a lang
     for row in base.where("p IS NOT NULL").orderBy("lang", "at").toLocalIterator():
         bases.setdefault(row.lang, []).append(row.p)
-    told = kept.select("lang", "term", F.inline("told")).join(groups, ["lang", "source"]) \
+    told = kept.join(groups, ["lang", "source"]) \
         .select("lang", "term", "at", _share(F.col("n"), F.col("total"), F.col("terms")).alias("p"))
     rows = told.groupBy("lang", "term").agg(F.collect_list("at").alias("at"), F.collect_list("p").alias("p"))
     sums = rows.mapInArrow(_pair_sums(spark.sparkContext.broadcast(bases)), "lang string, a int, b int, value bigint") \
@@ -188,8 +191,8 @@ def audit(docs: DataFrame, min_docs: int = 30, ranks: int = 50) -> DataFrame:
     are ignored.
     """
     with tidy_shuffles(docs.sparkSession):
-        kept, found = vocabulary(docs, min_docs)
-        groups = materialize(_groups(kept, found), "groups")
+        kept = materialize(vocabulary(docs, min_docs), "vocabulary")
+        groups = materialize(group_totals(docs, kept), "groups")
         parts = [pairs(kept, groups).withColumn("part", F.lit("pair")), top_terms(kept, groups, ranks).withColumn("part", F.lit("term"))]
         return parts[0].unionByName(parts[1]).select("lang", "source", "part", "item", "value", "rank")
 

@@ -75,16 +75,13 @@ def _share(count: Column, total: Column, terms: Column) -> Column:
 
 
 def vocabulary(docs: DataFrame, min_docs: int = 30, term: bytes = TERM) -> DataFrame:
-    """Kept terms of every group that has them: lang, term, lang_n, source, n.
-
-    Each task counts what it reads, so the counts are shuffled once, and both the
-    choice of terms and the sums of groups read that one shuffle.
-    """
+    """Kept terms of every group that has them: lang, term, lang_n, source, n."""
     counts = only(docs, "text", "lang", "source").mapInArrow(_counted(term), "lang string, source string, term string, n bigint, docs bigint") \
-        .repartition("lang", "term")
+        .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = materialize(counts, "counts")
     kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("_docs"), F.sum("n").alias("lang_n")) \
         .where(F.col("_docs") >= min_docs).drop("_docs")
-    return counts.join(kept.hint("shuffle_hash"), ["lang", "term"]).groupBy("lang", "term", "lang_n", "source").agg(F.sum("n").alias("n"))
+    return counts.drop("docs").join(materialize(kept, "kept"), ["lang", "term"])
 
 
 def group_totals(docs: DataFrame, kept: DataFrame) -> DataFrame:

@@ -23,6 +23,22 @@ def shipped(name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+class Sent:
+    """A broadcast of an object of our own classes, as bytes that executors can read without this package."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._bytes, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self) -> dict:
+        return {"_bytes": self._bytes, "_value": None}
+
+    @property
+    def value(self) -> object:
+        if self._value is None:
+            self._value = cloudpickle.loads(self._bytes.value)
+        return self._value
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, only, shipped
+from .common import Sent, column, only, shipped
 
 UNKNOWN = "und"
 #: Symbol numbers: between words, a letter the model doesn't know, and filler after a text's end.
@@ -179,8 +179,7 @@ def _judge(texts: list, model: Model, classes: np.ndarray) -> tuple[list[str], l
 
 
 def _predicting(docs: DataFrame, model: Model):
-    sc = docs.sparkSession.sparkContext
-    held, classes = sc.broadcast(model), sc.broadcast(model.classes())
+    held, classes = Sent(docs.sparkSession, model), Sent(docs.sparkSession, model.classes())
     return lambda batch: _judge(column(batch, "text"), held.value, classes.value)
 
 

@@ -17,7 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, only, shipped
+from ..session import materialize
+from .common import Sent, column, only, shipped
 
 BLOCKS, BITS = 4, 16
 SLICE = 65_536
@@ -125,12 +126,12 @@ def shortest(words: list[str], weight: dict, threshold: float, size: int = 5) ->
 class Benchmark:
     """Items, their windows by width, and the weights of their shingles."""
 
-    def __init__(self, items: list[tuple[int, str | None]], radius: int, threshold: float = 0.75):
+    def __init__(self, items: list[tuple[int, str | None]], radius: int, threshold: float = 0.75, counts: dict | None = None):
         hashes = Hashes()
         self.items = [(item, words) for item, text in items if (words := tokens(text))]
         self.longest = max((len(w) for _, w in self.items), default=0)
         self.shingles = [shingles(w) for _, w in self.items]
-        seen = Counter(s for c in self.shingles for s in c)
+        seen = Counter(s for c in self.shingles for s in c) if counts is None else counts
         self.weight = {s: 1 / n for s, n in seen.items()}  # what many items share says little
         by_width: dict[int, list] = {}
         for number, (_, words) in enumerate(self.items):
@@ -202,13 +203,32 @@ class Benchmark:
         yield from found.items()
 
 
-def _benchmarks(benchmark: DataFrame, threshold: float, radius: int, block_items: int) -> list:
-    """The benchmark in blocks of about ``block_items`` items, each broadcast on its own."""
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """block and shingle (its words joined) of every item, each shingle once for each item."""
+    for batch in batches:
+        told = [(block, " ".join(s)) for block, text in zip(column(batch, "block"), column(batch, "text")) for s in shingles(tokens(text))]
+        yield pa.RecordBatch.from_arrays([pa.array([t[0] for t in told], pa.int64()), pa.array([t[1] for t in told], pa.string())],
+                                         ["block", "shingle"])
+
+
+def _benchmarks(benchmark: DataFrame, threshold: float, radius: int, block_items: int) -> Iterator:
+    """The benchmark in blocks of about ``block_items`` items, each broadcast on its own.
+
+    Of several blocks, each is weighted by how many items of the whole
+    benchmark share its shingles, so that the size of a block changes nothing.
+    """
     items = only(benchmark, "item_id", "text").where("text IS NOT NULL")
     blocks = max(1, -(-items.count() // block_items))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    sc = benchmark.sparkSession.sparkContext
-    return [sc.broadcast(Benchmark([tuple(r) for r in items.where(part == b).collect()], radius, threshold)) for b in range(blocks)]
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("long"))
+    counts = None
+    if blocks > 1:
+        told = items.select("block", "text").mapInArrow(_shingled, "block bigint, shingle string")
+        every = told.groupBy("shingle").agg(F.count("*").alias("n"))
+        counts = materialize(told.distinct().join(every, "shingle"), "shingles")
+    for b in range(blocks):
+        own = [(r.item_id, r.text) for r in items.where(F.col("block") == b).collect()]
+        seen = None if counts is None else {tuple(r.shingle.split(" ")): r.n for r in counts.where(F.col("block") == b).collect()}
+        yield Sent(benchmark.sparkSession, Benchmark(own, radius, threshold, seen))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, radius: int = 7,

@@ -58,15 +58,28 @@ _SPAN = "array<struct<kind:int,s:int,e:int,t:string,before:string,after:string,b
 def _places(text: Column, pattern: str, kind: int, base: bool) -> Column:
     """Matches with their code points and surroundings: what lies between them is what a split leaves.
 
-    Matches, gaps and starts are bound by a one-element transform each, so that
-    they are computed once; the running sum carries numbers only.
+    What is read more than once is bound by a one-element transform, so that it
+    is computed once.  Starts are summed in blocks of about as many matches as
+    there are blocks, so that no growing array is copied for every match.
     """
-    def step(cut: Column):
-        def add(at: Column, i: Column) -> Column:
-            start = at.pos + F.length(F.get(cut.gaps, i))
-            return F.struct((start + F.length(F.get(cut.found, i))).alias("pos"),
-                            F.concat(at.starts, F.array(start)).alias("starts"))
-        return add
+    def running(lengths: Column) -> Column:
+        """Sum of the lengths before each of them, and of all."""
+        begin = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("at"))
+        return F.aggregate(lengths, begin, lambda done, n: F.struct(
+            (done.sum + n).alias("sum"), F.concat(done.at, F.array(done.sum)).alias("at")))
+
+    def starts_of(cut: Column) -> Column:
+        step = F.ceil(F.sqrt(F.size(cut.found))).cast("int")
+        lengths = lambda first: F.transform(F.sequence(first, F.least(first + step, F.size(cut.found)) - 1),
+                                            lambda i: F.length(F.get(cut.gaps, i)) + F.length(F.get(cut.found, i)))
+        blocks = F.transform(F.sequence(F.lit(0), F.size(cut.found) - 1, step), lambda first: running(lengths(first)))
+
+        def joined(own: Column) -> Column:
+            before = running(F.transform(own, lambda block: block.sum)).at
+            moved = lambda ahead: F.transform(own, lambda block, b: F.transform(block.at, lambda at: at + F.get(ahead, b)))
+            ends_of_last = F.flatten(F.transform(F.array(before), lambda ahead: F.flatten(moved(ahead))))
+            return F.transform(ends_of_last, lambda end, i: end + F.length(F.get(cut.gaps, i)))
+        return F.flatten(F.transform(F.array(blocks), joined))
 
     def spans(cut: Column, starts: Column) -> Column:
         def span(found: Column, i: Column) -> Column:
@@ -77,9 +90,7 @@ def _places(text: Column, pattern: str, kind: int, base: bool) -> Column:
         return F.transform(cut.found, span)
 
     def placed(cut: Column) -> Column:
-        begin = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("starts"))
-        starts = F.aggregate(F.sequence(F.lit(0), F.size(cut.found) - 1), begin, step(cut), lambda at: at.starts)
-        return F.flatten(F.transform(F.array(starts), lambda own: spans(cut, own)))
+        return F.flatten(F.transform(F.array(starts_of(cut)), lambda own: spans(cut, own)))
 
     cuts = F.array(F.struct(F.split(text, pattern, -1).alias("gaps"),
                             F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")))

@@ -73,6 +73,15 @@ def test_blocks_of_the_benchmark_agree(documents, spark, sf_dir):
         {r.doc_id for r in documents.collect()} - bad
 
 
+def test_weights_count_over_all_blocks(spark):
+    shared = " ".join(f"s{i}" for i in range(20))
+    items = spark.createDataFrame([(i, f"{shared} " + " ".join(f"own{i}x{j}" for j in range(20))) for i in range(9)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, f"{shared} " + " ".join(f"own{i % 9}x{j}" for j in range(12 + i // 9))) for i in range(72)],
+                                 "doc_id bigint, text string")
+    whole = {tuple(r) for r in leaks(docs, items).collect()}
+    assert 0 < len(whole) < 72 * 9 and whole == {tuple(r) for r in leaks(docs, items, block_items=1).collect()}
+
+
 def test_passage_deep_in_a_long_text(spark):
     filler = " ".join(f"f{i}" for i in range(65_530))
     docs = spark.createDataFrame([(1, f"{filler} {' '.join(f'p{i}' for i in range(40))} {filler}"), (2, filler)], "doc_id bigint, text string")

@@ -242,7 +242,8 @@ def test_profile_defaults_to_blanks():
 def test_requests(spark):
     rows = spark.createDataFrame([(1, "a.com", "long text"), (2, "b.com", " ")], "k int, domain string, body string")
     got = records.request_table(rows, "About {domain}:\n{body}!", "k", body=4).collect()
-    assert [(r.k, r.prompt) for r in got] == [(1, "About a.com:\nlong!")]
+    assert sorted((r.k, r.part, r.prompt) for r in got) == [
+        (1, 0, "About a.com:\nlong!"), (1, 1, "About a.com:\n tex!"), (1, 2, "About a.com:\nt!")]
 
 
 def test_head_cut_counts_raw_lines_once(spark):

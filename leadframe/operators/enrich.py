@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, py_strip
+from ..sources import snapshots
 from .joins import lookup, spread_key
 
 _PERSON = ("organization_name", "first_name", "last_name")
@@ -61,3 +62,18 @@ def cache_additions(answers: DataFrame, cache: DataFrame, key: str = "title_norm
     fresh = answers.groupBy(key).agg(F.max(F.struct("score", "label")).alias("_best")) \
         .select(key, F.col("_best.label").alias("label"), F.col("_best.score").alias("score"))
     return fresh.join(cache.select(key), key, "left_anti")
+
+
+def persist_cache(answers: DataFrame, path: str, key: str = "title_norm") -> DataFrame:
+    """Add answers to the cache kept at ``path`` and replace it; the new cache.
+
+    A key keeps the answer it has.  Readers see the old cache until the new one
+    is complete, also if the write fails.  Without new keys nothing is written.
+    """
+    spark = answers.sparkSession
+    schema = answers.select(key, "label", "score").schema
+    cache = snapshots.read(spark, path, schema)
+    fresh = cache_additions(answers, cache, key).select(key, "label", "score")
+    if snapshots.current(spark, path) and fresh.isEmpty():
+        return cache
+    return snapshots.replace(cache.select(key, "label", "score").unionByName(fresh), path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import collapse_ws
 from ..operators import titles
 from ..session import scratch_path
-from ..sources import files
+from ..sources import files, snapshots
 from ..streaming import incremental
 from .fixtures import cte, frame
 from .registry import TWINS, query
@@ -132,3 +132,17 @@ def stream_classify(spark, sf):
         incremental.run_available(spark, f"{base}/in", rows.schema, _labelled, f"{base}/out", f"{base}/state")
     return spark.read.parquet(f"{base}/out")
 
+
+@query("stream_upsert", """SELECT user_id, event_id, event_type, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n = 1""")
+def stream_upsert(spark, sf):
+    """The last event of every user, from two deliveries; the second is replayed once it is in."""
+    base = scratch_path(spark, "upserts")
+    rows = frame(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
+    arrived = (rows.where(F.col("event_id") % 3 != 0), rows.where(F.col("event_id") % 3 == 0))
+    for part in arrived:
+        part.write.mode("append").parquet(f"{base}/in")
+        incremental.run_upserts(spark, f"{base}/in", rows.schema, lambda df: df, f"{base}/out", f"{base}/state", "user_id", "event_id")
+    wrong = arrived[1].withColumn("event_id", F.col("event_id") + 10**9)  # would show, were batch 1 added again
+    assert not incremental.upsert_batch(wrong, 1, f"{base}/out", "user_id", "event_id", f"{base}/state")
+    return snapshots.read(spark, f"{base}/out")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries as d
 from ..functions.text import collapse_ws
 from ..operators import enrich, infer, titles
+from ..session import scratch_path
+from ..sources import snapshots
 from . import twin as q
 from .fixtures import cte, frame
 from .registry import query
@@ -163,6 +165,25 @@ def label_cache_update(spark, sf):
     return cache.unionByName(enrich.cache_additions(answers, cache))
 
 
+def _answers(spark, sf):
+    """The best landed answer of every title; those of the cache are answers too, but come too late."""
+    return titles.best_label(frame(spark, sf, "title_scores"), "title_norm")
+
+
+@query("cache_replace", cte("titles", "label_cache", "title_scores") + f"""
+    SELECT title_norm, label, score FROM label_cache
+    UNION ALL
+    SELECT m.title_norm, label, score FROM {_BEST} AS m WHERE title_norm NOT IN (SELECT title_norm FROM label_cache)""")
+def cache_replace(spark, sf):
+    """A kept cache is read, added to and replaced twice."""
+    path = scratch_path(spark, "cache")
+    snapshots.replace(frame(spark, sf, "label_cache"), path)
+    answers = _answers(spark, sf)
+    for part in (F.length("title_norm") % 2 == 0, F.lit(True)):
+        enrich.persist_cache(answers.where(part), path)
+    return snapshots.read(spark, path)
+
+
 @query("batch_infer", cte("titles") + f"""
     SELECT row_idx, t AS title_norm, CASE WHEN t <> '' THEN CASE WHEN length(t) > 20 THEN 'long' ELSE 'short' END END AS label,
       CASE WHEN t <> '' THEN length(t) / 100 END AS score FROM {_norm()}""")

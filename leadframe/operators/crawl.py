@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,11 @@ from ..functions.html import HIDDEN_BLOCKS, decode_entities
 from ..functions.text import _c, _literal
 from ..functions.urls import ANCHOR, HREF, TAG, base_parts, clean_href, host_of, resolve_href, unquote
 from ..session import materialize
+from .fetch import THREE_STAGES, first_settled_facts
+from .joins import might_be_in
 from .profile import main_content
+from .records import page_contacts
+
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html",
                keep: tuple[str, ...] = ()) -> DataFrame:
@@ -65,10 +71,11 @@ def about_link(pages: DataFrame, url: str, html: str, out: str = "about_url") ->
     the two excluded networks are skipped.
     """
     words = "|".join(_literal(w) for w in d.ABOUT_WORDS)
-    staged = pages.withColumn("_base", base_parts(url)).withColumn("_anchors", _anchor_list(html))
-    seen = F.filter("_anchors", lambda a: F.lower(F.concat(a["href"], F.lit("\n"), a["text"])).rlike(words))
-    targets = F.transform(seen, lambda a: resolve_href(F.col("_base"), clean_href(
-        F.replace(a["href"], F.lit("&amp;"), F.lit("&")))))
+    told = F.transform(_anchor_list(html), lambda a: F.concat(clean_href(a["href"]), F.lit("\x02"), a["text"]))
+    staged = decode_entities(pages.withColumn("_base", base_parts(url)).withColumn("_anchors", F.array_join(told, "\x01")),
+                             "_anchors", "_anchors")
+    seen = F.filter(F.split("_anchors", "\x01"), lambda a: F.lower(a).rlike(words))
+    targets = F.transform(seen, lambda a: resolve_href(F.col("_base"), F.substring_index(a, "\x02", 1)))
     allowed = F.filter(targets, lambda u: ~u.rlike("|".join(d.ABOUT_EXCLUDED)))
     return staged.withColumn(out, F.get(allowed, F.lit(0))).drop("_anchors", "_base")
 
@@ -77,14 +84,13 @@ def about_descriptions(homepages: DataFrame, pages: DataFrame, key: str, url: st
                        html: str = "html") -> DataFrame:
     """Main text of each site's about page, or of its homepage without one.
 
-    Only the pages that are wanted reach the tag-tree parser, and only their
-    text is joined back.
+    Pages that may be wanted are picked where they are read, by a Bloom filter
+    of the wanted addresses, and only their text is joined: no page is moved.
     """
-    wanted = about_link(homepages, url, html).select(
-        key, F.coalesce("about_url", url).alias("target"))
-    bodies = pages.select(F.col(url).alias("target"), html).join(
-        wanted.select("target").distinct(), "target", "left_semi")
-    texts = main_content(bodies, html, "description").select("target", "description")
+    wanted = materialize(about_link(homepages, url, html).select(
+        key, F.coalesce("about_url", url).alias("target")), "about")
+    near = pages.where(might_be_in([url], wanted, ["target"])).select(F.col(url).alias("target"), html)
+    texts = main_content(near, html, "description").select("target", "description")
     return wanted.join(texts, "target", "left").select(
         key, "target", F.coalesce("description", F.lit("")).alias("description"))
 
@@ -124,11 +130,42 @@ def crawl_bfs(edges: DataFrame, starts: DataFrame, max_depth: int = 1) -> DataFr
     return collected
 
 
-def listing_profiles(pages: DataFrame, listing: DataFrame, pattern: str,
-                     html: str = "html") -> DataFrame:
-    """Listing pages -> distinct profile links -> landed profile pages."""
-    links = listing.select(F.explode(pattern_links(html, pattern)).alias("url")).distinct()
-    return links.join(pages, "url")
+def listing_profiles(pages: DataFrame, listing: DataFrame, pattern: str, html: str = "html", url: str = "url",
+                     read: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Listing pages -> distinct profile links -> landed profile pages.
+
+    ``read`` makes small rows of pages, row by row, and keeps their address; it
+    runs where pages are read, on those that may be wanted, and only what it
+    returns is joined.  Without it the wanted pages themselves are.
+    """
+    links = materialize(listing.select(F.explode(pattern_links(html, pattern)).alias(url)).distinct(), "links")
+    near = pages.where(might_be_in([url], links, [url]))
+    return (read(near) if read else near).join(links, url, "left_semi")
+
+
+def discover(attempts: DataFrame, starts: DataFrame, match: str, max_depth: int = 1, stages=THREE_STAGES) -> DataFrame:
+    """``URL, fetch_source`` and the contact fields of all pages found from the starts whose address holds ``match``.
+
+    ``attempts``: ``url, source, html``.  A page is what the first source that
+    brought text says; its links are followed on the same host, ``max_depth``
+    clicks deep.  Which attempt counts is settled on narrow facts, and links and
+    contact fields are read in the row of the body, so that bodies never move.
+    A page that no source brought has empty fields.
+    """
+    tried = attempts.withColumn("_pick", F.xxhash64("html"))
+    chosen = materialize(first_settled_facts(tried, stages, key="url", payload=("_pick",)).where("source <> ''")
+                         .select("url", "source", "_pick"), "chosen")
+    one = ["url", "source", "_pick"]
+    links = page_links(tried, keep=("source", "_pick")).join(chosen.withColumnRenamed("url", "src"), ["src", "source", "_pick"], "left_semi")
+    found = crawl_bfs(links.select("src", "dst"), starts, max_depth)
+    matched = found.where(F.col("url").contains(match)).select("url").distinct()
+    wanted = materialize(matched.join(chosen, "url", "left"), "wanted")
+    fields = ("title", "description", "emails", "phones", "address", "socials", "notes")
+    near = page_contacts(tried.where(might_be_in(one, wanted, one))).select(*one, *fields).dropDuplicates(one)
+    lists = ("emails", "phones", "socials")
+    return wanted.join(near, one, "left").select(
+        F.col("url").alias("URL"), F.coalesce("source", F.lit("")).alias("fetch_source"),
+        *[F.coalesce(F.array_join(f, "; ") if f in lists else F.col(f), F.lit("")).alias(f) for f in fields])
 
 
 def crawl_summary(edges: DataFrame, key: str) -> DataFrame:

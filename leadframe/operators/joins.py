@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,3 +65,29 @@ def lookup(base: DataFrame, table: DataFrame, key: Column, table_key: str,
     joined = marked.join(answers, F.col("_sk") == F.col("_lk"), "left")
     return joined.select(*base.columns, *[
         F.coalesce(f"_hv.{v}", f"_lv.{v}").alias(v) for v in values])
+
+
+_PROBES = 4
+_MOST_BITS = 1 << 26
+
+
+def might_be_in(key: Sequence[str | Column], wanted: DataFrame, wanted_key: Sequence[str]) -> Column:
+    """Whether a row's key may be among those of a written table: never wrong about a key that is.
+
+    A Bloom filter of the wanted keys is computed once, as a scalar of at most 8 MB
+    (16 bits for a key while they last), and tested where the rows are read.  So rows with large
+    columns can be reduced to small ones before anything is joined.
+    """
+    spark = wanted.sparkSession
+    bits = 1 << max(10, min(_MOST_BITS.bit_length() - 1, (16 * wanted.count()).bit_length()))
+    places = lambda columns: [F.pmod(F.xxhash64(F.lit(i), *columns), F.lit(bits)) for i in range(_PROBES)]
+    marks = wanted.select(F.explode(F.array(*places(wanted_key))).alias("at")) \
+        .groupBy(F.shiftright("at", 6).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))).alias("bits"))
+    words = spark.range(bits // 64).join(marks, "id", "left").agg(F.sort_array(F.collect_list(
+        F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))).alias("words"))
+    held = words.select(F.transform("words", lambda w: w["bits"])).scalar()
+    tests = [F.bit_get(F.get(held, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1 for at in places(key)]
+    out = tests[0]
+    for test in tests[1:]:
+        out = out & test
+    return out

@@ -167,8 +167,8 @@ def main_content(df: DataFrame, html: str, out: str) -> DataFrame:
 
 def extract_profiles(pages: DataFrame, url: str = "url", html: str = "html",
                      classes: dict[str, str] = PROFILE_CLASSES,
-                     heading: str = PROFILE_CONTACT_HEADING) -> DataFrame:
-    """Profile pages to six one-line columns.  ``classes`` selects the fields."""
+                     heading: str = PROFILE_CONTACT_HEADING, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Profile pages to six one-line columns behind those to ``keep``.  ``classes`` selects the fields."""
 
     @F.pandas_udf("domain string, phone string, address string, contact string, about string")
     def fields(column: pd.Series) -> pd.DataFrame:
@@ -177,6 +177,6 @@ def extract_profiles(pages: DataFrame, url: str = "url", html: str = "html",
 
     names = (("Domain", "domain"), ("Phone", "phone"), ("Address", "address"),
              ("Contact person", "contact"), ("About", "about"))
-    staged = pages.select(F.col(url).alias("_url"), fields(_without_hidden(html)).alias("_f"))
-    return staged.select(clean_cell("_url").alias("Page URL"),
+    staged = pages.select(*keep, F.col(url).alias("_url"), fields(_without_hidden(html)).alias("_f"))
+    return staged.select(*keep, clean_cell("_url").alias("Page URL"),
                          *[clean_cell(f"_f.{source}").alias(name) for name, source in names])

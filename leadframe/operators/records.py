@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.embedded import first_address, json_ld, meta_content, microdata, node_texts, notes
 from ..functions.html import decode_entities
 from ..functions.payload import json_or_raw, payload_text, record_columns, unfence
 from ..functions.text import _c, collapse_ws, is_blank, or_empty, py_strip
@@ -97,26 +98,27 @@ def _distinct_sorted(col: Column) -> Column:
 
 
 def page_contacts(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Title, description, e-mails, phones and social links of a page.
+    """Title, description, e-mails, phones, address, social links and notes of a page.
 
-    Address and notes need a reader and stay NULL.
+    Address and notes come from embedded structured data (JSON-LD, for the
+    address also microdata) and are NULL without it; its telephone numbers are
+    phones too.
     """
     page = _c(html)
-    phones = F.transform(F.regexp_extract_all(page, F.lit(r"(?i)href\s*=\s*[\"']tel:([^\"']+)"), F.lit(1)),
-                         lambda p: F.regexp_replace(p, r"[^0-9+]", ""))
+    staged = pages.select("*", json_ld(page).alias("_nodes"), microdata(page).alias("_items"))
+    digits = lambda p: F.regexp_replace(p, r"[^0-9+]", "")
+    phones = F.regexp_extract_all(page, F.lit(r"(?i)href\s*=\s*[\"']tel:([^\"']+)"), F.lit(1))
     none = F.array().cast("array<string>")
     mails = F.when(page.contains("@"), F.regexp_extract_all(page, F.lit(EMAIL), F.lit(0))) \
         .when(page.isNotNull(), none)
-    described = (
-        r"(?is)<meta\s[^>]*?name\s*=\s*[\"']description[\"'][^>]*?content\s*=\s*\"([^\"]*)\"")
-    staged = pages.select(
+    read = staged.select(
         *pages.columns,
         collapse_ws(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title", 1)).alias("title"),
-        py_strip(F.regexp_extract(page, described, 1)).alias("description"),
+        py_strip(meta_content(page, "description")).alias("description"),
         _distinct_sorted(F.transform(mails, F.lower)).alias("emails"),
-        _distinct_sorted(phones).alias("phones"),
-        F.lit(None).cast("string").alias("address"),
+        _distinct_sorted(F.transform(F.concat(phones, node_texts(F.col("_nodes"), "$.telephone")), digits)).alias("phones"),
+        first_address(F.col("_nodes"), F.col("_items")).alias("address"),
         _distinct_sorted(F.regexp_extract_all(page, F.lit(_SOCIAL), F.lit(1))).alias("socials"),
-        F.lit(None).cast("string").alias("notes"),
+        notes(F.col("_nodes")).alias("notes"),
     )
-    return decode_entities(decode_entities(staged, "title", "title"), "description", "description")
+    return decode_entities(decode_entities(read, "title", "title"), "description", "description")

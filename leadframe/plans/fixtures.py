@@ -276,6 +276,14 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
             || '<a href="https://site' || CAST((page_id + 1) % 3 AS string) || '.example.com/info_' || CAST(page_id + 1 AS string) || '">4</a>'
             || '<a href="/info_' || CAST(page_id % 3 + 3 * (4 * {_div('page_id', 3)} + 4) AS string) || '#top">5</a>') END AS html
         FROM {{pages}}"""),
+    "site_attempts": (("site_pages",), " UNION ALL ".join(f"""
+        SELECT url, '{source}' AS source, CASE {gaps} ELSE replace(html, '</head>', '<meta content="{source} ' || CAST(page_id AS string)
+          || '" name="description"><script type="application/ld+json">{{{{"slogan": "via {source}", "telephone": "+48 ' || CAST(page_id AS string)
+          || '", "email": "{source}@site' || CAST(page_id % 3 AS string) || '.example.com", "address": {{{{"streetAddress": "Road ' || CAST(page_id AS string)
+          || '", "postalCode": "00-001", "addressLocality": "Town"}}}}}}}}</script></head>') END AS html
+        FROM {{site_pages}}""" for source, gaps in (
+            ("brightdata", "WHEN page_id % 8 = 7 THEN ''"), ("requests", "WHEN page_id % 4 = 1 THEN NULL WHEN page_id % 4 = 3 THEN ' '"),
+            ("selenium", "WHEN page_id % 8 IN (1, 7) THEN NULL")))),
     "follower_texts": (("customer",), """
         SELECT c_custkey AS row_idx, 'user' || CAST(c_custkey AS string) AS username, CASE c_custkey % 6
             WHEN 0 THEN 'POSTS 3 FOLLOWERS' || chr(10) || CAST(c_custkey + 1000 AS string) || chr(10) || 'FOLLOWING 2'
@@ -291,7 +299,17 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT s_suppkey AS key FROM {{supplier}} UNION ALL SELECT c_custkey + 1000000 FROM {{customer}}) AS k"""),
     "contact_pages": (("documents",), """
         SELECT doc_id, '<html><head><title> Doc ' || CAST(doc_id AS string) || ' &amp; more</title>'
-          || '<meta charset="utf-8"><meta name="description" content="About ' || source || ' "></head><body><p>' || text || '</p>'
+          || '<meta charset="utf-8">' || CASE WHEN doc_id % 2 = 0 THEN '<meta name="description" content="About ' || source || ' ">'
+               ELSE '<meta content=''About ' || source || ' > name=description '' data-x NAME = description />' END
+          || CASE doc_id % 6 WHEN 0 THEN '<script type="application/ld+json">{{"@context": "https://schema.org", "@graph": [{{"@type": "WebSite"}}, '
+                    || '{{"@type": "Organization", "slogan": "Say ' || lang || '", "telephone": "+49 30 ' || CAST(doc_id AS string)
+                    || '", "address": {{"@type": "PostalAddress", "streetAddress": "Street ' || CAST(doc_id AS string)
+                    || '", "postalCode": "10115", "addressLocality": "Town", "addressCountry": {{"name": "DE"}}}}}}]}}</script>'
+               WHEN 1 THEN '<script type=''application/ld+json''>[{{"address": "Line ' || CAST(doc_id AS string) || ',  Town", "openingHours": ["Mo"], "vatID": 7}}]</script>'
+               WHEN 2 THEN '<script type="application/ld+json">{{"address": broken</script>' ELSE '' END
+          || '</head><body><p>' || text || '</p>'
+          || CASE WHEN doc_id % 6 = 2 THEN '<div itemprop="address" itemscope><b itemprop="streetAddress">Road ' || CAST(doc_id AS string)
+               || ' </b><meta content="Paris" itemprop=''addressLocality''></div>' ELSE '' END
           || CASE WHEN doc_id % 3 = 0 THEN '<a href="mailto:Info@' || source || '.example.com">mail</a>' ELSE '' END
           || CASE WHEN doc_id % 4 = 0 THEN '<a href="tel:+49 (30) ' || CAST(doc_id AS string) || '">call</a>' ELSE '' END
           || CASE WHEN doc_id % 5 = 0 THEN '<a href="https://www.linkedin.com/company/' || source || '">in</a>' ELSE '' END

@@ -69,26 +69,33 @@ def crawl_summary(spark, sf):
 @query("listing_to_profiles", cte("profile_pages", "listing_pages")
        + _PROFILE_SQL + " WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)")
 def listing_to_profiles(spark, sf):
-    found = crawl.listing_profiles(
+    return crawl.listing_profiles(
         frame(spark, sf, "profile_pages").select("url", "html"), frame(spark, sf, "listing_pages"),
-        r"https://shops\.example\.com/review/info_[a-zA-Z0-9]+")
-    return profile.extract_profiles(found)
-
-
-@query("discover_and_extract", cte("site_pages") + "," + _bfs_sql(_links_sql("site_pages"), _SITES, 3) + f"""
-    SELECT url AS "URL", CASE WHEN html IS NULL THEN '' ELSE 'requests' END AS fetch_source,
-      CASE WHEN html IS NULL THEN '' ELSE {q.collapse(q.entities(q.group('html', '(?is)<title[^>]*>(.*?)</title')))} END AS model_output
-    FROM (SELECT DISTINCT url FROM collected WHERE contains(url, '/info_')) LEFT JOIN site_pages USING (url)
-    ORDER BY 1""")
+        r"https://shops\.example\.com/review/info_[a-zA-Z0-9]+",
+        read=lambda pages: profile.extract_profiles(pages, keep=("url",))).drop("url")
+
+
+# what each page shows, by the source that settles it
+_SOURCE = """CASE WHEN html IS NULL THEN '' WHEN page_id % 4 IN (0, 2) THEN 'requests' WHEN page_id % 8 IN (3, 5) THEN 'selenium'
+    WHEN page_id % 8 = 1 THEN 'brightdata' ELSE '' END"""
+
+
+@query("discover_and_extract", cte("site_pages") + f""", chosen AS (SELECT url, page_id, {_SOURCE} AS src, html FROM site_pages),
+    shown AS (SELECT url, page_id, src, html FROM chosen WHERE src <> ''),
+    """ + _bfs_sql(_links_sql("shown"), _SITES, 3) + rf"""
+    SELECT url AS "URL", coalesce(src, '') AS fetch_source,
+      coalesce({q.collapse(q.entities(q.group('html', '(?is)<title[^>]*>(.*?)</title')))}, '') AS title,
+      coalesce(src || ' ' || page_id, '') AS description,
+      coalesce(array_to_string(list_sort(list_distinct(list_append(list_transform(regexp_extract_all(html,
+        '[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{{2,}}'), lambda e: lower(e)), src || '@site' || page_id % 3 || '.example.com'))), '; '), '') AS emails,
+      coalesce('+48' || page_id, '') AS phones, coalesce('Road ' || page_id || ', 00-001 Town', '') AS address,
+      coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(html,
+        '(?i)href="(https?://(?:[a-z0-9\-]+\.)*(?:facebook|linkedin|instagram|twitter|x|youtube|tiktok)\.com/[^"\s]*)"', 1))), '; '), '') AS socials,
+      coalesce('slogan: via ' || src, '') AS notes
+    FROM (SELECT DISTINCT url FROM collected WHERE contains(url, '/info_')) LEFT JOIN shown USING (url)""")
 def discover_and_extract(spark, sf):
-    pages = frame(spark, sf, "site_pages")
-    matched = _site_crawl(spark, sf, 3).where(F.col("url").contains("/info_")).select("url").distinct()
-    attempts = pages.select("url", F.lit("requests").alias("source"), "html")
-    # titles are read where the page is read; the join moves no page bodies
-    summary = records.page_contacts(attempts).select(
-        "url", "source", F.when(F.col("html").isNotNull(), F.lit("x")).alias("html"), "title")
-    fetched = matched.join(fetch.first_settled_facts(summary, ("requests",), payload=("html", "title")), "url", "left")
-    return records.result_log(fetched, output=F.col("title")).orderBy("URL")
+    starts = frame(spark, sf, "site_pages").where(F.col("page_id") < 3).select(F.col("url").alias("start"))
+    return crawl.discover(frame(spark, sf, "site_attempts"), starts, "/info_", max_depth=3)
 
 
 def _record_inputs(spark, sf):

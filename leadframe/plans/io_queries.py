@@ -43,6 +43,35 @@ def src_tsv(spark, sf):
     return _round_trip(spark, _suppliers(spark, sf), "\t")
 
 
+_LAYOUTS = """SELECT CAST(s_suppkey AS varchar) AS "key", CASE WHEN s_suppkey % 3 < 2 THEN s_name END AS "name",
+    CASE s_suppkey % 3 WHEN 0 THEN 'line ' || s_suppkey || chr(10) || 'a, "b"; c' WHEN 2 THEN 'two' END AS "note",
+    CASE WHEN s_suppkey % 3 = 1 THEN CAST(s_nationkey AS varchar) END AS "extra column" FROM supplier"""
+
+
+def _delivered(spark, sf, sep):
+    """Suppliers in files of three layouts: other order, a further column, a missing one; cells with line breaks."""
+    path = scratch_path(spark, "layouts")
+    rows = frame(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("key"), F.col("s_name").alias("name"), "s_suppkey",
+                                               F.col("s_nationkey").cast("string").alias("extra column"))
+    broken = F.concat(F.lit("line "), "key", F.lit('\na, "b"; c'))
+    layouts = (rows.where("s_suppkey % 3 = 0").select("key", "name", broken.alias("note")),
+               rows.where("s_suppkey % 3 = 1").select("extra column", "name", "key"),
+               rows.where("s_suppkey % 3 = 2").select(F.lit("two").alias("note"), "key"))
+    for part in layouts:
+        files.write_delimited(part, path, part.columns, sep, mode="append")
+    return files.read_delimited(spark, path, ("key", "name", "note"), sep, multi_line=True)
+
+
+@query("src_csv_layouts", _LAYOUTS)
+def src_csv_layouts(spark, sf):
+    return _delivered(spark, sf, ",")
+
+
+@query("src_tsv_layouts", _LAYOUTS)
+def src_tsv_layouts(spark, sf):
+    return _delivered(spark, sf, "\t")
+
+
 @query("src_csv_noheader", "SELECT s_name AS username FROM supplier")
 def src_csv_noheader(spark, sf):
     names = _suppliers(spark, sf).select(F.col("name").alias("username"))

@@ -5,7 +5,10 @@ Schemas are always given, never inferred: inference would read the data twice.
 
 from __future__ import annotations
 
+import csv
 import json
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,26 +22,55 @@ def _strings(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def _layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> its files.  One narrow scan of the text; what comes back is a path and a line for each file."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
+                                         F.monotonically_increasing_id().alias("row"))
+    # a file's first block is read by one task, in order
+    heads = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("head"))
+    found: dict[str, list[str]] = {}
+    for row in heads.orderBy("file").collect():
+        found.setdefault(row.head.removeprefix("\ufeff").rstrip("\r"), []).append(unquote(row.file))
+    return found
+
+
+def _named_rows(reader, header: str, files, sep: str) -> DataFrame:
+    """Rows of files with this header line; of columns with the same name the last counts."""
+    names = next(csv.reader([header], delimiter=sep))
+    places = {name: i for i, name in enumerate(names)}
+    rows = reader.schema(_strings(f"_c{i}" for i in range(len(names)))).option("header", True).option("enforceSchema", True).csv(files)
+    return rows.select(*[F.col(f"_c{i}").alias(name) for name, i in places.items()])
+
+
 def read_delimited(spark: SparkSession, path: str, columns=None, sep: str = ",", header: bool = True,
-                   multi_line: bool = False) -> DataFrame:
-    """All-string rows of a delimited file; a byte-order mark is skipped.
-
-    With ``header`` columns go by the names in the first line, wherever they
-    stand: the named ``columns`` come first (NULL if the file has none of that
-    name), further ones are kept after them.  All files of a folder share one
-    layout.  Without ``header`` the columns go by position.  ``multi_line`` reads
-    quoted line breaks; such files cannot be split between tasks.
+                   multi_line: bool = False, one_layout: bool = False) -> DataFrame:
+    """All-string rows of a delimited file or folder; a byte-order mark is skipped.
+
+    With ``header`` columns go by the names in each file's first line, wherever
+    they stand: the named ``columns`` come first (NULL where a file has none of
+    that name), further ones are kept after them, sorted by name if files differ.
+    Files with the same header line are read together, one union branch for each
+    layout.  Finding the layouts reads the text once more; ``one_layout``
+    promises that all files share the header of the first and saves that.
+    Without ``header`` the columns go by position.  ``multi_line`` reads quoted
+    line breaks inside cells; such files cannot be split between tasks.  Empty cells are NULL.
     """
     reader = spark.read.option("sep", sep).option("escape", '"').option("encoding", "UTF-8") \
         .option("multiLine", multi_line).option("nullValue", "")
     if not header:
         return reader.schema(_strings(columns)).option("header", False).csv(path)
-    rows = reader.option("header", True).csv(path)  # reads the first line only, types stay strings
-    rows = rows.toDF(*[name.removeprefix("\ufeff") for name in rows.columns])
-    if columns is None:
-        return rows
-    named = [F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]
-    return rows.select(*named, *[F.col(f"`{c}`") for c in rows.columns if c not in columns])
+    if one_layout:
+        rows = reader.option("header", True).csv(path)  # reads the first line only, types stay strings
+        parts = [rows.toDF(*[name.removeprefix("\ufeff") for name in rows.columns])]
+    else:
+        parts = [_named_rows(reader, head, files, sep) for head, files in sorted(_layouts(spark, path).items())]
+    if not parts:
+        return spark.createDataFrame([], _strings(columns or ()))
+    names = [list(part.columns) for part in parts]
+    rest = names[0] if len(parts) == 1 else sorted({n for own in names for n in own})
+    wanted = [*(columns or ()), *[n for n in rest if n not in (columns or ())]]
+    return reduce(DataFrame.unionAll, [part.select(*[F.col(f"`{n}`") if n in own else F.lit(None).cast("string").alias(n) for n in wanted])
+                                       for part, own in zip(parts, names)])
 
 
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:

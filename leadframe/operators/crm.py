@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import or_empty, parse_timestamp
 from .joins import pinned
@@ -79,16 +80,16 @@ def _landed(pages: DataFrame, payload: str) -> DataFrame:
     return read.withColumn("_success", success)
 
 
-def flatten_deals(pages: DataFrame, payload: str = "payload") -> DataFrame:
-    """Deals of every successful page.
+def flatten_deals(pages: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Deals of every successful page, behind the columns of the page to ``keep``.
 
     A failed page brings none; what failed is listed by :func:`failed_pages`.  A
     person or organisation may be an object or a bare number.  Paths into a
     number are NULL, so both shapes share one projection.
     """
-    deals = _landed(pages, payload).where("_success").select(F.explode(
+    deals = _landed(pages, payload).where("_success").select(*keep, F.explode(
         F.try_variant_get("_page", "$.data", "array<variant>")).alias("deal"))
-    return deals.select(*[
+    return deals.select(*keep, *[
         F.try_variant_get("deal", f"$.{source}", "string").alias(name)
         for name, source in DEAL_COLUMNS])
 
@@ -99,6 +100,27 @@ def failed_pages(pages: DataFrame, load: str, payload: str = "payload") -> DataF
         F.count("*").alias("pages"), F.count_if(~F.col("_success")).alias("failed"))
 
 
+def write_loads(records: DataFrame, announced: DataFrame, load: str, path: str, mode: str = "append") -> DataFrame:
+    """Write records and count them on the way: ``load, announced, found, complete``, one row for each load.
+
+    ``announced`` has one row ``load, announced`` for each run against the
+    service, as people start them; every one is a counter of the write itself, so
+    no record is read twice.  Records of other loads are written as well, and
+    counted in a row without ``announced``, where there are any.
+    """
+    spark = records.sparkSession
+    told = [(r[0], r[1]) for r in announced.select(load, "announced").collect()]
+    seen = Observation()
+    known = [F.count_if(F.col(load).eqNullSafe(F.lit(value))).alias(f"n{i}") for i, (value, _) in enumerate(told)]
+    records.observe(seen, F.count("*").alias("every"), *known).write.mode(mode).parquet(path)
+    got = seen.get
+    rows = [(value, total, got[f"n{i}"]) for i, (value, total) in enumerate(told)]
+    other = got["every"] - sum(n for _, _, n in rows)
+    schema = T.StructType([announced.schema[load], T.StructField("announced", T.LongType()), T.StructField("found", T.LongType())])
+    counted = spark.createDataFrame(rows + ([(None, None, other)] if other else []), schema)
+    return counted.withColumn("complete", F.col("found") >= F.col("announced"))
+
+
 def recent_prospects(prospects: DataFrame, cutoff: str, contacted: str = "last_contacted"
                      ) -> DataFrame:
     """Prospects contacted at or after the cutoff; bad timestamps drop out."""
@@ -131,8 +153,42 @@ def prospect_members(pages: DataFrame, page: str, payload: str = "payload") -> D
         .select(page, "record", "name", F.try_variant_get("_value", "$", "string").alias("value"))
 
 
-def _any_of(column: str, values) -> Column:
-    return F.lower(column).isin(*[v.lower() for v in values])
+_SEARCHED = ("title", "seniority", "department", "city", "organization_country", "label", "organization_name", "industry")
+_TAG_MARK = "\x1f"
+
+
+def _key(df: DataFrame, column: str) -> Column:
+    """The stored key of a column, else the same made on the spot."""
+    return F.col(f"{column}_key") if f"{column}_key" in df.columns else F.lower(column)
+
+
+def _any_of(key: Column, values) -> Column:
+    return key.isin(*[v.lower() for v in values])
+
+
+def _tag_key(tags: str) -> Column:
+    """All tags in lower case, each between marks, so that one of them is a substring."""
+    clean = F.transform(tags, lambda t: F.translate(F.lower(t), _TAG_MARK, " "))
+    return F.concat(F.lit(_TAG_MARK), F.array_join(clean, _TAG_MARK), F.lit(_TAG_MARK))
+
+
+def write_search_table(people: DataFrame, path: str, order=("organization_country", "industry", "seniority")) -> DataFrame:
+    """People as a table that searches can skip through; the table read back.
+
+    Every searched column gets a key in lower case.  Rows are ranged and sorted
+    by the keys of ``order``, so that statistics of row groups exclude most of
+    them, and the other keys have Parquet Bloom filters.
+    """
+    present = [c for c in _SEARCHED if c in people.columns]
+    keyed = people.select("*", *[F.lower(c).alias(f"{c}_key") for c in present],
+                          *([_tag_key("keyword_tags").alias("keyword_tags_key")] if "keyword_tags" in people.columns else []))
+    sort = [f"{c}_key" for c in order if c in present]
+    writer = keyed.repartitionByRange(*sort).sortWithinPartitions(*sort).write
+    for c in present:
+        if c != "title":  # titles are searched by parts of them
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}_key", "true")
+    writer.parquet(path)
+    return people.sparkSession.read.parquet(path)
 
 
 def people_search(people: DataFrame, titles=(), not_titles=(), seniorities=(), departments=(),
@@ -142,31 +198,36 @@ def people_search(people: DataFrame, titles=(), not_titles=(), seniorities=(), d
     """People matching every given criterion.
 
     E-mail status, employees and the prospected flag are plain comparisons and
-    reach the file scan; lists ignore case and are compared after reading.  Title
-    lists match as substrings, the other lists exactly.
+    reach the file scan.  Lists and title parts ignore case: on a table of
+    :func:`write_search_table` they are plain comparisons with its keys and
+    reach the scan too, on any other table they are compared after reading.  Title
+    lists match as substrings, the other lists exactly.  The keys are not part of the result.
     """
     out = people
-    title = F.lower(or_empty("title")) if titles or not_titles else None
+    title = _key(people, "title") if titles or not_titles else None
+    if title is not None and "title_key" not in people.columns:
+        title = F.lower(or_empty("title"))
     for values, keep in ((titles, True), (not_titles, False)):
         if values:
             hit = reduce(lambda a, b: a | b, [title.contains(v.lower()) for v in values])
-            out = out.where(hit if keep else ~hit)
+            out = out.where(hit if keep else ~hit | title.isNull())
     exact = (("seniority", seniorities), ("department", departments), ("city", locations),
              ("organization_country", organization_locations), ("label", labels),
              ("organization_name", organizations), ("industry", industries))
     for column, values in exact:
         if values:
-            out = out.where(_any_of(column, values))
+            out = out.where(_any_of(_key(people, column), values))
     if keyword_tags:
-        wanted = F.array(*[F.lit(t.lower()) for t in keyword_tags])
-        out = out.where(F.arrays_overlap(F.transform("keyword_tags", F.lower), wanted))
+        tags = F.col("keyword_tags_key") if "keyword_tags_key" in people.columns else _tag_key("keyword_tags")
+        marked = [f"{_TAG_MARK}{t.lower().replace(_TAG_MARK, ' ')}{_TAG_MARK}" for t in keyword_tags]
+        out = out.where(reduce(lambda a, b: a | b, [tags.contains(m) for m in marked]))
     if email_status is not None:
         out = out.where(F.col("email_status") == email_status)
     if employees is not None:
         out = out.where(F.col("employees").between(*employees))
     if prospected is not None:
         out = out.where(F.col("prospected") == prospected)
-    return out
+    return out.drop(*[f"{c}_key" for c in (*_SEARCHED, "keyword_tags")])
 
 
 def company_search(companies: DataFrame, employee_ranges=(), locations=(), labels=()) -> DataFrame:
@@ -176,7 +237,7 @@ def company_search(companies: DataFrame, employee_ranges=(), locations=(), label
         out = out.where(reduce(lambda a, b: a | b, [
             F.col("employees").between(lo, hi) for lo, hi in employee_ranges]))
     if locations:
-        out = out.where(_any_of("organization_country", locations))
+        out = out.where(_any_of(_key(companies, "organization_country"), locations))
     if labels:
-        out = out.where(_any_of("label", labels))
+        out = out.where(_any_of(_key(companies, "label"), labels))
     return out

@@ -119,18 +119,27 @@ def exhibitor_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
 
 
 def ecommerce_domains(domains: DataFrame, attempts: DataFrame, raw: str = "raw",
-                      row_id: str = "row_idx", stages=("requests", "selenium"), normalize: bool = False) -> DataFrame:
-    """Domain cells to Yes / No / No content / Invalid domain.
+                      row_id: str = "row_idx", stages=("requests", "selenium"), normalize: bool = False,
+                      error: str | None = None) -> DataFrame:
+    """Domain cells to Yes / No / No content / Invalid domain / Error.
 
     An answered page without text is final; only failed requests fall through.
+    ``error`` names a column of the attempts with what broke a fetch; a domain
+    that no attempt settled is an Error if one of them broke, else without content.
     """
     facts = _attempt_texts(attempts).select(
         "url", "source", "status", "html", is_blank("_text").alias("blank"),
         matches("_text", E_COMMERCE_WORD).alias("hit"))
     chosen = first_settled_facts(facts, stages, answered(), payload=("blank", "hit")).drop("source")
+    if error:
+        broken = attempts.where(F.col("source").isin(*stages) & ~is_blank(error)).select("url", F.lit(True).alias("broken")).distinct()
+        chosen = chosen.join(broken, "url", "left")
+    else:
+        chosen = chosen.withColumn("broken", F.lit(None).cast("boolean"))
     joined = _attach(_domain_cells(domains, raw, normalize), chosen, row_id)
     label = (
         F.when(~is_valid_domain("domain"), F.lit("Invalid domain"))
+        .when(F.col("blank").isNull() & F.col("broken"), F.lit("Error"))
         .when(F.coalesce("blank", F.lit(True)), F.lit("No content"))
         .when(F.col("hit"), F.lit("Yes"))
         .otherwise(F.lit("No"))
@@ -160,12 +169,12 @@ def _shop_evidence(df: DataFrame, text: str) -> DataFrame:
 def classify_shop_sp(df: DataFrame, text: str) -> DataFrame:
     """Shop or Service Provider from strong and soft evidence.
 
-    A real order flow makes a shop, unless the page also documents an API or a
-    sandbox: that is a demo store of a platform.  Without decisive evidence the
+    A real order flow makes a shop, unless the page also offers software for
+    shops: that is a demo store of a platform.  Without decisive evidence the
     soft signals tip the balance.
     """
     voted = _shop_evidence(df, text)
-    demo = matches(text, r"api (?:reference|docs?)|sandbox|developer portal")
+    demo = matches(text, d.PROVIDER_STRONG["software"])
     shop, provider = F.lit(d.SHOP_LABELS[0]), F.lit(d.SHOP_LABELS[1])
     label = (
         F.when(is_blank(text), F.lit("Unscrapable"))

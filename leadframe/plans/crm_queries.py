@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..operators import crm, enrich, writeback
+from ..session import scratch_path
 from ..sources import files
 from . import twin as q
 from .fixtures import cte, frame
@@ -155,6 +156,40 @@ def people_search(spark, sf):
     ).select("row_idx", "title")
 
 
+@query("people_search_all", cte("people_wide") + """
+    SELECT row_idx, title, seniority, department FROM people_wide
+    WHERE (contains(lower(title), 'a') OR contains(lower(title), 'chief')) AND NOT contains(lower(title), 'intern')
+      AND lower(seniority) IN ('owner', 'c_suite', 'vp', 'head') AND lower(department) IN ('master_marketing', 'master_sales')
+      AND city <> 'NATION_3' AND lower(organization_country) NOT IN ('nation_4', 'nation_5') AND email_status = 'verified'
+      AND employees BETWEEN 500 AND 9500 AND prospected = false AND lower(label) IN ('building', 'machinery', 'furniture', 'automobile')
+      AND lower(organization_name) IN ('org building', 'org machinery', 'org furniture') AND lower(industry) <> 'household'
+      AND (list_contains(keyword_tags, 'tag 1') OR list_contains(keyword_tags, 'machinery'))""")
+def people_search_all(spark, sf):
+    """All thirteen criteria against a stored search table."""
+    table = crm.write_search_table(frame(spark, sf, "people_wide"), scratch_path(spark, "people"))
+    places = [f"Nation_{i}" for i in range(25)]
+    return crm.people_search(
+        table, titles=("A", "chief"), not_titles=("intern",), seniorities=("owner", "C_Suite", "vp", "head"),
+        departments=("master_marketing", "Master_Sales"), locations=[p for p in places if p != "Nation_3"],
+        organization_locations=[p for p in places if p not in ("Nation_4", "Nation_5")], email_status="verified", employees=(500, 9500),
+        prospected=False, labels=("building", "machinery", "furniture", "automobile"),
+        organizations=("Org building", "org machinery", "org FURNITURE"), keyword_tags=("Tag 1", "machinery"),
+        industries=("building", "machinery", "furniture", "automobile")).select("row_idx", "title", "seniority", "department")
+
+
+@query("load_totals", """
+    WITH page AS (SELECT CAST(floor(o_orderkey / 8) AS bigint) AS page_no, max(o_totalprice) AS top, count(*) AS n FROM orders GROUP BY 1),
+    load AS (SELECT page_no % 25 AS load_id, CAST(sum(n) AS bigint) AS announced,
+        CAST(coalesce(sum(n) FILTER (WHERE top BETWEEN 150000 AND 499000), 0) AS bigint) AS found FROM page GROUP BY 1)
+    SELECT load_id, announced, found, found >= announced AS complete FROM load WHERE load_id < 20
+    UNION ALL
+    SELECT NULL, NULL, CAST(sum(found) AS bigint), NULL FROM load WHERE load_id >= 20 HAVING sum(found) > 0""")
+def load_totals(spark, sf):
+    """Deals written against the totals their loads announced; failed pages are missing, five loads announced nothing."""
+    deals = crm.flatten_deals(frame(spark, sf, "deal_pages"), keep=("load_id",))
+    return crm.write_loads(deals, frame(spark, sf, "deal_loads"), "load_id", scratch_path(spark, "deals"))
+
+
 @query("company_search", cte("people") + """
     SELECT row_idx, organization_name FROM people
     WHERE (employees BETWEEN 21 AND 200 OR employees BETWEEN 5000 AND 999999)

@@ -177,6 +177,11 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
             ELSE 'd' || CAST(page_id AS string) || '.example.c0m' END AS raw
         FROM {pages}"""),
     "attempts": (("pages_kw",), _attempts()),
+    "broken_attempts": (("attempts",), """
+        SELECT *, CASE WHEN status = 500 THEN 'timed out' WHEN status = 403 THEN ' ' END AS error FROM {attempts}"""),
+    "deal_loads": (("orders",), f"""
+        SELECT {_div('o_orderkey', 8)} % 25 AS load_id, count(*) AS announced FROM {{orders}}
+        WHERE {_div('o_orderkey', 8)} % 25 < 20 GROUP BY 1"""),
     "responses": (("pages",), """
         SELECT page_id AS row_idx, CASE page_id % 8
             WHEN 0 THEN 'Shop' WHEN 1 THEN ' Service Provider ' WHEN 2 THEN 'Shop' || chr(10) || 'because of the cart'
@@ -225,6 +230,12 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
           CAST(floor(abs(c_acctbal)) AS bigint) AS employees, n_name AS organization_country,
           c_mktsegment AS label
         FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey"""),
+    "people_wide": (("people",), f"""
+        SELECT *, {pick(("Owner", "C_suite", "VP", "Head", "Manager"), 'row_idx % 5')} AS seniority,
+          {pick(("Master_Marketing", "master_sales", "engineering"), f"{_div('row_idx', 2)} % 3")} AS department,
+          CASE WHEN row_idx % 11 = 3 THEN NULL ELSE row_idx % 4 = 0 END AS prospected,
+          CASE WHEN row_idx % 9 = 0 THEN NULL ELSE split('Ecommerce,' || lower(industry) || ',tag ' || CAST(row_idx % 3 AS string), ',') END AS keyword_tags
+        FROM {{people}}"""),
     "email_lookup": (("people",), """
         SELECT organization_name, trim(first_name) AS first_name, trim(last_name) AS last_name,
           'found' || CAST(row_idx AS string) || '@example.com' AS email,

@@ -33,19 +33,20 @@ _WINNERS = f"""(SELECT url, html, source FROM (
       SELECT url, html, source, row_number() OVER (PARTITION BY url ORDER BY
         CASE source WHEN 'requests' THEN 1 WHEN 'selenium' THEN 2 ELSE 3 END) AS n
       FROM attempts WHERE NOT {q.blank('html')}) WHERE n = 1)"""
-def _attempt_texts(markers) -> str:
+def _attempt_texts(markers, attempts: str = "attempts") -> str:
     return f"""(SELECT url, source, status, flat, CASE WHEN source = 'brightdata'
     THEN {q.nonblank(q.cut_head('nodes', 50, markers))} ELSE {q.nonblank('flat')} END AS text
-    FROM (SELECT url, source, status, {q.flat_text('html')} AS flat, {q.node_lines('html')} AS nodes FROM attempts))"""
+    FROM (SELECT url, source, status, {q.flat_text('html')} AS flat, {q.node_lines('html')} AS nodes FROM {attempts}))"""
 
 
-def _domain_facts(sources, settled: str, value: str, cell: str = q.strip("raw"), markers=H.CONSENT_MARKERS_SHORT) -> str:
+def _domain_facts(sources, settled: str, value: str, cell: str = q.strip("raw"), markers=H.CONSENT_MARKERS_SHORT,
+                  attempts: str = "attempts") -> str:
     """Domain cells with a value of the first settled attempt of their URL."""
     return f"""(SELECT dm.row_idx, domain, {value} AS t
     FROM (SELECT row_idx, {cell} AS domain FROM domains WHERE trim(raw) <> '') AS dm
     LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY
         CASE source WHEN 'requests' THEN 1 WHEN 'selenium' THEN 2 ELSE 3 END) AS n
-      FROM {_attempt_texts(markers)} WHERE source IN {q.in_list(sources)} AND {settled}) WHERE n = 1) AS w
+      FROM {_attempt_texts(markers, attempts)} WHERE source IN {q.in_list(sources)} AND {settled}) WHERE n = 1) AS w
     ON w.url = 'https://' || domain AND {q.valid_domain('domain')})"""
 
 
@@ -72,6 +73,16 @@ def classify_ecommerce(spark, sf):
     return pages.ecommerce_domains(frame(spark, sf, "domains"), frame(spark, sf, "attempts"))
 
 
+@query("classify_ecommerce_errors", cte("domains", "broken_attempts") + f"""
+    SELECT row_idx, domain, CASE WHEN NOT {q.valid_domain('domain')} THEN 'Invalid domain'
+        WHEN t IS NULL AND domain IN (SELECT split_part(url, '://', 2) FROM broken_attempts
+            WHERE source IN ('requests', 'selenium') AND NOT {q.blank('error')}) THEN 'Error'
+        WHEN coalesce(t, '') = '' THEN 'No content' WHEN {q.has('t', pages.E_COMMERCE_WORD)} THEN 'Yes' ELSE 'No' END AS label
+    FROM {_domain_facts(_ALL[:2], "status = 200", "CASE WHEN status = 200 THEN lower(coalesce(text, '')) END", attempts="broken_attempts")}""")
+def classify_ecommerce_errors(spark, sf):
+    return pages.ecommerce_domains(frame(spark, sf, "domains"), frame(spark, sf, "broken_attempts"), error="error")
+
+
 _EVIDENCE = ", ".join(f"{q.votes('t', side.values())} AS {name}" for name, side in (
     ("shop_strong", d.SHOP_STRONG), ("shop_soft", d.SHOP_SOFT),
     ("sp_strong", d.PROVIDER_STRONG), ("sp_soft", d.PROVIDER_SOFT)))
@@ -86,7 +97,7 @@ def _line_text(spark, sf):
 @query("classify_shop_sp", cte("pages_kw") + f"""
     SELECT page_id, shop_strong, shop_soft, sp_strong, sp_soft,
       CASE WHEN t = '' THEN 'Unscrapable'
-        WHEN shop_strong > 0 AND (regexp_matches(t, 'api reference|api docs?|sandbox|developer portal') OR shop_strong < sp_strong) THEN 'Service Provider'
+        WHEN shop_strong > 0 AND ({q.has('t', q.wide_edges(d.PROVIDER_STRONG['software']))} OR shop_strong < sp_strong) THEN 'Service Provider'
         WHEN shop_strong > 0 THEN 'Shop' WHEN sp_strong > 0 THEN 'Service Provider'
         WHEN shop_soft > sp_soft THEN 'Shop' WHEN shop_soft < sp_soft THEN 'Service Provider' ELSE 'Unclear' END AS label
     FROM (SELECT page_id, t, {_EVIDENCE} FROM {_CONSENT_TEXTS})""")
@@ -142,6 +153,28 @@ def taxonomy_label(spark, sf):
         "doc_id", pages.taxonomy_label(output, "industry").alias("industry"))
 
 
+def _told(labels):
+    """An answer as a model writes it, and the label it stands for: every label in three spellings, and one that is none."""
+    spellings = (str.upper, lambda v: f"  {v.replace(' ', '')} ", lambda v: v[:-1] if len(v) > 9 else v)
+    return [(spellings[i % 3](v), v) for i, v in enumerate(labels * 3)] + [("none of these", "Unclear")]
+
+
+_OTHER_TAXONOMIES = ("awards", "shop_kind", "expo_fit")
+
+
+@query("taxonomy_labels_other", "SELECT doc_id, " + ", ".join(
+    f"list_extract([{', '.join(q.lit(v) for _, v in _told(d.TAXONOMIES[t]))}], CAST(n_chars % {len(_told(d.TAXONOMIES[t]))} AS int) + 1) AS {t}"
+    for t in _OTHER_TAXONOMIES) + " FROM documents")
+def taxonomy_labels_other(spark, sf):
+    """Answers of one line, with the reasons below it, to the labels of three taxonomies."""
+    def answer(taxonomy):
+        told = F.array(*[F.lit(a) for a, _ in _told(d.TAXONOMIES[taxonomy])])
+        return F.concat(F.element_at(told, (F.col("n_chars") % F.size(told) + 1).cast("int")), F.lit("\n"), "text")
+
+    return frame(spark, sf, "documents").select(
+        "doc_id", *[pages.taxonomy_label(answer(t), t).alias(t) for t in _OTHER_TAXONOMIES])
+
+
 @query("fit_line_parse", f"""
     SELECT doc_id, source || '.com' AS domain, CASE WHEN lang = 'en' THEN 'Yes' ELSE 'No' END AS fit, {q.strip('text')} AS explanation
     FROM documents""")
@@ -245,7 +278,39 @@ def fit_rubric(spark, sf):
     return scoring.fit_rubric(_page_text(spark, sf), "text").drop("text")
 
 
-@query("main_content")
+# The tag tree restated: events of a page are walked by recursion, with the open elements as a list.
+_TREE = f"""
+    bare AS (SELECT page_id, regexp_replace(coalesce(html, ''),
+        '(?is)<!--.*?(?:-->|\\z)|<(?:script[\\s/>].*?(?:</script\\s*>|\\z)|style[\\s/>].*?(?:</style\\s*>|\\z))', '<wbr>', 'g') AS page FROM pages_kw),
+    said AS (SELECT page_id, regexp_extract_all(page, '<[a-zA-Z/!](?:[^<>"'']|"[^"]*"|''[^'']*'')*>|[^<]+|<') AS said FROM bare),
+    events AS (SELECT page_id, list_transform(said, lambda e: {{
+        'name': lower(regexp_extract(e, '^</?([a-zA-Z][^\\s/>]*)', 1)),
+        'kind': CASE WHEN regexp_matches(e, '^</[a-zA-Z]') THEN 'close' WHEN regexp_matches(e, '^<!.|^</') THEN 'none' WHEN NOT regexp_matches(e, '^<[a-zA-Z]') THEN 'text'
+          WHEN e LIKE '%/>' OR regexp_matches(lower(e), '^<(area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)[\\s/>]') THEN 'single' ELSE 'open' END,
+        'said': e}}) AS events FROM said),
+    walk AS (
+      SELECT page_id, 0 AS i, CAST([] AS STRUCT(id INTEGER, name VARCHAR)[]) AS open, events[1:0] AS now, events FROM events
+      UNION ALL
+      SELECT page_id, i + 1, CASE e.kind WHEN 'open' THEN list_append(open, {{'id': CAST(i + 1 AS INTEGER), 'name': e.name}})
+          WHEN 'close' THEN CASE WHEN list_contains(list_transform(open, lambda o: o.name), e.name)
+            THEN open[1:len(open) - list_position(list_reverse(list_transform(open, lambda o: o.name)), e.name)] ELSE open END
+          ELSE open END, [e], events
+      FROM (SELECT page_id, i, open, events, events[i + 1] AS e FROM walk WHERE i < len(events))),
+    steps AS (SELECT page_id, i, open, now[1].kind AS kind, now[1].name AS name, now[1].said AS said FROM walk WHERE i > 0),
+    box AS (SELECT page_id, coalesce(min(i) FILTER (WHERE name = 'article'), min(i) FILTER (WHERE name = 'main'), min(i) FILTER (WHERE name = 'body')) AS box
+      FROM steps WHERE kind = 'open' GROUP BY 1),
+    part AS (SELECT s.page_id, s.i FROM steps AS s JOIN box USING (page_id)
+      WHERE kind = 'open' AND name IN ('h1', 'h2', 'h3', 'p', 'ul') AND s.i <> box AND list_contains(list_transform(open, lambda o: o.id), box)
+        AND NOT list_has_any(list_transform(list_filter(open, lambda o: o.id > box), lambda o: o.name), ['nav', 'footer', 'script', 'style'])),
+    words AS (SELECT page_id, i, open, {q.strip(q.entities('said'))} AS said FROM steps WHERE kind = 'text'),
+    lines AS (SELECT p.page_id, p.i, string_agg(w.said, '' ORDER BY w.i) AS line FROM part AS p JOIN words AS w
+      ON w.page_id = p.page_id AND w.said <> '' AND list_contains(list_transform(w.open, lambda o: o.id), CAST(p.i AS INTEGER))
+        AND NOT list_has_any(list_transform(list_filter(w.open, lambda o: o.id > p.i), lambda o: o.name), ['nav', 'footer', 'script', 'style', 'template'])
+      GROUP BY 1, 2)"""
+
+
+@query("main_content", cte("pages_kw") + "," + _TREE + """
+    SELECT page_id, coalesce(string_agg(line, chr(10) ORDER BY i), '') AS content FROM pages_kw LEFT JOIN lines USING (page_id) GROUP BY 1""")
 def main_content(spark, sf):
     return profile.main_content(frame(spark, sf, "pages_kw"), "html", "content").select("page_id", "content")
 

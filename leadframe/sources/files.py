@@ -130,16 +130,28 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def load_dictionary(path: str) -> dict[str, dict[str, str]]:
-    """Keyword dictionary ``group -> name -> pattern`` from JSON or YAML.
+def _dictionary_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).head().value
 
-    A rule file of a few kilobytes; it ends up as literals in the plan.
+
+def load_dictionary(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    """Keyword dictionary ``group -> name -> pattern`` from one JSON or YAML file, for rules that become literals of a plan.
+
+    Read by Spark, from whatever storage it reads.  For dictionaries beyond some
+    hundred entries see :func:`read_dictionary`.
     """
-    with open(path, encoding="utf-8") as handle:
-        if path.endswith((".yaml", ".yml")):
-            try:
-                import yaml
-            except ImportError as exc:
-                raise RuntimeError("reading YAML needs the yaml package; use JSON") from exc
-            return yaml.safe_load(handle)
-        return json.load(handle)
+    text = _dictionary_text(spark, path)
+    if path.endswith((".yaml", ".yml")):
+        try:
+            import yaml
+        except ImportError as exc:
+            raise RuntimeError("reading YAML needs the yaml package; use JSON") from exc
+        return yaml.safe_load(text)
+    return json.loads(text)
+
+
+def read_dictionary(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The same as a table ``group, name, pattern``, from JSON: an object in each file, or with ``lines`` in each line."""
+    groups = spark.read.text(path, wholetext=not lines) \
+        .select(F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("group", "_names"))
+    return groups.select("group", F.explode("_names").alias("name", "pattern"))

@@ -139,10 +139,10 @@ def test_overwrite_and_append(spark):
 
 
 @pytest.mark.parametrize("suffix", ["json", "yaml"])
-def test_dictionary_file(tmp_path, suffix):
+def test_dictionary_file(spark, tmp_path, suffix):
     path = tmp_path / f"rules.{suffix}"
     path.write_text('{"maybe": {"a": "x\\\\s?y"}}', encoding="utf-8")
-    assert files.load_dictionary(str(path)) == {"maybe": {"a": r"x\s?y"}}
+    assert files.load_dictionary(spark, str(path)) == {"maybe": {"a": r"x\s?y"}}
 
 
 def test_batch_infer_asks_once_per_text(spark):

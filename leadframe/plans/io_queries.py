@@ -140,6 +140,17 @@ def sink_jsonl_append(spark, sf):
         F.try_variant_get("item", "$.text", "string").alias("text"))
 
 
+@query("sink_json_rewrite", "SELECT doc_id, lang, text FROM documents")
+def sink_json_rewrite(spark, sf):
+    """A JSON file of all records so far, rewritten after each of three deliveries."""
+    path = scratch_path(spark, "rewrite")
+    rows = frame(spark, sf, "documents").select("doc_id", "lang", "text")
+    for i in range(3):
+        so_far = snapshots.read(spark, path, rows.schema, "json")
+        snapshots.replace(so_far.unionByName(rows.where(F.col("doc_id") % 3 == i)), path, form="json")
+    return snapshots.read(spark, path, rows.schema, "json")
+
+
 def _labelled(df):
     return df.select("row_idx", titles.department(collapse_ws("title")).alias("department"),
                      titles.level(collapse_ws("title")).alias("level"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 from html.entities import name2codepoint
 
-from ..functions.html import markup_pattern
 from ..functions.text import LINE_BREAKS, STRIP_CHARS
 
 
@@ -71,9 +70,10 @@ def entities(x: str) -> str:
 
 
 def unmarked(html: str, dropped) -> str:
-    """Markup replaced by chr(1), references decoded."""
-    pattern = lit(markup_pattern(dropped, atomic=False))
-    return entities(f"regexp_replace({html}, {pattern}, chr(1), 'g')")
+    """Markup replaced by chr(1), references decoded: whole elements and comments go first, then single tags."""
+    whole = [rf"<{name}(?:[\s/][^>]*)?>.*?</{name}\s*>|<{name}[\s/>].*" for name in dropped]
+    everything = "|".join([r"<!--.*?-->|<!--.*", *whole, r"""</?[a-z][^\s/>]*(?:"[^"]*"|'[^']*'|[^<>"'])*>|<[!?/][^<>]*>"""])
+    return entities(f"regexp_replace({html}, {lit('(?is)' + everything)}, chr(1), 'g')")
 
 
 def flat_text(html: str) -> str:

@@ -38,18 +38,19 @@ def current(spark: SparkSession, path: str) -> tuple[int, str] | None:
     return (last.version, f"{path}/{last.folder}") if last else None
 
 
-def read(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """The current version; an empty table of ``schema`` before the first."""
+def read(spark: SparkSession, path: str, schema=None, form: str = "parquet") -> DataFrame:
+    """The current version; an empty table of ``schema`` before the first.  JSON needs the schema."""
     found = current(spark, path)
     if found:
-        return spark.read.parquet(found[1])
+        reader = spark.read.schema(schema) if form == "json" else spark.read
+        return reader.format(form).load(found[1])
     if schema is None:
         raise ValueError(f"no version of {path} has been committed")
     return spark.createDataFrame([], schema)
 
 
-def replace(df: DataFrame, path: str, source: str | None = None, batch: int | None = None) -> DataFrame:
-    """Write ``df`` as the next version and read it back.
+def replace(df: DataFrame, path: str, source: str | None = None, batch: int | None = None, form: str = "parquet") -> DataFrame:
+    """Write ``df`` as the next version, Parquet or JSON lines, and read it back.
 
     ``df`` may be computed from the current version.  ``source`` and ``batch``
     are noted with the commit, see :func:`committed`.
@@ -57,11 +58,11 @@ def replace(df: DataFrame, path: str, source: str | None = None, batch: int | No
     spark = df.sparkSession
     found = current(spark, path)
     folder = f"versions/{uuid.uuid4().hex}"
-    df.write.parquet(f"{path}/{folder}")
+    df.write.format(form).save(f"{path}/{folder}")
     row = spark.range(1).select(F.lit(found[0] + 1 if found else 1).cast("bigint").alias("version"), F.lit(folder).alias("folder"),
                                 F.lit(source).cast("string").alias("source"), F.lit(batch).cast("bigint").alias("batch"))
     row.coalesce(1).write.mode("append").json(f"{path}/commits")
-    return spark.read.parquet(f"{path}/{folder}")
+    return spark.read.schema(df.schema).format(form).load(f"{path}/{folder}")
 
 
 def committed(spark: SparkSession, path: str, source: str, batch: int) -> bool:

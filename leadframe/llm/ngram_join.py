@@ -10,7 +10,8 @@ gives the candidates; their remaining shingles are then probed by binary search.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -33,30 +34,96 @@ HUBS, HUBS_PAY = 4, 0.1
 PIECE = 1 << 13
 #: 64-bit words of a document's shingle sketch.
 SKETCH = 16
+#: Bytes of text that are cut into words in one step.
+PIECE_BYTES = 1 << 17
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_VALUES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0xD1342543DE82EF95
+_powers: dict[str, np.ndarray] = {}
+
+
+def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64."""
+    if len(_powers.get("up", ())) < size:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _powers[name] = np.multiply.accumulate(steps)
+    return _powers["up"], _powers["down"]
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each word of a buffer: differences of one running sum, moved to power zero."""
+    raw = np.frombuffer(data, np.uint8)
+    up, down = _power_tables(max(len(raw), PIECE_BYTES) + 1)
+    space = np.ones(len(raw) + 2, bool)
+    space[1:-1] = _SPACES[raw]
+    turns = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUES[raw] * up[:len(raw)], out=sums[1:])
+    return starts, _mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def _long_word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The same piece by piece; a piece ends at a blank, so that no word is cut."""
+    if len(data) <= 2 * PIECE_BYTES:
+        return _word_hashes(data)
+    parts, at = [], 0
+    blank = re.compile(rb"[\x20\x09-\x0D]")
+    while at < len(data):
+        found = blank.search(data, at + PIECE_BYTES)
+        end = found.end() if found else len(data)
+        starts, hashes = _word_hashes(data[at:end])
+        parts.append((starts + at, hashes))
+        at = end
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def _sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
+    lengths = np.array([len(t) + 1 for t in texts])
+    starts, own = _long_word_hashes(b"\n".join(texts).lower())  # of bytes, so only A-Z change
+    bounds = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)]))
+    mixed = {}
+    for n in range(1, size + 1):  # all runs of n words, also across texts; those are not looked at
+        if len(own) >= n and (n == size or (np.diff(bounds) == n).any()):
+            out = np.full(len(own) - n + 1, n, np.uint64)
+            for i in range(n):
+                out = out * np.uint64(0x9E3779B97F4A7C15) + own[i:len(own) - n + 1 + i]
+            mixed[n] = _mixed(out)
+    for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        n = min(size, last - first)
+        found = np.sort(mixed[n][first:last - n + 1]) if n else np.zeros(0, np.uint64)
+        yield found[np.concatenate([[True], found[1:] != found[:-1]])] if n else found
+
+
+def shingle_sets(texts: Iterable[bytes | None], size: int = SIZE) -> Iterator[np.ndarray]:
+    """Sorted 64-bit hashes of the distinct shingles of each UTF-8 text, whole texts at a time.
+
+    Words are runs without blanks, A-Z lower-cased; a text of fewer words than
+    ``size`` is one shingle.
+    """
+    waiting, held = [], 0
+    for text in texts:
+        waiting.append(text or b"")
+        held += len(waiting[-1])
+        if held >= PIECE_BYTES:
+            yield from _sets(waiting, size)
+            waiting, held = [], 0
+    if waiting:
+        yield from _sets(waiting, size)
 
 
-class Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
-
-
-def shingle_set(text: str | None, hashes: Words, size: int = SIZE) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; bytes' own lower() and split() are the contract's rules."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    own = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = min(size, len(own))
-    mixed = np.full(len(own) - n + 1, n, np.uint64)
-    for i in range(n):
-        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + own[i:len(own) - n + 1 + i]
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    mixed ^= mixed >> np.uint64(32)
-    return np.unique(mixed)
+def _texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
+    return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
 def least_overlap(n, percent: int):
@@ -82,10 +149,8 @@ def _list_lengths(docs: DataFrame) -> np.ndarray:
     so the work, never the result.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Words()
         for batch in batches:
-            sets = [shingle_set(text, hashes) for text in column(batch, "text")]
-            toks = np.concatenate([own[_half(own)] for own in sets] or [np.zeros(0, np.uint64)])
+            toks = np.concatenate([own[_half(own)] for own in shingle_sets(_texts_of(batch))] or [np.zeros(0, np.uint64)])
             yield pa.RecordBatch.from_arrays([pa.array(toks.view(np.int64))], names=["tok"])
 
     def piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,11 +194,9 @@ def _short_lists(docs: DataFrame, held, percent: int) -> DataFrame:
     for every shingle: two sets differ in at least as many shingles as sketches in bits.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Words()
         for batch in batches:
             sizes, sigs, toks, firsts, bits = [], [], [], [], []
-            for text in column(batch, "text"):
-                own = shingle_set(text, hashes)
+            for own in shingle_sets(_texts_of(batch)):
                 n, ranks = len(own), _ranks(own, held.value)
                 first = np.argsort(ranks, kind="stable")[:n - least_overlap(n, percent) + 1]  # own is sorted
                 told = ranks[first] > 0  # the list of a rank 0 shingle is the document alone
@@ -173,25 +236,27 @@ def _linked(pairs: DataFrame, texts: DataFrame, held, percent: int) -> DataFrame
     left = texts.select(F.col("sig").alias("a"), F.col("rep").alias("rep_a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("sig").alias("b"), F.col("rep").alias("rep_b"), F.col("text").alias("text_b"))
 
+    def links(batch: pa.RecordBatch, kept: dict) -> list[bool]:
+        """Rows that are links; ``kept`` holds the sets of the last rows."""
+        sides = [(column(batch, sig), _texts_of(batch, text)) for sig, text in (("a", "text_a"), ("b", "text_b"))]
+        new = {sig: text for sigs, texts in sides for sig, text in zip(sigs, texts) if sig not in kept}
+        here = {sig: kept[sig] for sigs, _ in sides for sig in sigs if sig in kept} | dict(zip(new, shingle_sets(new.values())))
+        kept.clear()
+        kept.update(here)
+        out = []
+        for pair in zip(*[sigs for sigs, _ in sides]):
+            small, large = sorted((here[sig] for sig in pair), key=len)
+            both = len(small) + len(large)
+            shared = overlap(small, large, _ranks(small, held.value), -(-percent * both // (100 + percent)))
+            out.append(100 * shared >= percent * (both - shared))
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, kept = Words(), {}
+        kept: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            keep = []
-            for a, b, text_a, text_b in zip(*[column(batch, c) for c in ("a", "b", "text_a", "text_b")]):
-                sets = []
-                for sig, text in ((a, text_a), (b, text_b)):
-                    if sig not in kept:
-                        if len(kept) >= 64:
-                            kept.pop(next(iter(kept)))
-                        kept[sig] = shingle_set(text, hashes)
-                    sets.append(kept[sig])
-                small, large = sorted(sets, key=len)
-                both = len(small) + len(large)
-                needed = -(-percent * both // (100 + percent))
-                shared = overlap(small, large, _ranks(small, held.value), needed)
-                keep.append(100 * shared >= percent * (both - shared))
-            kept_rows = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept_rows.column(kept_rows.schema.get_field_index(c))
+            keep = [link for at in range(0, batch.num_rows, 32) for link in links(batch.slice(at, 32), kept)]
+            rows = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index(c))
                                               for c in ("rep_a", "rep_b")], names=["rep_a", "rep_b"])
 
     rows = pairs.join(left, "a").join(right, "b")
@@ -334,9 +399,8 @@ def _repeated_ids(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """sig, rep, text of the wanted sets, each from the document that represents it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Words()
         for batch in batches:
-            own = [xxhash.xxh3_128_digest(shingle_set(t, hashes).tobytes()) for t in column(batch, "text")]
+            own = [xxhash.xxh3_128_digest(s.tobytes()) for s in shingle_sets(_texts_of(batch))]
             yield batch.filter(pa.array([a == b for a, b in zip(own, column(batch, "sig"))], pa.bool_()))
 
     found = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep") \

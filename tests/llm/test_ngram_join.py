@@ -36,6 +36,26 @@ def check(spark, rows, parts=5):
     assert sorted(tuple(r) for r in join(df).collect()) == brute(rows)
 
 
+def test_shingle_sets(texts, monkeypatch):
+    rng = random.Random(2)
+    odd = ["", " ", "a", "A b", "a\tB\x0bc\x0cd", "x " * 5, "é É ß \x1c \u2003 ŁÓ", "w" * 5_000, "\n" * 300 + "q", "one two three four five six" * 40]
+    made = [" ".join("".join(rng.choices("abAB é", k=rng.randrange(1, 5))) for _ in range(rng.randrange(60))) for _ in range(200)]
+    every = [None, *odd, *made, *texts.values()]
+    plain = [frozenset(shingles(t)) for t in every]
+    code: dict = {}
+    for piece in (1 << 19, 64, 1):
+        monkeypatch.setattr(ngram_join, "PIECE_BYTES", piece)
+        got = [s.tolist() for s in ngram_join.shingle_sets(None if t is None else t.encode() for t in every)]
+        assert [len(s) for s in got] == [len(s) for s in plain] and all(s == sorted(set(s)) for s in got)
+        numbers: dict = {}
+        for hashed, named in zip(got, plain):
+            for h in hashed:
+                numbers.setdefault(h, set()).add(named)
+        for h, where in numbers.items():  # a hash stands for one shingle, whatever the pieces
+            assert frozenset.intersection(*where)
+        assert code.setdefault("sets", got) == got
+
+
 def test_given_documents(spark, texts):
     check(spark, sorted(texts.items()))
 

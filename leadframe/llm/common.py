@@ -58,19 +58,26 @@ def column(batch: pa.RecordBatch, name: str) -> list:
 
 
 @contextmanager
-def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A setting of the session for the queries run inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def tidy_shuffles(spark: SparkSession):
     """Let Spark drop the shuffle files of every query as soon as it has ended.
 
     For operators that write each step to the shared folder: none of their
     shuffles is read again, and without this all of them pile up on the disks.
     """
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 shipped(__name__)

@@ -17,11 +17,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import column, only, shipped, tidy_shuffles
+from .common import column, only, setting, shipped, tidy_shuffles
 
 SIZE = 5
 #: A list is longer the more of these document counts it exceeds.
@@ -36,6 +36,8 @@ PIECE = 1 << 13
 SKETCH = 16
 #: Bytes of text that are cut into words in one step.
 PIECE_BYTES = 1 << 17
+#: Rows that go to a Python worker at once; some carry two whole texts.
+BATCH_ROWS = 1_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -353,7 +355,8 @@ def join(docs: DataFrame, percent: int = 75) -> DataFrame:
     that repeat a ``doc_id`` are one document with several texts, one output row
     each.  An empty table gives an empty result; other columns are ignored.
     """
-    with tidy_shuffles(docs.sparkSession):
+    spark = docs.sparkSession
+    with tidy_shuffles(spark), setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
         return _join(docs, percent)
 
 
@@ -385,6 +388,7 @@ def _join(docs: DataFrame, percent: int) -> DataFrame:
             if last:
                 break
             seed, last = seed + 1, found < HUBS_PAY * pairs.count()
+    held.destroy()  # all that needs it is written
     return _answer(rows, nodes, labels)
 
 
@@ -417,20 +421,26 @@ def _answer(rows: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> Data
 
 
 def first_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """One document of each component, with all its columns: the one the component is named after.
+    """One document of each component, with all its columns: the one with the least ``doc_id``, null last.
 
-    Rows without a ``doc_id`` stay; of rows that repeat a ``doc_id`` one stays.
+    Rows are told apart by ``doc_id`` and text: of equal rows one stays, of rows
+    that repeat a ``doc_id`` with different texts every text that is no copy, and
+    rows without a ``doc_id`` are copies like all others.  Texts without words stay.
     """
-    found = materialize(join(docs, percent), "components")
-    gone = found.where("component_id < doc_id").select("doc_id").distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1")
+    key = F.xxhash64("doc_id", "text")
+    found = materialize(join(docs.select(key.alias("doc_id"), "text"), percent), "components").where("n_shingles > 0")
+    named = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("name")).distinct()
+    first = F.min(F.struct(F.col("name").isNull(), F.col("name"), F.col("key")))["key"]
+    copies = found.join(named, found["doc_id"] == named["key"]).groupBy("component_id").agg(first.alias("kept"))
+    gone = found.join(copies, "component_id").where("doc_id <> kept").select(F.col("doc_id").alias("_gone")).distinct()
+    whole = docs.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    left = whole.join(gone, F.col("key") == F.col("_gone"), "left_anti")
+    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_repeated"))
     if repeated.isEmpty():
-        return left
-    whole = left.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("row.text"))
-    return whole.withColumn("nth", F.when(F.col("doc_id").isNotNull(), nth).otherwise(F.lit(1))) \
-        .where("nth = 1").select("row.*")
+        return left.select("row.*")
+    marked = left.join(repeated, F.col("key") == F.col("_repeated"), "left")
+    once = marked.where("_repeated IS NOT NULL").dropDuplicates(["key"])
+    return marked.where("_repeated IS NULL").unionByName(once).select("row.*")
 
 
 shipped(__name__)

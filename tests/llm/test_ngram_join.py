@@ -112,6 +112,15 @@ def test_one_id_with_two_texts(spark):
         {(r.doc_id, r.component_id) for r in join(df).collect() if r.n_shingles} == {(3, 3), (5, 3), (9, 3)}
 
 
+def test_first_of_each_tells_texts_apart(spark):
+    a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "to be or not to be that is"
+    rows = [(3, a), (5, a), (5, b), (9, b.upper()), (None, c), (None, c), (None, "c only here but null too"), (8, c), (7, ""), (7, ""), (6, None)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, _key int")
+    df = df.withColumnRenamed("_key", "n")
+    kept = sorted(((r.doc_id, r.text) for r in first_of_each(df).collect()), key=str)
+    assert kept == sorted([(3, a), (5, b), (8, c), (None, "c only here but null too"), (7, ""), (7, ""), (6, None)], key=str)
+
+
 @pytest.mark.parametrize("edges", [[(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (7, 4), (20, 30)], [(5, 5)]])
 def test_components(spark, edges):
     labels = {r.rep: r.comp for r in ngram_join.components(spark.createDataFrame(edges, "rep_a bigint, rep_b bigint")).collect()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,8 +38,9 @@ HEAD = frozenset("title meta link base style script noscript template".split())
 OPEN = re.compile(r"<!--|<[!?]|</?([A-Za-z][^\s/>]*)")
 #: Attributes up to the end of the tag; quotes count after "=" only.
 REST = re.compile(r"""(?:[^>=]+|=\s*(?:"[^"]*"|'[^']*')?)*+>""")
-#: Elements nested deeper stay in the tree, but take no content of their own.
-DEEPEST = 256
+SPANS = re.compile(r"""\b(colspan|rowspan)\s*=\s*["']?(\d{1,5})""", re.I)
+#: A column is padded up to this width; behind a longer cell the rest of its row begins later.
+WIDEST = 60
 UNSEEN = re.compile(r"""(?:^|[\s"'/])hidden(?=[\s=/]|$)|\bstyle\s*=\s*["']?[^"']*(?:display\s*:\s*none|visibility\s*:\s*hidden)"""
                     r"""|\btype\s*=\s*["']?hidden|\baria-hidden\s*=\s*["']?true""", re.I)
 START = re.compile(r"""\bstart\s*=\s*["']?(-?\d{1,9})""", re.I)
@@ -46,12 +48,14 @@ SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "hidden", "start", "items")
+    __slots__ = ("tag", "hidden", "start", "spans", "items")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag = tag
         self.hidden = tag in HIDDEN or bool(attributes) and UNSEEN.search(attributes) is not None
         self.start = int(m[1]) if tag == "ol" and (m := START.search(attributes)) else 1
+        told = {name.lower(): n for name, n in SPANS.findall(attributes)} if tag in ("td", "th") else {}
+        self.spans = tuple(max(1, min(1000, int(told.get(k, 1)))) for k in ("colspan", "rowspan"))
         self.items: list = []
 
 
@@ -75,34 +79,51 @@ def _end_of_mark(page: str, found: re.Match) -> int:
     return end + len(mark) if end >= 0 else len(page)
 
 
-def _close(stack: list[Node], tag: str) -> None:
-    for depth in range(len(stack) - 1, 0, -1):
+class Open(list):
+    """Open elements, the innermost last, and how many there are of each name."""
+
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.names = Counter([root.tag])
+
+    def push(self, node: Node) -> None:
+        self.append(node)
+        self.names[node.tag] += 1
+
+    def cut(self, depth: int) -> None:
+        """Close the element at this depth and all inside it."""
+        self.names.subtract(node.tag for node in self[depth:])
+        del self[depth:]
+
+
+def _close(stack: Open, tag: str) -> None:
+    for depth in range(len(stack) - 1 if stack.names[tag] else 0, 0, -1):
         if stack[depth].tag == tag:
-            del stack[depth:]
+            stack.cut(depth)
             return
         if stack[depth].tag in SCOPE and tag not in TABLE and tag != "table":
             return
 
 
-def _close_implied(stack: list[Node], tag: str) -> None:
+def _close_implied(stack: Open, tag: str) -> None:
     ended, boundary = IMPLIED.get(tag, (frozenset(), frozenset()))
     if tag in BLOCK and tag not in TABLE:
         ended = ended | {"p"}
     lowest = None
-    for depth in range(len(stack) - 1, 0, -1):
+    for depth in range(len(stack) - 1 if any(stack.names[name] for name in ended) else 0, 0, -1):
         here = stack[depth].tag
         if here in ended:
             lowest = depth
         elif here in boundary or here in SCOPE:
             break
     if lowest is not None:
-        del stack[lowest:]
+        stack.cut(lowest)
 
 
 def tree(page: str) -> Node:
     """Elements and texts nested as the page says, with the end tags that HTML lets authors leave out."""
     root = Node("html")
-    stack, ends, at, size = [root], {}, 0, len(page)
+    stack, ends, at, size = Open(root), {}, 0, len(page)
     while at < size:
         found = OPEN.search(page, at)
         end = _end_of_mark(page, found) if found else -1
@@ -110,7 +131,7 @@ def tree(page: str) -> Node:
         text = page[at:found.start() if end >= 0 else size]
         if text:
             if stack[-1].tag == "head" and text.strip():
-                stack.pop()
+                stack.cut(len(stack) - 1)
             stack[-1].items.append(html.unescape(text) if "&" in text else text)
         if end < 0:
             break
@@ -121,10 +142,10 @@ def tree(page: str) -> Node:
         if page[found.start() + 1] == "/":
             _close(stack, tag)
             continue
-        if tag == "body" and any(n.tag == "body" for n in stack):
+        if tag == "body" and stack.names["body"]:
             continue
         if stack[-1].tag == "head" and tag not in HEAD:
-            stack.pop()
+            stack.cut(len(stack) - 1)
         _close_implied(stack, tag)
         node = Node(tag, page[found.end():end - 1])
         stack[-1].items.append(node)
@@ -132,8 +153,8 @@ def tree(page: str) -> Node:
             close = _raw_end(page, tag, at, ends)
             closing = page.find(">", close)
             at = closing + 1 if closing >= 0 else size
-        elif tag not in VOID and len(stack) < DEEPEST:
-            stack.append(node)
+        elif tag not in VOID:
+            stack.push(node)
     return root
 
 
@@ -219,23 +240,46 @@ def _stray(table: Node) -> list:
     return out
 
 
+def _placed(rows: list[list[Node]]) -> Iterator[list[tuple[int, Node]]]:
+    """Rows of (column, cell), where cells that span columns or rows keep others out."""
+    taken: dict[int, int] = {}  # column: rows that it stays taken
+    for row in rows:
+        out, column, below = [], 0, {}
+        for cell in row:
+            while taken.get(column, 0):
+                column += 1
+            out.append((column, cell))
+            across, down = cell.spans
+            for i in range(column, column + across):
+                if down > 1:
+                    below[i] = down - 1
+            column += across
+        taken = {i: n - 1 for i, n in taken.items() if n > 1} | below
+        yield out
+
+
 def _grid(table: Node, page: Page) -> None:
     """Cells of a column begin at the same place; a cell of several lines takes as many lines."""
-    rows = [[render_node(c).split("\n") for c in row] for row in _rows(table)]
-    widths: list[int] = []
+    rows = [[(i, cell.spans[0], render_node(cell).split("\n")) for i, cell in row] for row in _placed(_rows(table))]
+    widths: dict[int, int] = {}
     for row in rows:
-        for i, cell in enumerate(row[:-1]):
-            if i == len(widths):
-                widths.append(0)
-            widths[i] = max(widths[i], *map(len, cell))
+        for i, across, cell in row[:-1]:
+            if across == 1:
+                widths[i] = max(widths.get(i, 0), *map(len, cell))
+    last = max((i for row in rows for i, _, _ in row), default=0)
+    starts = [0]
+    for i in range(last):
+        starts.append(starts[-1] + (min(widths[i], WIDEST) + 2 if i in widths else 0))
     page.block(True)
     out = []
     for row in rows:
-        # one cell alone, or a width out of all proportion, would only add blanks
-        pad = [w if w <= 60 else 0 for w in widths]
-        for i in range(max(map(len, row))):
-            parts = [cell[i] if i < len(cell) else "" for cell in row]
-            out.append("  ".join(p.ljust(pad[k]) if k < len(row) - 1 else p for k, p in enumerate(parts)).rstrip())
+        for k in range(max(len(cell) for _, _, cell in row)):
+            line = ""
+            for i, _, cell in row:
+                part = cell[k] if k < len(cell) else ""
+                line = line.ljust(starts[i]) if len(line) + 2 <= starts[i] or not line else line + "  "
+                line += part
+            out.append(line.rstrip())
     if any(out):
         if page.lines and page.lines[-1] != "":
             page.lines.append("")
@@ -325,7 +369,9 @@ def extract(pages: DataFrame) -> DataFrame:
     ``display:none``, ``visibility:hidden``) show nothing.  Blocks begin on their
     own line, paragraphs, headings, lists and tables after an empty line; list
     items get ``-`` or their number and are indented by depth; the cells of a
-    table column start at one place; ``pre`` keeps its lines.
+    table column start at one place, also under cells that span several columns
+    or rows, and behind a cell of over 60 characters later in its own row only;
+    ``pre`` keeps its lines.
 
     Null html gives null text and 0 lines, empty html an empty text and 0 lines.
     Pages are independent: repeated rows are rendered alike, an empty table gives

@@ -94,8 +94,9 @@ _PATTERNS = [(name, re.compile(p, re.S)) for name, p in sorted(SENTENCES, key=la
 _COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/|//+|#+|\*+|;+|--+|<!--|dnl\b|rem\b)?[ \t]*", re.M | re.I)
 _END = re.compile(r"(?i)(?<=[.!?;])\s+|(?<!identifier):\s+(?=\S)|\n\s*\n|(?<=[.!?:;])\n")
 _QUOTES = str.maketrans("“”„«»`", '"' * 6)
-#: Longer than any licence sentence; such a stretch is cut at line ends first.
-LONG = 3_000
+#: Characters around a key word that may belong to its licence sentence: more than the longest one has.
+REACH = 600
+_KEY = re.compile("|".join(map(re.escape, (*KEYS, "cc0", "gpl", "clause", "cc by", "cc-by"))))
 
 
 def normalise(sentence: str) -> str:
@@ -103,15 +104,31 @@ def normalise(sentence: str) -> str:
     return " ".join(plain.split()).strip(" .,;:!*-")
 
 
+def _around_keys(plain: str) -> Iterator[str]:
+    """The parts of a long stretch around its key words, each key word with all that may belong to it."""
+    first = last = None
+    for found in _KEY.finditer(plain):
+        if first is not None and found.start() > first + REACH:
+            yield plain[max(0, first - REACH):last + REACH]
+            first = None
+        first = found.start() if first is None else first
+        last = found.end()
+    if first is not None:
+        yield plain[max(0, first - REACH):last + REACH]
+
+
 def sentences(text: str) -> Iterator[tuple[int, str]]:
-    """(number, normalised sentence) of the sentences that may belong to a licence."""
-    number = 0
-    for raw in _END.split(_COMMENT.sub("", text)):
-        for part in raw.split("\n") if len(raw) > LONG else (raw,):
-            number += 1
-            plain = normalise(part)  # as identify() sees it: a key may run over lines
-            if any(k in plain for k in KEYS) or "cc" in plain and "4.0" in plain or "cc0" in plain or "gpl" in plain or "clause" in plain:
-                yield number, plain
+    """(number, normalised sentence) of the sentences that may belong to a licence.
+
+    Of a stretch without a sentence end that is longer than any licence
+    sentence, the parts around key words count; so what stands further away
+    changes nothing.
+    """
+    for number, raw in enumerate(_END.split(_COMMENT.sub("", text)), 1):
+        plain = normalise(raw)  # as identify() sees it: a key may run over lines
+        for part in _around_keys(plain) if len(plain) > 2 * REACH else (plain,):
+            if any(k in part for k in KEYS) or "cc" in part and "4.0" in part or "cc0" in part or "gpl" in part or "clause" in part:
+                yield number, part
 
 
 def identify(sentence: str) -> str | None:

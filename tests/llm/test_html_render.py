@@ -70,3 +70,18 @@ def test_odd_rows(spark):
     got = extract(spark.createDataFrame(rows, schema)).collect()
     assert sorted((tuple(r) for r in got), key=str) == sorted([(1, None, 0), (None, "x", 1), (2, "", 0), (2, "", 0), (3, "y", 1)], key=str)
     assert extract(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("depth", [10, 300, 20_000])
+def test_hidden_at_any_depth(depth):
+    page = "<div>" * depth + "<div style='display:none'>secret</div><p>seen" + "</div>" * depth + "end"
+    assert render(page).split() == ["seen", "end"]
+
+
+def test_spanning_cells():
+    page = ("<table><tr><th>a<th colspan=2>both<th>d<tr><td rowspan='2'>tall<td>b1<td>c1<td>d1<tr><td>b22<td>c2<td>d2"
+            "<tr><td>" + "x" * 70 + "<td>b<td>c<td>d</table>")
+    lines = render(page).strip().split("\n")
+    at = [lines[1].index(w) for w in ("tall", "b1", "c1", "d1")]
+    assert [lines[2].index(w) for w in ("b22", "c2", "d2")] == at[1:] and lines[0].index("both") == at[1] and lines[0].index("d") == at[3]
+    assert lines[3].split() == ["x" * 70, "b", "c", "d"]

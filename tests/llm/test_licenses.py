@@ -116,3 +116,13 @@ def test_every_alternative_passes_the_filter(name, pattern):
 def test_sentences_without_another_key(text, found):
     assert licences(f"Some prose. {text}")[0] == [found]
     assert list(sentences("It may not be so. The Apache helicopter. Creative people in common use.")) == []
+
+
+@pytest.mark.parametrize("words", [0, 20, 2_000, 20_000])
+def test_surroundings_of_any_length_change_nothing(spark, words):
+    filler = " ".join(f"word{i}" for i in range(words))
+    text = f"{filler} Licensed under the Apache License,\nVersion 2.0 {filler}\n{filler} or under the MIT\nlicense {filler}"
+    row = scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()[0]
+    assert row.licences[0] == "Apache-2.0"
+    if words >= 2_000:
+        assert row.licences == ["Apache-2.0", "MIT"]

@@ -10,7 +10,7 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(QUERIES) <= set(names) and set(ORACLES) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "benchmark_leaks", "mixing", "packing"]
 

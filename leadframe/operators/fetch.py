@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from .joins import pinned
+from ..session import materialize
+from .joins import might_be_in, pinned
 
 # The order in which fetchers are tried.
 THREE_STAGES = ("requests", "selenium", "brightdata")
@@ -34,16 +35,18 @@ def first_settled(attempts: DataFrame, stages=THREE_STAGES, settled: Column | No
                   key: str = "url", payload: tuple[str, ...] = ("html",)) -> DataFrame:
     """First attempt per URL that settles it, else NULL payload and source ''.
 
-    The choice is made on narrow facts, one aggregation over one scan; the
-    payload is read a second time and joined to the choice.  Of several attempts
+    The choice is made on narrow facts, one aggregation over one scan, and
+    written; the payload is read a second time, where a Bloom filter of the choice
+    leaves out the attempts that lost, and joined to it.  Of several attempts
     of one source at a URL the one with the least payload hash counts.  This is
     for page bodies; when a page is reduced to a few columns first,
     :func:`first_settled_facts` alone is better.
     """
     marked = attempts.withColumn("_pick", F.xxhash64(*payload))
-    best = first_settled_facts(marked, stages, settled, key, payload=("_pick",)) \
-        .select(F.col(key).alias("_key"), F.col("_pick").alias("_best"), F.col("source").alias("_stage"))
+    best = materialize(first_settled_facts(marked, stages, settled, key, payload=("_pick",)).select(
+        F.col(key).alias("_key"), F.col("_pick").alias("_best"), F.col("source").alias("_stage")), "settled")
     bodies = attempts.where(F.col("source").isin(*stages)) \
+        .where(might_be_in([key, "source", F.xxhash64(*payload)], best, ["_key", "_stage", "_best"])) \
         .select(F.col(key).alias("_k"), F.col("source").alias("_s"), *payload, F.xxhash64(*payload).alias("_p"))
     joined = best.join(bodies, (F.col("_key") == F.col("_k")) & (F.col("_stage") == F.col("_s")) & (F.col("_best") == F.col("_p")),
                        "left")

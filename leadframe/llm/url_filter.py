@@ -6,6 +6,7 @@ Column expressions and Spark's own logistic regression only.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
@@ -38,6 +39,27 @@ WANTED = (
     "history.example/articles/rome", "health.example/advice/sleep", "code.example/project/readme", "photo.example/gallery",
     "therin.example/en/770", "stories.example/es/797", "kitchen.example/671.html", "river.example/blog/533",
 )
+#: Further rows are made from words: what unwanted addresses advertise, and what others are about.
+SOLD = ("pills viagra meds casino poker slots jackpot betting roulette bonus loan payday credit bitcoin crypto replica watches torrent "
+        "warez crack keygen xxx adult cams singles escort prizes lottery giftcard malware phishing spam adserver banner tracker popup").split()
+LURES = "cheap free best fast hot win buy get online now deal cash".split()
+TOPICS = ("garden history science museum library school weather recipes travel music sports health news forum photo art river "
+          "forest city council books language physics cooking letters theatre geography astronomy village farming bridge harbour "
+          "poetry chess railway orchard").split()
+SECTIONS = "en de fr es article page blog post guide item".split()
+FRONTS = ("", "www.", "m.", "shop.")
+ENDINGS = ("com", "org", "net", "example.com", "example.org", "de", "co.uk", "example.net")
+
+
+def _made() -> Iterator[tuple[str, float]]:
+    """Three addresses of each kind for every word, in changing company; fronts, endings and sections tell nothing."""
+    for i, (sold, topic) in enumerate(zip(SOLD, TOPICS)):
+        for j in range(3):
+            n = 5 * i + 7 * j
+            front, end, section = FRONTS[n % 4], ENDINGS[(n // 2) % 8], SECTIONS[(3 * i + j) % 10]
+            lure, other = LURES[n % 12], TOPICS[(7 * i + 11 * j + 2) % len(TOPICS)]
+            yield f"{front}{lure}-{sold}.{end}/{section}/{37 * n}", 1.0
+            yield f"{front}{topic}-{other}.{end}/{section}/{37 * n}" if j else f"{front}{topic}.{end}/{section}/{37 * n}", 0.0
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -79,8 +101,8 @@ def grams(host: Column, path: Column, sizes=GRAMS, buckets: int = BUCKETS) -> Co
 
 def labelled(spark: SparkSession) -> DataFrame:
     """The labelled table (url, unwanted)."""
-    return spark.createDataFrame([(f"https://{u}", 1.0) for u in UNWANTED] + [(f"http://{u}", 0.0) for u in WANTED],
-                                 "url string, unwanted double")
+    rows = [*[(u, 1.0) for u in UNWANTED], *[(u, 0.0) for u in WANTED], *_made()]
+    return spark.createDataFrame([(f"https://{u}", label) for u, label in rows], "url string, unwanted double")
 
 
 def train(table: DataFrame, buckets: int = BUCKETS, penalty: float = 0.001, rounds: int = 25,

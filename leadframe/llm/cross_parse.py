@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from .common import Sent, column, only, shipped
 
 UNKNOWN = "und"
-#: Symbol numbers: between words, a letter the model doesn't know, and filler after a text's end.
-GAP, OTHER = 0, 1
+#: Symbol numbers: between words, a letter of no sample, and the mark of a letter beyond the alphabet, which six digits
+#: of its code point follow; then the digits, the letters of the alphabet, and filler after a text's end.
+GAP, OTHER, RARE, DIGIT = 0, 1, 2, 3
+BASE, DIGITS = 11, 6
+FIRST = DIGIT + BASE
 STRETCH = 2048
 LANES = 1024
 
@@ -67,13 +70,15 @@ class Model:
                  for lang, parts in sorted(samples.items())}
         seen = Counter(c for t in texts.values() for c in t if c != " ")
         known = sorted(seen, key=lambda c: (-seen[c], c))[:alphabet]
-        self.symbol = {c: i + 2 for i, c in enumerate(known)} | {" ": GAP}
-        self.filler = len(known) + 2
+        self.symbol = dict.fromkeys(seen, RARE) | {c: i + FIRST for i, c in enumerate(known)} | {" ": GAP}
+        self.filler = len(known) + FIRST
         self.langs = list(texts)
-        self.cost = np.array([math.log2(len(t) + 1) for t in texts.values()])
+        spelled = [_spelled(np.array([self.symbol[c] for c in t], np.uint8),
+                            np.array([ord(c) for c in t], np.uint32))[:chars].tolist() for t in texts.values()]
+        self.cost = np.array([math.log2(len(t) + 1) for t in spelled])
         tables, self.roots, offset = [], [], 0
-        for text in texts.values():
-            nexts = suffix_automaton([self.symbol.get(c, OTHER) for c in text])
+        for text in spelled:
+            nexts = suffix_automaton(text)
             root = np.zeros(self.filler + 1, np.int32)
             for symbol, state in nexts[0].items():
                 root[symbol] = state
@@ -120,12 +125,26 @@ class Model:
         return out
 
 
+def _spelled(found: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Symbols in which the digits of its code point follow every letter beyond the alphabet."""
+    rare = np.flatnonzero(found == RARE)
+    if not len(rare):
+        return found
+    sizes = np.ones(len(found), np.int64)
+    sizes[rare] += DIGITS
+    out, at, left = np.repeat(found, sizes), np.cumsum(sizes)[rare] - DIGITS, codes[rare]
+    for i in reversed(range(DIGITS)):
+        out[at + i] = DIGIT + left % BASE
+        left = left // BASE
+    return out
+
+
 def _symbols(text: str, classes: np.ndarray) -> np.ndarray:
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
     found = classes[codes]
     keep = found != GAP
     keep[1:] |= found[:-1] != GAP  # one gap between words, whatever stands there
-    return found[keep]
+    return _spelled(found[keep], codes[keep])
 
 
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
@@ -137,8 +156,10 @@ def train(docs: DataFrame, docs_per_language: int = 150, excerpt: int = 300, tot
     """The model of all languages named in ``lang``, from the rows that are not held out.
 
     Bounds: about ``docs_per_language`` rows of each language, drawn by hash;
-    ``excerpt`` characters of each from a place drawn by hash; ``most_chars`` per
-    language and ``total_chars`` together; the ``alphabet`` most frequent letters.
+    ``excerpt`` characters of each from a place drawn by hash; ``most_chars`` symbols
+    per language and ``total_chars`` together.  The ``alphabet`` most frequent
+    letters are one symbol each, every other letter of the samples is spelled as
+    seven; a letter of no sample is a phrase of its own in every language.
     """
     rows = only(docs, "doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")) \
         .where(~held_out(F.col("doc_id")))

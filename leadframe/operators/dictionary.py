@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -16,6 +18,9 @@ from ..functions.rules import EXACT_CASE, _entry
 # The helpers travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Characters of a dictionary of whole words that are compiled on the driver; a larger one is joined.
+HELD_CHARS = 200_000
+
 
 def _compiled(rows, whole_words: bool) -> bytes:
     """Automaton over the plain parts of all entries, and the entries behind each part, as bytes.
@@ -68,6 +73,69 @@ def _found(text: str, automaton, entries: list, always: list[int], scans: dict,
     return found
 
 
+def _shape(pattern: str) -> tuple[int, int, int]:
+    """Word runs of a pattern, characters before the first and after the last; without any, 0 and all characters."""
+    runs = [m.span() for m in re.finditer(r"\w+", pattern)]
+    return (len(runs), runs[0][0], len(pattern) - runs[-1][1]) if runs else (0, len(pattern), 0)
+
+
+def _pieces(text: str, shapes: list[tuple[int, int, int]]) -> set[str]:
+    """Parts of a text that have one of the shapes and begin and end at word edges."""
+    if shapes == [(1, 0, 0)]:
+        return set(re.findall(r"\w+", text))
+    runs = [m.span() for m in re.finditer(r"\w+", text)]
+    # a part lies between the end of the run before it and the start of the run after it, and touches neither
+    starts, ends = [*[r[0] for r in runs], len(text) + 1], [-1, *[r[1] for r in runs]]
+    found = set()
+    for k, before, after in shapes:
+        for i in range(len(starts) - k):
+            if k:
+                first, last = starts[i] - before, ends[i + k] + after
+                if first > ends[i] and last < starts[i + k]:
+                    found.add(text[first:last])
+            else:
+                found.update(text[first:first + before] for first in range(ends[i] + 1, starts[i] - before))
+    return found
+
+
+def _joined_hits(rows: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
+    """Hits of whole words by a join of the dictionary with all parts of the texts that look like an entry.
+
+    A word that is in many texts leaves a task as one row for each Arrow batch, not for each text.
+    """
+    def shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            patterns = [p.lower() for p in batch.column(2).to_pylist()]
+            shapes = zip(*[_shape(p) for p in patterns]) if patterns else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(patterns, pa.string()),
+                                              *[pa.array(s, pa.int32()) for s in shapes]],
+                                             ["group", "name", "_piece", "runs", "before", "after"])
+
+    entries = words.mapInArrow(shaped, "`group` string, name string, _piece string, runs int, before int, after int")
+    shapes = [tuple(r) for r in entries.select("runs", "before", "after").distinct().collect()]
+    entries = entries.select("group", "name", "_piece").distinct()
+    several = not entries.groupBy("group", "name").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            where: defaultdict[str, list[int]] = defaultdict(list)
+            for i, value in enumerate(batch.column(1).to_pylist()):
+                for piece in _pieces(value, shapes) if value else ():
+                    where[piece].append(i)
+            offsets = pa.array([0, *accumulate(map(len, where.values()))], pa.int32())
+            places = pa.array(chain.from_iterable(where.values()), pa.int64())
+            own = pa.StructArray.from_arrays([batch.column(i).take(places) for i in (0, 2)], ["key", "row"])
+            yield pa.RecordBatch.from_arrays([pa.array(where, pa.string()), pa.ListArray.from_arrays(offsets, own)], ["_piece", "_own"])
+
+    # only an entry with several patterns can be found twice in a row; the row's number then tells it from others with its key
+    number = F.monotonically_increasing_id() if several else F.lit(None).cast("long")
+    own = f"array<struct<key: {rows.schema[key].dataType.simpleString()}, row: bigint>>"
+    found = rows.select(key, F.lower(text).alias("_low"), number.alias("_row")).mapInArrow(cut, f"_piece string, _own {own}") \
+        .join(entries, "_piece").select("group", "name", F.explode("_own").alias("_own")) \
+        .select(F.col("_own.key").alias(key), "group", "name", F.col("_own.row").alias("_row"))
+    return (found.distinct() if several else found).drop("_row")
+
+
 def dictionary_hits(rows: DataFrame, key: str, text: str, dictionary: DataFrame, whole_words: bool = False,
                     block_chars: int = 2_000_000) -> DataFrame:
     """``key, group, name`` of every dictionary entry that occurs in a text, once for each row and entry.
@@ -80,11 +148,15 @@ def dictionary_hits(rows: DataFrame, key: str, text: str, dictionary: DataFrame,
     The dictionary is compiled once, into an automaton that finds all plain
     parts in one pass over a text, and broadcast.  A dictionary of more than
     ``block_chars`` characters is searched in as many blocks, one pass each.
+    One of whole words that exceeds ``block_chars`` or ``HELD_CHARS`` is joined
+    with the words of the texts instead, and may grow with them.
     """
     spark = rows.sparkSession
     words = dictionary.select(F.col("group").cast("string").alias("group"), F.col("name").cast("string").alias("name"), "pattern") \
         .where("trim(pattern) <> ''").distinct()
     size = words.agg(F.sum(F.length("pattern"))).head()[0] or 0
+    if whole_words and size > min(block_chars, HELD_CHARS):
+        return _joined_hits(rows, key, text, words)
     blocks = size // block_chars + 1
     block = F.pmod(F.xxhash64("group", "name", "pattern"), F.lit(blocks))
     schema = f"{rows.select(key).schema[0].simpleString().replace(':', ' ', 1)}, `group` string, name string"

@@ -1,11 +1,13 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from leadframe.functions import dictionaries as d
 from leadframe.functions import rules
+from leadframe.operators import dictionary
 from leadframe.operators.dictionary import dictionary_hits
 from leadframe.sources import files
 
@@ -47,6 +49,43 @@ def test_more_than_ten_thousand_entries(spark):
     assert len(words) > 10_000 and hits(rows, entries, whole_words=True) == want == hits(rows, entries, whole_words=True, block_chars=20_000)
 
 
+ODD_WORDS = [("g", "a", "Red Car"), ("g", "b", "car"), ("g", "b", "auto"), ("g", "b", "CAR"), (None, "n", "c++"), ("h", None, ".net"), ("h", "p", "--"), ("h", "q", "a - b c"),
+             ("h", "r", "é"), ("h", "s", " x"), ("h", "t", "x_1"), ("h", "u", " - "), ("h", "v", "\t"), ("h", "d", " "), ("h", "e", None), ("k", "b", "car")]
+
+
+@pytest.mark.parametrize("held", [0, 5, 200_000])
+def test_whole_words_joined(spark, monkeypatch, held):
+    """Phrases, signs at the edges and rows that repeat a key give the same hits whether the dictionary is held or joined."""
+    monkeypatch.setattr(dictionary, "HELD_CHARS", held)
+    draw = random.Random(8)
+    parts = ["red", "car", "Auto", "c", "++", "+", ".", "net", " ", " ", "-", "--", "a", "b", "é", "x", "x_1", "\t", "\n", "٣"]
+    texts = [None, "", "c++", "--", "a - b c", "car car", " x", "-", "a -- b", "a--b", "\t", *["".join(draw.choices(parts, k=draw.randrange(1, 14))) for _ in range(400)]]
+    keys = [None if i % 50 == 7 else i // 3 for i in range(len(texts))]
+
+    def places(text, pattern):
+        at, text, pattern = -1, text.lower(), pattern.lower()
+        while (at := text.find(pattern, at + 1)) >= 0:
+            yield re.fullmatch(r"\w", text[at - 1:at] if at else "") is None and re.match(r"\w", text[at + len(pattern):]) is None
+
+    want = Counter((k, g, n) for k, t in zip(keys, texts)
+                   for g, n in {(g, n) for g, n, p in ODD_WORDS if t and p and p != " " and any(places(t, p))})
+    rows = spark.createDataFrame(list(zip(keys, texts)), "k int, t string").repartition(3)
+    for entries in (ODD_WORDS, [e for e in ODD_WORDS if e[:2] != ("g", "b")]):
+        got = Counter(tuple(r) for r in dictionary_hits(rows, "k", "t", spark.createDataFrame(entries, SCHEMA), whole_words=True).collect())
+        assert got and got == {x: n for x, n in want.items() if x[1:] in {e[:2] for e in entries}}
+
+
+def test_large_dictionary_stays_off_the_driver(spark, monkeypatch):
+    """Before, a dictionary of whole words was compiled on the driver, however large."""
+    def compiled(*_):
+        raise AssertionError("compiled on the driver")
+
+    monkeypatch.setattr(dictionary, "_compiled", compiled)
+    entries = spark.range(60_000).selectExpr("'g' AS `group`", "concat('w', id) AS name", "concat('w', id) AS pattern")
+    rows = spark.createDataFrame([(1, "w1 W59999, w60000 xw2"), (2, None), (3, "w1")], "k int, t string")
+    assert hits(rows, entries, whole_words=True) == {(1, "g", "w1"), (1, "g", "w59999"), (3, "g", "w1")}
+
+
 def test_read_dictionary(spark, tmp_path):
     (tmp_path / "one.json").write_text('{"maybe": {"a": "x\\\\s?y",\n "b": "z"}}', encoding="utf-8")
     (tmp_path / "two.json").write_text('{"no": {"a": "q"}}', encoding="utf-8")

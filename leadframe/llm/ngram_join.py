@@ -11,6 +11,7 @@ gives the candidates; their remaining shingles are then probed by binary search.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -143,8 +144,8 @@ def _half(sets: np.ndarray) -> np.ndarray:
     return sets < np.uint64(1 << 63)
 
 
-def _list_lengths(docs: DataFrame) -> np.ndarray:
-    """Bit table (len(LENGTHS), TABLE_BITS / 64): which of the counts a shingle's list exceeds.
+def _list_lengths(docs: DataFrame) -> dict:
+    """Packed pieces of a bit table, for :func:`_table`: which of the counts a shingle's list exceeds.
 
     All documents are counted.  The table has a fixed size; shingles that share
     a bit are all taken for the longest, which changes the order of the lists and
@@ -165,7 +166,7 @@ def _list_lengths(docs: DataFrame) -> np.ndarray:
                 for i in range(len(LENGTHS)):
                     part[i, words[own] % PIECE] = batch.column(1 + i).to_numpy()[own]
         yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array(
-            [p.tobytes() for p in parts.values()], pa.binary())], names=["piece", "bits"])
+            [zlib.compress(p.tobytes(), 1) for p in parts.values()], pa.binary())], names=["piece", "bits"])
 
     counts = only(docs, "text").mapInArrow(run, "tok bigint").groupBy("tok").agg(F.count("*").alias("n"))
     place = F.col("tok").bitwiseAND(F.lit(TABLE_BITS - 1))
@@ -175,10 +176,20 @@ def _list_lengths(docs: DataFrame) -> np.ndarray:
         .agg(*[F.bit_or(F.when(F.col("n") > least, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{i}")
                for i, least in enumerate(LENGTHS)])
     pieces = words.repartition(F.shiftright("word", PIECE.bit_length() - 1)).mapInArrow(piece, "piece bigint, bits binary")
-    table = np.zeros((len(LENGTHS), TABLE_BITS // 64), np.int64)
-    for row in materialize(pieces, "list-lengths").toLocalIterator():  # 32 MB in all, a few at a time
-        table[:, row.piece * PIECE:(row.piece + 1) * PIECE] = np.frombuffer(row.bits, np.int64).reshape(len(LENGTHS), PIECE)
-    return table.view(np.uint64)
+    # 32 MB in all, far less while most of it is zero; the driver never unpacks it
+    return {"pieces": {row.piece: bytes(row.bits) for row in materialize(pieces, "list-lengths").toLocalIterator()}}
+
+
+def _table(held) -> np.ndarray:
+    """The bit table (len(LENGTHS), TABLE_BITS / 64); a worker unpacks it once and keeps it with the broadcast."""
+    kept = held.value
+    if "table" not in kept:
+        table = np.zeros((len(LENGTHS), TABLE_BITS // 64), np.uint64)
+        for number, bits in kept["pieces"].items():
+            table[:, number * PIECE:(number + 1) * PIECE] = np.frombuffer(zlib.decompress(bits), np.uint64).reshape(len(LENGTHS), PIECE)
+        kept["table"] = table
+        del kept["pieces"]
+    return kept["table"]
 
 
 def _ranks(own: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -199,7 +210,7 @@ def _short_lists(docs: DataFrame, held, percent: int) -> DataFrame:
         for batch in batches:
             sizes, sigs, toks, firsts, bits = [], [], [], [], []
             for own in shingle_sets(_texts_of(batch)):
-                n, ranks = len(own), _ranks(own, held.value)
+                n, ranks = len(own), _ranks(own, _table(held))
                 first = np.argsort(ranks, kind="stable")[:n - least_overlap(n, percent) + 1]  # own is sorted
                 told = ranks[first] > 0  # the list of a rank 0 shingle is the document alone
                 sizes.append(n)
@@ -249,7 +260,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, held, percent: int) -> DataFrame
         for pair in zip(*[sigs for sigs, _ in sides]):
             small, large = sorted((here[sig] for sig in pair), key=len)
             both = len(small) + len(large)
-            shared = overlap(small, large, _ranks(small, held.value), -(-percent * both // (100 + percent)))
+            shared = overlap(small, large, _ranks(small, _table(held)), -(-percent * both // (100 + percent)))
             out.append(100 * shared >= percent * (both - shared))
         return out
 

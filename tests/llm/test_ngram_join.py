@@ -1,6 +1,10 @@
+import pickle
 import random
 import re
+from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
 
 from leadframe.llm import ngram_join
@@ -94,6 +98,22 @@ def test_large_group_and_common_passage(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_list_lengths_are_packed(spark, monkeypatch):
+    """Before, the driver held and sent the whole table of 32 MB, whatever the input."""
+    monkeypatch.setattr(ngram_join, "LENGTHS", (1, 3, 6, 12))
+    rows = [(i, " ".join(f"w{j}" for j in range(20)) + f" own{i}" + " a b c d e" * (i < 5)) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    held = SimpleNamespace(value=ngram_join._list_lengths(docs))
+    assert len(pickle.dumps(held.value)) < 1_000_000
+    counts = Counter(h for own in ngram_join.shingle_sets(t.encode() for _, t in rows) for h in own.tolist() if h < 1 << 63)
+    table = ngram_join._table(held)
+    assert table.shape == (4, ngram_join.TABLE_BITS // 64) and ngram_join._table(held) is table
+    want = {(i, h % ngram_join.TABLE_BITS) for h, n in counts.items() for i, least in enumerate((1, 3, 6, 12)) if n > least}
+    got = {(int(i), int(w) * 64 + b) for i, w in zip(*np.nonzero(table)) for b in range(64) if int(table[i, w]) >> b & 1}
+    assert got == want and {i for i, _ in got} == {0, 1, 2}
+    assert not ngram_join._table(SimpleNamespace(value=ngram_join._list_lengths(docs.limit(0)))).any()
+
+
 def test_odd_rows(odd, empty):
     rows = sorted((tuple(r) for r in join(odd).collect()), key=str)
     got = {(r[0], r[2]) for r in rows}

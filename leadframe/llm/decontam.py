@@ -22,6 +22,8 @@ from .common import Sent, column, only, shipped
 
 BLOCKS, BITS = 4, 16
 SLICE = 65_536
+#: Words of which running sums are held at once, few enough for a core's own cache; longer parts come one by one.
+TOGETHER = 16_384
 _words = re.compile(r"[^\W_]+").findall
 
 
@@ -54,16 +56,32 @@ def width_of(size: int) -> int:
 
 def fingerprints(hashes: np.ndarray, starts: np.ndarray, width: int, sums: np.ndarray | None = None) -> np.ndarray:
     """SimHash of the windows of ``width`` words at ``starts``: each bit by the majority of the words' bits."""
-    sums = bit_sums(hashes) if sums is None else sums
-    ones = sums[starts + width] - sums[starts]  # unsigned, so a wrapped sum gives the right difference
-    return np.packbits(ones > width // 2, axis=1).view("<u8").ravel()
+    sums = bit_sums(hashes, counter(width)) if sums is None else sums
+    ones = (sums[starts + width] - sums[starts]).view(counter(width))
+    return np.packbits(ones > width // 2).view("<u8")
 
 
-def bit_sums(hashes: np.ndarray) -> np.ndarray:
-    """Running count of each bit; it wraps at 65,536, which is longer than any window."""
-    sums = np.zeros((len(hashes) + 1, 64), np.uint16)
-    sums[1:] = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-    return np.add.accumulate(sums, axis=0, dtype=np.uint16, out=sums)
+def counter(width: int) -> type:
+    """The smallest type that can count the words of a window."""
+    return np.uint8 if width < 1 << 8 else np.uint16
+
+
+#: By type of counter: the bits of every byte as such counters, 64 bits of them to a number.
+SPREAD = {kind: np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(kind).view("<u8") for kind in (np.uint8, np.uint16)}
+
+
+def bit_sums(hashes: np.ndarray, kind: type) -> np.ndarray:
+    """Running count of each bit, as many counters of ``kind`` added at once as 64 bits hold.
+
+    A full counter carries into the next one, and all wrap at 2 ** 64.  A
+    difference takes this back: it is the sum of the words between modulo
+    2 ** 64, in which no counter is full if ``kind`` can count these words.
+    """
+    spread = SPREAD[kind]
+    sums = np.zeros((len(hashes) + 1, 8 * spread.shape[1]), "<u8")
+    own = sums[1:].reshape(-1, 8, spread.shape[1])
+    np.take(spread, hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=0, out=own, mode="clip")
+    return np.add.accumulate(sums, axis=0, out=sums)
 
 
 class BlockIndex:
@@ -165,7 +183,7 @@ class Benchmark:
                 part = words[at:at + step + self.longest]
                 waiting.append((number, at, part, words))
                 size += len(part)
-                if size >= SLICE:
+                if size >= TOGETHER:
                     yield from self._matches(waiting, threshold, hashes)
                     waiting, size = [], 0
         if waiting:
@@ -175,9 +193,12 @@ class Benchmark:
         sizes = np.array([len(p[2]) for p in parts])
         first = np.cumsum(sizes) - sizes
         own = np.fromiter(map(hashes.__getitem__, chain.from_iterable(p[2] for p in parts)), np.uint64, int(sizes.sum()))
-        sums = bit_sums(own)
+        kind = sums = None
         candidates = set()
         for width, (items, offsets, index) in self.windows.items():
+            if kind is not counter(width):  # widths rise, so the sums of one kind are held at a time
+                kind = counter(width)
+                sums = bit_sums(own, kind)
             n = np.maximum(0, (sizes - width) // hop(width) + 1) * (sizes >= width)
             part = np.repeat(np.arange(len(parts)), n)
             place = (np.arange(len(part)) - np.repeat(np.cumsum(n) - n, n)) * hop(width)

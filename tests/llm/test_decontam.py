@@ -19,6 +19,31 @@ def test_index_finds_everything_within_the_radius():
         assert found == {tuple(p) for p in np.argwhere(near).tolist()}
 
 
+def test_running_sums_are_packed_and_right():
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 1 << 64, 70_000, dtype=np.uint64)
+    hashes[30_000:] |= np.uint64(0xFF000000000000FF)  # bits of every word, so that counters of all sizes overflow
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+    for width, size in ((1, 64), (8, 64), (255, 64), (256, 128), (24_576, 128)):
+        sums = decontam.bit_sums(hashes, decontam.counter(width))
+        assert sums[1:].nbytes == size * len(hashes)
+        starts = np.unique(np.concatenate([rng.integers(0, len(hashes) - width, 40), [0, len(hashes) - width]]))
+        counted = np.array([bits[s:s + width].sum(axis=0, dtype=np.int64) for s in starts])
+        expected = np.packbits(counted > width // 2, axis=1).view("<u8").ravel()
+        assert decontam.fingerprints(hashes, starts, width, sums).tolist() == expected.tolist()
+        assert decontam.fingerprints(hashes, starts, width).tolist() == expected.tolist()
+
+
+def test_narrow_and_wide_windows_side_by_side(spark):
+    own = lambda item, n: [f"i{item}x{j}" for j in range(n)]
+    sizes = (9, 60, 330, 700)  # windows of one-byte and of two-byte counters
+    items = [(n, " ".join(own(n, n))) for n in sizes]
+    docs = [(n, " ".join(own("a", 333) + own(n, n) + own("b", 100))) for n in sizes] + [(0, " ".join(own("a", 2_000)))]
+    assert {decontam.counter(w) for w in decontam.Benchmark(items, 7).windows} == {np.uint8, np.uint16}
+    found = leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert sorted((r.doc_id, r.item_id, r.similarity, r.place) for r in found.collect()) == [(n, n, 1.0, 333) for n in sizes]
+
+
 def test_some_window_lies_inside_any_passage():
     for size in range(1, 300):
         w = width_of(size)
